@@ -162,7 +162,7 @@ def pack(docs: DataFrame, capacity: int = 2048, ranks_file: str = "byte_bpe_50k.
                 offset[group] = at[:, 3] + k % at[:, 1] * n
             yield pa.record_batch([*batch.columns[:5], pa.array(sequence), pa.array(offset)], [*batch.schema.names[:5], "sequence_id", "offset"])
 
-    ranked = made.join(offsets.select("block", "length", "rank0"), ["block", "length"]).select("id", "piece", "start", "length", "ids_crc32", (F.col("rank0") + F.col("nth")).alias("rank"))
+    ranked = made.join(offsets.select("block", "length", "rank0").hint("merge"), ["block", "length"]).select("id", "piece", "start", "length", "ids_crc32", (F.col("rank0") + F.col("nth")).alias("rank"))
     id_type = docs.schema[id_col].dataType.simpleString()
     out = ranked.mapInArrow(place, f"id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
     return out.withColumnRenamed("id", id_col)

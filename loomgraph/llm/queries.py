@@ -5,17 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .langid import identify
 from .packing import pack
+from .pii import find_pii
 from .quality import quality
+from .simhash import near_duplicates
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"), redacted=False)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op9_packing)}
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op5_simhash, op7_pii, op9_packing, op10_langid)}
 ORACLE_SQL: dict[str, str] = {}
