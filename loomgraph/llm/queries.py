@@ -5,25 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .html_text import extract
 from .langid import identify
 from .packing import pack
 from .pii import find_pii
 from .quality import quality
 from .simhash import near_duplicates
+from .tokens import count_tokens
+from .warc import archive
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(table(spark, sf_dir, "pages"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"), redacted=False)
 
 
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -32,5 +47,5 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op5_simhash, op7_pii, op9_packing, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_quality, op4_html, op5_simhash, op6_warc, op7_pii, op8_tokens, op9_packing, op10_langid)}
 ORACLE_SQL: dict[str, str] = {}
