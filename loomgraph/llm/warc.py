@@ -167,7 +167,7 @@ def write_bundles(pages: DataFrame, folder: str, min_payload: int = 0, id_col: s
             for page_id, url, html, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bundle is None:
                     name = f"{uuid.uuid4().hex}.warc.zst"
-                    bundle = Bundle(store.open_output_stream(f"{base}/{name}"), frame_bytes)
+                    bundle = Bundle(store.open_output_stream(f"{base}/{name}", compression=None), frame_bytes)
                 data = record(page_id, url, html.encode("utf-8", "surrogatepass"), refers_to, refers_to is not None)
                 frame, offset = bundle.add(data)
                 for c, v in zip(columns, (name, frame, offset, len(data)), strict=True):
