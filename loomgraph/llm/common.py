@@ -51,6 +51,7 @@ def remove(spark: SparkSession, path: str) -> None:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet in the shared folder and read again: cuts lineage, survives lost executors, keeps column pruning."""
     spark = df.sparkSession
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")  # what a finished write has shuffled may go
     path = scratch(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .html_text import extract
 from .langid import identify
+from .lines import dedup_lines
 from .packing import pack
 from .pii import find_pii
 from .quality import quality
@@ -19,6 +20,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
@@ -47,5 +52,5 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op4_html, op5_simhash, op6_warc, op7_pii, op8_tokens, op9_packing, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_quality, op3_linededup, op4_html, op5_simhash, op6_warc, op7_pii, op8_tokens, op9_packing, op10_langid)}
 ORACLE_SQL: dict[str, str] = {}
