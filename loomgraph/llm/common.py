@@ -59,6 +59,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def with_key(docs: DataFrame, id_col: str) -> DataFrame:
+    """docs with a column __k that is in the order of the id and differs from row to row: the id itself or, if some
+    are equal or null, the id and an internal number, after docs has been staged so that numbers stay."""
+    key = F.col(f"`{id_col}`")
+    if docs.select(key.alias("k")).groupBy("k").count().filter("k IS NULL OR count > 1").limit(1).count():
+        docs = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+        return docs.withColumn("__k", F.struct(key.alias("id"), F.col("__row").alias("row"))).drop("__row")
+    return docs.withColumn("__k", key)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """fn on each Arrow batch of df, in batches of at most BATCH_BYTES."""
     set_batch_bytes(df.sparkSession)

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, with_key
 
 CELL_BITS = 17
 HASH = (1 << 56) - 1
@@ -142,13 +142,7 @@ def later_matches(docs: DataFrame, text: str, num: int, den: int, look_back: int
 
 def dedup_lines(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", look_back: int = LOOK_BACK) -> DataFrame:
     """docs without the lines that match an earlier line; n_lines and n_removed are added."""
-    key = F.col(f"`{id_col}`")
-    dirty = docs.select(key.alias("k")).groupBy("k").count().filter("k IS NULL OR count > 1").limit(1).count()
-    if dirty:
-        docs = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-        keyed = docs.withColumn("__k", F.struct(key.alias("id"), F.col("__row").alias("row")))
-    else:
-        keyed = docs.withColumn("__k", key)
+    keyed = with_key(docs, id_col)
     body = F.col(f"`{text_col}`").cast("string")
     text = keyed.select(F.col("__k").alias("k"), body.alias("text")).filter("text IS NOT NULL")
     gone = later_matches(text, "text", num, den, look_back).groupBy(F.col("k").alias("__k")).agg(F.collect_set("at").alias("__gone"))
@@ -157,4 +151,4 @@ def dedup_lines(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_
     out = keyed.join(gone, "__k", "left").withColumn("__n", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
     out = out.withColumn(text_col, F.when(F.col("__gone").isNotNull(), kept).otherwise(body))
     out = out.withColumn("n_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long")).withColumn("n_lines", F.col("__n"))
-    return out.drop("__k", "__gone", "__row", "__n")
+    return out.drop("__k", "__gone", "__n")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontam import find_leaks
 from .html_text import extract
 from .langid import identify
 from .lines import dedup_lines
@@ -20,6 +21,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -52,5 +57,5 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_linededup, op4_html, op5_simhash, op6_warc, op7_pii, op8_tokens, op9_packing, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontam, op3_linededup, op4_html, op5_simhash, op6_warc, op7_pii, op8_tokens, op9_packing, op10_langid)}
 ORACLE_SQL: dict[str, str] = {}
