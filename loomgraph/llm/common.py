@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of one Arrow batch between the JVM and a Python worker; bounds a worker's memory when texts are long.
 BATCH_BYTES = 4 << 20
@@ -69,7 +70,7 @@ def with_key(docs: DataFrame, id_col: str) -> DataFrame:
     return docs.withColumn("__k", key)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType | str) -> DataFrame:
     """fn on each Arrow batch of df, in batches of at most BATCH_BYTES."""
     set_batch_bytes(df.sparkSession)
 

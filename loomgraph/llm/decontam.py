@@ -239,5 +239,5 @@ def drop_leaks(docs: DataFrame, bench: DataFrame, p: DecontamParams = DecontamPa
             keep = [next(block.hits(text, p.min_score), None) is None for text in (t or "" for t in batch.column(place).to_pylist())]
             return batch.filter(pa.array(keep))
 
-        docs = map_batches(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
+        docs = map_batches(docs, run, docs.schema)
     return docs

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import map_batches, text_column, worker_cache
 
@@ -160,7 +161,6 @@ def predict(docs: DataFrame, model: LangModel | None, text_col: str = "text", ke
     these two names are replaced."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     sent = docs.select(*[F.col(f"`{c}`") for c in keep], text_column(f"`{text_col}`").alias("__text"))
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     names = model.langs if model else []
     table = None
     if model:
@@ -187,7 +187,8 @@ def predict(docs: DataFrame, model: LangModel | None, text_col: str = "text", ke
             scores.append(float(min(1.0, max(0.0, prob[best]))))
         return pa.record_batch([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
 
-    return map_batches(sent, run, ", ".join([f"`{c}` {types[c]}" for c in keep] + ["lang_pred string, score double"]))
+    schema = T.StructType([docs.schema[c] for c in keep]).add("lang_pred", "string").add("score", "double")
+    return map_batches(sent, run, schema)
 
 
 def held_out(id_col: str = "doc_id"):
