@@ -54,7 +54,7 @@ def letters() -> np.ndarray:
 def counts(text: str) -> tuple[np.ndarray, np.ndarray] | None:
     """Columns and counts of the n-grams of a whole text; None if it has no letter."""
     is_letter = worker_cache("letters", letters)
-    total = None
+    part, any_letter = None, False
     low = text.lower()
     carry = np.array([32], np.uint64)
     for k in range(0, len(low), CHUNK):
@@ -67,22 +67,19 @@ def counts(text: str) -> tuple[np.ndarray, np.ndarray] | None:
         keep = np.ones(len(points), bool)
         keep[1:] = (points[1:] != 32) | (points[:-1] != 32)
         points = points[keep]
-        if len(points) > 1:
-            found = [points[1:-1] if k == 0 else points[2:-1]]
-            gram = points[:-1] * np.uint64(0x1F123BB5) + points[1:]
-            found.append(gram)
-            if len(points) > 2:
-                found.append(gram[:-1] * np.uint64(0x9E3779B1) + points[2:] + np.uint64(7))
-            grams = np.concatenate(found) * np.uint64(0x9E3779B97F4A7C15)
-            columns = (grams >> np.uint64(64 - BITS)).astype(np.int64)
-            part = np.bincount(columns, minlength=1 << BITS)
-            if letter.any():
-                total = part if total is None else total + part
+        # Only n-grams that end in this chunk; single letters without spaces.
+        old = len(carry)
+        single, pairs, triples = points[old:], points[old - 1 :], points[max(0, old - 2) :]
+        gram = triples[:-1] * np.uint64(0x1F123BB5) + triples[1:]
+        found = [single[single != 32], pairs[:-1] * np.uint64(0x1F123BB5) + pairs[1:], gram[:-1] * np.uint64(0x9E3779B1) + triples[2:] + np.uint64(7)]
+        columns = (np.concatenate(found) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).astype(np.int64)
+        part = part + np.bincount(columns, minlength=1 << BITS) if k else np.bincount(columns, minlength=1 << BITS)
+        any_letter = any_letter or bool(letter.any())
         carry = points[-2:]
-    if total is None:
+    if not any_letter:
         return None
-    columns = np.flatnonzero(total)
-    return columns, total[columns]
+    columns = np.flatnonzero(part)
+    return columns, part[columns]
 
 
 def vector(columns: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:

@@ -1,15 +1,18 @@
 """Line dedup: an exact set-similarity join over the lines of all documents, in DataFrame operations only.
 
-A line is the set of its lower-cased words. A line goes if an earlier line (by document, then by place) has a
-Jaccard similarity of at least `num / den` with it; a line without words stays. Words are 57-bit hashes, ordered
-by rarity: all words are counted into a fixed number of hash cells, and a word ranks by the logarithm of its cell.
-
-1. Equal sets meet in an aggregation on their signature: all but the earliest go, so copies cost no pairs.
-2. Each distinct set posts the words of its prefix. Within the postings of a word, sorted by place, each set looks
-   at a fixed number of sets before it. Length, positional and bitmap filters (the number of bits in which two
-   parity bitmaps differ is at most the number of words that differ) leave few candidates; those are verified.
-3. A set that stands further down the postings of a word than that, and has not been removed, is joined with all
-   sets before it, under the same filters. Dense groups are settled by then, so this emits few pairs.
+A line is the set of its words, which are what spaces separate; case counts. A line goes if an earlier line (by
+document, then by place) has a Jaccard similarity of at least `num / den` with it; a line without words stays. Words
+are 56-bit hashes, ordered by rarity: all words are counted into a fixed number of hash cells, and a word ranks as
+its cell does among the cells.
+
+1. Equal sets meet in an aggregation on their signature, where the earliest stays; copies cost no pairs.
+2. Each distinct set posts the words of its prefix, which is a little longer than one common word would need, so
+   that similar sets have several words of their prefixes in common. Postings of a word meet in a join under a
+   length, a positional and a bitmap filter (two parity bitmaps differ in at most as many bits as the sets differ in
+   words); pairs that meet too seldom go, which leaves few to be verified.
+3. Words that many sets post (by a count of postings in hash cells) would give too many pairs. Their sets are first
+   held against the earliest sets of the word, a fixed number of them; only sets that this does not remove are
+   joined with all earlier ones, under the same filters. Dense groups are settled by then.
 
 Defined results: a null text stays null and an empty one empty; documents with equal ids are ordered among
 themselves by an internal number, and each repeated row counts as a later document; a document of which all lines
@@ -18,53 +21,77 @@ go keeps the empty text; extra columns come along. Null ids come first.
 
 from __future__ import annotations
 
-import math
+import gc
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged, with_key
 
-CELL_BITS = 17
+CELL_BITS = 16
+#: Cells in which postings are counted; a bit for each tells the crowded ones.
+POSTED_BITS = 22
 HASH = (1 << 56) - 1
-TOKEN = (1 << 40) - 1
-LOOK_BACK = 24
+TOKEN = (1 << 31) - 1
+#: Sets that may post a word (or what shares its cell) before it is settled by way of its earliest sets.
+MANY = 100
+ANCHORS = 4
+#: A set of so many words has one more word in its prefix, and of similar sets one more is common.
+STEP = 32
+
+
+def cell(h: Column, bits: int = CELL_BITS) -> Column:
+    return h.bitwiseAND(F.lit((1 << bits) - 1))
 
 
-def words_of(line: Column) -> Column:
-    return F.filter(F.split(F.translate(F.lower(line), "\t\x0b\x0c\r", "    "), " "), lambda w: w != "")
+def constant(values: np.ndarray, kind: str) -> Column:
+    return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast(f"array<{kind}>")
 
 
-def hashes_of(line: Column) -> Column:
-    return F.transform(words_of(line), lambda w: F.xxhash64(w))
+def word_ranks(docs: DataFrame, text: str) -> Column:
+    words = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).select(F.explode(F.split("line", " ")).alias("w"))
+    counted = words.select(cell(F.xxhash64("w")).alias("cell")).groupBy("cell").count().toArrow()  # a row for each cell
+    n = np.zeros(1 << CELL_BITS, np.int64)
+    n[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
+    return constant(np.searchsorted(np.sort(n), n) * 128 // len(n), "tinyint")
 
 
-def word_ranks(docs: DataFrame, text: str) -> str:
-    """The rank of each cell, as a comma-separated string; a fixed number of them comes to the driver."""
-    lines = docs.select(F.explode(hashes_of(F.translate(text, "\n", " "))).alias("h"))
-    cells = lines.groupBy(F.col("h").bitwiseAND(F.lit((1 << CELL_BITS) - 1)).alias("cell")).count()
-    ranks = [0] * (1 << CELL_BITS)
-    for batch in cells.toArrow().to_batches():
-        for cell, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ranks[cell] = int(2 * math.log2(n)) + 1
-    return ",".join(map(str, ranks))
+def crowded(sets: DataFrame, many: int):
+    """A test of whether a posted word is in a cell with more than many postings."""
+    tokens = sets.select(F.explode("prefix").alias("token")).select(cell(F.col("token").cast("bigint"), POSTED_BITS).alias("cell"))
+    cells = tokens.groupBy("cell").count().filter(F.col("count") > many).select("cell").toArrow().column(0).to_numpy()
+    words = np.zeros(1 << (POSTED_BITS - 6), np.uint64)
+    np.bitwise_or.at(words, cells >> 6, np.uint64(1) << (cells & 63).astype(np.uint64))
+    bits = constant(words.view(np.int64), "bigint")
 
+    def test(token: Column) -> Column:
+        at = cell(token.cast("bigint"), POSTED_BITS)
+        return F.call_function("shiftright", F.get(bits, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
-def ordered_tokens(line: Column, ranks: str) -> Column:
+    return test
+
+
+def ordered_tokens(line: Column, ranks: Column) -> Column:
     """The distinct words of a line as longs, rarest first: seven bits of rank over 56 of hash."""
-    table = F.split(F.lit(ranks), ",").cast("array<bigint>")
 
-    def key(h: Column) -> Column:
-        rank = F.get(table, h.bitwiseAND(F.lit((1 << CELL_BITS) - 1)).cast("int"))
-        return F.shiftleft(rank, 56).bitwiseOR(h.bitwiseAND(F.lit(HASH)))
+    def key(w: Column) -> Column:
+        rank = F.get(ranks, cell(F.xxhash64(w)).cast("int")).cast("bigint")
+        return F.shiftleft(rank, 56).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit(HASH)))
 
-    return F.sort_array(F.array_distinct(F.transform(hashes_of(line), key)))
+    return F.sort_array(F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), key)))
 
 
 def parity(tokens: Column) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(k, 40).bitwiseAND(F.lit(63)).cast("int"))))
 
 
+def release(docs: DataFrame) -> None:
+    """Lets Spark remove shuffle files that no plan needs any more."""
+    gc.collect()
+    docs.sparkSession._jvm.System.gc()
+
+
 def least_common(size: Column, num: int, den: int) -> Column:
     """The least overlap of two sets with so many words together."""
     return F.floor((size * num + (num + den - 1)) / F.lit(num + den)).cast("long")
@@ -80,75 +107,100 @@ def may_match(xs: Column, ys: Column, xi: Column, yi: Column, xb: Column, yb: Co
     )
 
 
-def line_rows(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select("k", F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"))
-
-
-def matches(pairs: DataFrame, docs: DataFrame, text: str, ranks: str, num: int, den: int) -> DataFrame:
-    """(k, at) of the y of those pairs (xk, xat, yk, yat) that are similar."""
-    pairs = staged(pairs, "line-pairs")
+def matches(pairs: DataFrame, docs: DataFrame, text: str, ranks: Column, num: int, den: int) -> DataFrame:
+    """(k, at) of the y of those pairs (xk, xat, yk, yat) that are similar. Only lines in pairs are looked at."""
     ends = pairs.select(F.col("xk").alias("k"), F.col("xat").alias("at")).union(pairs.select("yk", "yat")).distinct()
-    wanted = ends.groupBy("k").agg(F.collect_set("at").alias("wanted"))
+    wanted = staged(ends.groupBy("k").agg(F.collect_set("at").alias("wanted")), "line-wanted")
     placed = F.transform(F.split(F.col(text), "\n"), lambda line, i: F.struct(i.alias("at"), line.alias("line")))
     lines = docs.join(wanted, "k").select("k", F.explode(F.filter(placed, lambda x: F.array_contains("wanted", x["at"]))).alias("x"))
     sets = staged(lines.select("k", "x.at", ordered_tokens(F.col("x.line"), ranks).alias("tokens")), "line-sets")
+    release(docs)
     x = sets.select(F.col("k").alias("xk"), F.col("at").alias("xat"), F.col("tokens").alias("xt"))
     y = sets.select(F.col("k").alias("yk"), F.col("at").alias("yat"), F.col("tokens").alias("yt"))
     both = pairs.join(x, ["xk", "xat"]).join(y, ["yk", "yat"])
     common = F.size(F.array_intersect("xt", "yt"))
     similar = both.filter(common * (num + den) >= (F.size("xt") + F.size("yt")) * num)
-    return similar.select(F.col("yk").alias("k"), F.col("yat").alias("at")).distinct()
+    return staged(similar.select(F.col("yk").alias("k"), F.col("yat").alias("at")).distinct(), "line-matches")
+
+
+def posted(sets: DataFrame, *more: str) -> DataFrame:
+    return sets.select("k", "at", "size", "bits", "crowded", *more, F.posexplode("prefix").alias("i", "token"))
+
+
+def as_side(postings: DataFrame, side: str) -> DataFrame:
+    return postings.select("token", *(F.col(c).alias(side + c) for c in postings.columns if c != "token"))
+
+
+def in_common() -> Column:
+    """How many words the prefixes of similar sets have in common at least."""
+    return F.floor(F.least("xsize", "ysize") / F.lit(STEP)) + 1
+
+
+def met(joined: DataFrame, num: int, den: int) -> DataFrame:
+    """A row for each meeting of joined postings, x before y, that may match."""
+    may = may_match(F.col("xsize"), F.col("ysize"), F.col("xi"), F.col("yi"), F.col("xbits"), F.col("ybits"), num, den)
+    return joined.filter(may & (F.struct("xk", "xat") < F.struct("yk", "yat")))
+
+
+def crowd_pairs(x: DataFrame, y: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that meet at crowded words. Their postings carry the prefixes, so these are compared at once."""
+    alike = F.size(F.array_intersect("xprefix", "yprefix")) >= in_common()
+    return met(as_side(x, "x").join(as_side(y, "y"), "token"), num, den).filter(alike).select(*PAIR)
+
+
+PAIR = ("xk", "xat", "yk", "yat")
 
 
-def later_matches(docs: DataFrame, text: str, num: int, den: int, look_back: int) -> DataFrame:
-    """(k, at) of the lines that go; docs has the order key k."""
+def kept_lines(docs: DataFrame, text: str, num: int, den: int) -> DataFrame:
+    """(k, at) of the lines with words that stay; docs has the order key k."""
     ranks = word_ranks(docs, text)
-    tokens = line_rows(docs, text).select("k", "at", ordered_tokens(F.col("line"), ranks).alias("t")).filter(F.size("t") > 0)
+    lines = docs.select("k", F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"))
+    tokens = lines.select("k", "at", ordered_tokens(F.col("line"), ranks).alias("t"))
     size = F.size("t")
-    prefix = size - F.floor((size * num + (den - 1)) / F.lit(den)).cast("int") + 1
-    slim = tokens.select(
-        "k", "at", F.xxhash64("t").alias("s1"), F.xxhash64(F.lit(1), "t").alias("s2"), size.alias("size"),
-        F.transform(F.slice("t", F.lit(1), prefix), lambda w: w.bitwiseAND(F.lit(TOKEN))).alias("prefix"), parity(F.col("t")).alias("bits"),
-    )
-    rows = staged(slim, "lines")
-    # All lines of a set have the same size, prefix and bitmap.
-    sets = rows.groupBy("s1", "s2").agg(F.min(F.struct("k", "at")).alias("first"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-    distinct = staged(sets, "line-groups").select("s1", "s2", "first.k", "first.at", "n", "size", "bits", "prefix")
-    repeated = distinct.filter("n > 1").select("s1", "s2", F.col("k").alias("fk"), F.col("at").alias("fat"))
-    copies = rows.select("k", "at", "s1", "s2").join(repeated, ["s1", "s2"]).filter(~(F.col("k").eqNullSafe(F.col("fk")) & (F.col("at") == F.col("fat")))).select("k", "at")
-    copies = staged(copies, "line-copies")
-
-    postings = distinct.select("k", "at", F.col("size").cast("long").alias("size"), "bits", F.posexplode("prefix").alias("i", "token")).withColumn("i", F.col("i").cast("long"))
-    by_token = Window.partitionBy("token").orderBy("k", "at")
-    seen = F.collect_list(F.struct("k", "at", "size", "i", "bits")).over(by_token.rowsBetween(-look_back, -1))
-    near = postings.withColumn("nth", F.row_number().over(by_token)).withColumn("before", seen)
-    near = near.withColumn("before", F.filter("before", lambda x: may_match(x["size"], F.col("size"), x["i"], F.col("i"), x["bits"], F.col("bits"), num, den)))
-    # Far down a list, the nearest two stand for a dense group; what they don't settle is joined below.
-    deep = F.col("nth") > look_back + 1
-    near = near.withColumn("before", F.when(deep, F.slice(F.reverse("before"), 1, 2)).otherwise(F.col("before")))
-    near = staged(near.filter(deep | (F.size("before") > 0)).select("k", "at", "size", "bits", "i", "token", deep.alias("deep"), "before"), "line-near")
-    pairs = near.select(F.col("k").alias("yk"), F.col("at").alias("yat"), F.explode("before").alias("x")).select("yk", "yat", F.col("x.k").alias("xk"), F.col("x.at").alias("xat")).distinct()
-    gone = staged(matches(pairs, docs, text, ranks, num, den), "line-matches")
-
-    left = near.filter("deep").join(gone, ["k", "at"], "left_anti").select(F.col("k").alias("yk"), F.col("at").alias("yat"), F.col("size").alias("ys"), F.col("bits").alias("yb"), F.col("i").alias("yi"), "token")
-    left = staged(left, "line-deep")
-    if not left.isEmpty():
-        x = postings.select(F.col("k").alias("xk"), F.col("at").alias("xat"), F.col("size").alias("xs"), F.col("bits").alias("xb"), F.col("i").alias("xi"), "token")
-        earlier = F.struct("xk", "xat") < F.struct("yk", "yat")
-        far = left.join(x, (left.token == x.token) & earlier & may_match(F.col("xs"), F.col("ys"), F.col("xi"), F.col("yi"), F.col("xb"), F.col("yb"), num, den))
-        gone = gone.union(matches(far.select("xk", "xat", "yk", "yat").distinct(), docs, text, ranks, num, den))
-    return copies.union(gone).distinct()
-
-
-def dedup_lines(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", look_back: int = LOOK_BACK) -> DataFrame:
+    longest = size - F.floor((size * num + (den - 1)) / F.lit(den)).cast("int") + 1 + F.floor(size / F.lit(STEP)).cast("int")
+    prefix = F.slice("t", F.lit(1), longest)
+    slim = tokens.select("k", "at", F.xxhash64("t").alias("sign"), size.alias("size"), F.transform(prefix, lambda w: w.bitwiseAND(F.lit(TOKEN)).cast("int")).alias("prefix"), parity(F.col("t")).alias("bits"))
+    # Equal sets have equal signatures, sizes and bitmaps, 128 bits of hash; all their lines have the same prefix.
+    sets = slim.groupBy("sign", "bits", "size").agg(F.min(F.struct("k", "at")).alias("first"), F.first("prefix").alias("prefix"))
+    # The filter comes after the table is written: before, it would be pushed down, and tokens would be made twice.
+    sets = staged(sets.select("first.k", "first.at", F.col("size").cast("long").alias("size"), "bits", "prefix"), "line-sets").filter("size > 0")
+    release(docs)
+
+    is_many = crowded(sets, MANY)
+    sets = sets.withColumn("crowded", F.size(F.filter("prefix", is_many)))
+    few = posted(sets).filter(~is_many(F.col("token")))
+    # Were all crowded words of the one that has fewer of them common, a pair would have to meet this often here.
+    need = in_common() - F.least("xcrowded", "ycrowded")
+    close = met(as_side(few, "x").join(as_side(few, "y"), "token"), num, den).select(*PAIR, need.alias("need"))
+    close = close.groupBy(*PAIR).agg(F.count("*").alias("n"), F.max("need").alias("need")).filter("n >= need").select(*PAIR)
+    close = staged(close, "line-close")
+    release(docs)
+    crowd = staged(posted(sets, "prefix").filter(is_many(F.col("token"))), "line-crowd")
+    anchors = crowd.groupBy("token", F.pmod(F.xxhash64("k", "at"), F.lit(ANCHORS))).agg(F.min(F.struct("k", "at", "size", "i", "bits", "crowded", "prefix")).alias("a")).select("token", "a.*")
+    pairs = staged(close.union(crowd_pairs(anchors, crowd, num, den)).distinct(), "line-pairs")
+    release(docs)
+    gone = matches(pairs, docs, text, ranks, num, den)
+
+    left = crowd.join(gone, ["k", "at"], "left_anti")
+    far = crowd_pairs(crowd, left, num, den).distinct().join(pairs, [*PAIR], "left_anti")
+    far = staged(far, "line-far")
+    if not far.isEmpty():
+        gone = gone.union(matches(far, docs, text, ranks, num, den))
+    release(docs)
+    return sets.select("k", "at").join(gone, ["k", "at"], "left_anti")
+
+
+def dedup_lines(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the lines that match an earlier line; n_lines and n_removed are added."""
     keyed = with_key(docs, id_col)
     body = F.col(f"`{text_col}`").cast("string")
     text = keyed.select(F.col("__k").alias("k"), body.alias("text")).filter("text IS NOT NULL")
-    gone = later_matches(text, "text", num, den, look_back).groupBy(F.col("k").alias("__k")).agg(F.collect_set("at").alias("__gone"))
-    lines = F.split(body, "\n")
-    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("__gone", i)), "\n")
-    out = keyed.join(gone, "__k", "left").withColumn("__n", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
-    out = out.withColumn(text_col, F.when(F.col("__gone").isNotNull(), kept).otherwise(body))
-    out = out.withColumn("n_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long")).withColumn("n_lines", F.col("__n"))
-    return out.drop("__k", "__gone", "__n")
+    kept = staged(kept_lines(text, "text", num, den).groupBy(F.col("k").alias("__k")).agg(F.collect_set("at").alias("__kept")), "line-kept")
+    release(docs)
+    out = keyed.join(kept, "__k", "left").withColumn("__lines", F.split(body, "\n"))
+    stay = F.filter("__lines", lambda line, i: F.coalesce(F.array_contains("__kept", i), F.lit(False)) | (F.trim(line) == ""))
+    out = out.withColumn("__stay", stay).withColumn("__n", F.coalesce(F.size("__lines"), F.lit(0)).cast("long"))
+    out = out.withColumn("__gone", F.col("__n") - F.coalesce(F.size("__stay"), F.lit(0)))
+    out = out.withColumn(text_col, F.when(F.col("__gone") > 0, F.array_join("__stay", "\n")).otherwise(body))
+    out = out.withColumn("n_removed", F.col("__gone")).withColumn("n_lines", F.col("__n"))
+    return out.drop("__k", "__kept", "__lines", "__stay", "__gone", "__n")
