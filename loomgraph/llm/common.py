@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bytes of one Arrow batch between the JVM and a Python worker; bounds a worker's memory when texts are long.
+#: Rows and bytes of one Arrow batch between the JVM and a Python worker; they bound the memory of both.
+BATCH_ROWS = 256
 BATCH_BYTES = 4 << 20
 
 
@@ -71,7 +72,7 @@ def with_key(docs: DataFrame, id_col: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType | str) -> DataFrame:
-    """fn on each Arrow batch of df, in batches of at most BATCH_BYTES."""
+    """fn on each Arrow batch of df, in batches of bounded size."""
     set_batch_bytes(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,6 +85,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
 
 def set_batch_bytes(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def worker_cache(key: str, make: Callable):

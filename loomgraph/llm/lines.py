@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import staged, with_key
 
-CELL_BITS = 16
+CELL_BITS = 18
 #: Cells in which postings are counted; a bit for each tells the crowded ones.
 POSTED_BITS = 22
 HASH = (1 << 56) - 1
@@ -37,6 +37,7 @@ TOKEN = (1 << 31) - 1
 #: Sets that may post a word (or what shares its cell) before it is settled by way of its earliest sets.
 MANY = 100
 ANCHORS = 4
+PAIR = ("xk", "xat", "yk", "yat")
 #: A set of so many words has one more word in its prefix, and of similar sets one more is common.
 STEP = 32
 
@@ -82,8 +83,15 @@ def ordered_tokens(line: Column, ranks: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), key)))
 
 
-def parity(tokens: Column) -> Column:
-    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(k, 40).bitwiseAND(F.lit(63)).cast("int"))))
+def parity(tokens: Column, part: int | None = None) -> Column:
+    """64 bits, each the parity of the words that hash to it; with part, of that quarter of the words only."""
+    one = F.lit(1).cast("bigint")
+    bit = lambda k: F.call_function("shiftleft", one, F.shiftright(k, 40).bitwiseAND(F.lit(63)).cast("int"))
+    if part is not None:
+        whole, bit_of = bit, lambda k: F.when(F.shiftright(k, 46).bitwiseAND(F.lit(3)) == part, whole(k)).otherwise(F.lit(0).cast("bigint"))
+    else:
+        bit_of = bit
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(bit_of(k)))
 
 
 def release(docs: DataFrame) -> None:
@@ -113,14 +121,32 @@ def matches(pairs: DataFrame, docs: DataFrame, text: str, ranks: Column, num: in
     wanted = staged(ends.groupBy("k").agg(F.collect_set("at").alias("wanted")), "line-wanted")
     placed = F.transform(F.split(F.col(text), "\n"), lambda line, i: F.struct(i.alias("at"), line.alias("line")))
     lines = docs.join(wanted, "k").select("k", F.explode(F.filter(placed, lambda x: F.array_contains("wanted", x["at"]))).alias("x"))
-    sets = staged(lines.select("k", "x.at", ordered_tokens(F.col("x.line"), ranks).alias("tokens")), "line-sets")
+    sets = lines.select("k", "x.at", ordered_tokens(F.col("x.line"), ranks).alias("tokens"))
+    sets = staged(sets.select("k", "at", "tokens", F.size("tokens").alias("size"), *(parity(F.col("tokens"), j).alias(f"b{j}") for j in range(4))), "line-sets")
+    release(docs)
+    # Words are compared only for pairs that pass larger bitmaps, so few words are shuffled.
+    small = lambda side: sets.select(*(F.col(c).alias(side + c) for c in ("k", "at", "size", "b0", "b1", "b2", "b3")))
+    both = pairs.join(small("x"), ["xk", "xat"]).join(small("y"), ["yk", "yat"])
+    differ = sum((F.bit_count(F.col(f"xb{j}").bitwiseXOR(F.col(f"yb{j}"))) for j in range(1, 4)), F.bit_count(F.col("xb0").bitwiseXOR(F.col("yb0"))))
+    size = F.col("xsize") + F.col("ysize")
+    pairs = staged(both.filter(differ <= size - 2 * least_common(size, num, den)).select(*PAIR), "line-alike")
     release(docs)
+    # In a group of copies most lines are settled by their earliest or nearest partner, so these come first.
+    ends = (F.min(F.struct("xk", "xat")), F.max(F.struct("xk", "xat")))
+    some = pairs.groupBy("yk", "yat").agg(F.array_distinct(F.array(*ends)).alias("x")).select("yk", "yat", F.explode("x").alias("x")).select("x.xk", "x.xat", "yk", "yat")
+    gone = staged(similar(some, sets, num, den), "line-matches")
+    rest = pairs.join(gone.select(F.col("k").alias("yk"), F.col("at").alias("yat")), ["yk", "yat"], "left_anti").select(*PAIR)
+    return staged(gone.union(similar(rest, sets, num, den)), "line-matches")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(k, at) of the y of those pairs whose sets of words are similar."""
     x = sets.select(F.col("k").alias("xk"), F.col("at").alias("xat"), F.col("tokens").alias("xt"))
     y = sets.select(F.col("k").alias("yk"), F.col("at").alias("yat"), F.col("tokens").alias("yt"))
     both = pairs.join(x, ["xk", "xat"]).join(y, ["yk", "yat"])
     common = F.size(F.array_intersect("xt", "yt"))
-    similar = both.filter(common * (num + den) >= (F.size("xt") + F.size("yt")) * num)
-    return staged(similar.select(F.col("yk").alias("k"), F.col("yat").alias("at")).distinct(), "line-matches")
+    found = both.filter(common * (num + den) >= (F.size("xt") + F.size("yt")) * num)
+    return found.select(F.col("yk").alias("k"), F.col("yat").alias("at")).distinct()
 
 
 def posted(sets: DataFrame, *more: str) -> DataFrame:
@@ -148,9 +174,6 @@ def crowd_pairs(x: DataFrame, y: DataFrame, num: int, den: int) -> DataFrame:
     return met(as_side(x, "x").join(as_side(y, "y"), "token"), num, den).filter(alike).select(*PAIR)
 
 
-PAIR = ("xk", "xat", "yk", "yat")
-
-
 def kept_lines(docs: DataFrame, text: str, num: int, den: int) -> DataFrame:
     """(k, at) of the lines with words that stay; docs has the order key k."""
     ranks = word_ranks(docs, text)
