@@ -46,8 +46,8 @@ def rank_sql(rounds: int) -> str:
     return ", " + ", ".join(ctes) + " "
 
 
-def ranks(spark, sf, rounds: int = 3, **more) -> DataFrame:
-    return pr.pagerank(derived(spark, sf, "nodes"), derived(spark, sf, "links"), max_iter=rounds, tol=None, **more).withColumn("pagerank", F.round("pagerank", 12))
+def ranks(spark, sf) -> DataFrame:
+    return pr.pagerank(derived(spark, sf, "nodes"), derived(spark, sf, "links"), max_iter=3, tol=None).withColumn("pagerank", F.round("pagerank", 12))
 
 
 ROUNDED = "ranks AS (SELECT page_id, round(pagerank, 12) AS pagerank FROM r3) "
@@ -60,7 +60,8 @@ def g1_pagerank_top(spark, sf):
 
 @query(oracle("nodes", "links", body=rank_sql(3) + "SELECT page_id, round(pagerank / (SELECT sum(pagerank) FROM r3), 9) AS pagerank FROM r3"))
 def g2_pagerank_normalized(spark, sf):
-    return ranks(spark, sf, normalize=True).select("page_id", F.round("pagerank", 9).alias("pagerank"))
+    out = pr.pagerank(derived(spark, sf, "nodes"), derived(spark, sf, "links"), max_iter=3, tol=None, normalize=True)
+    return out.select("page_id", F.round("pagerank", 9).alias("pagerank"))
 
 
 @query(oracle("nodes", "links", body=rank_sql(3) + "SELECT page_id, title, round(pagerank, 9) AS pagerank FROM r3 JOIN nodes USING (page_id) ORDER BY round(r3.pagerank, 12), page_id LIMIT 10"))

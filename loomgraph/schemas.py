@@ -20,6 +20,7 @@ SCHEMAS = {
     "classified": "page_id LONG, title STRING, classification STRING, num_categories LONG",
     "kg_nodes": "node_id LONG, original_id LONG, title STRING, node_type STRING, depth INT, normalized_depth DOUBLE, direct_concept_count LONG, total_concept_count LONG, specificity_score DOUBLE",
     "kg_edges": "src_id LONG, dst_id LONG, edge_type STRING",
+    "metadata": "num_nodes LONG, num_concepts LONG, num_categories LONG, num_edges LONG, max_depth INT, category_id_offset LONG, depth_distribution MAP<STRING, LONG>",
     "title_index": "title_lower STRING, title STRING, node_id LONG, node_type STRING",
     "ancestors": "node_id LONG, ancestors ARRAY<LONG>",
     "clean_nodes": "node_id LONG, original_id LONG, title STRING, node_type STRING, depth INT, normalized_depth FLOAT, direct_concept_count INT, total_concept_count INT, specificity_score FLOAT",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import conform
+from ..schemas import SCHEMAS, conform
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,7 +40,7 @@ def read_graph(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The tables of a graph folder and its metadata; those that are not there are left out."""
     out = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in ("nodes", "edges", "title_index", "ancestors") if exists(spark, f"{folder}/{name}.parquet")}
     if exists(spark, f"{folder}/metadata.json"):
-        out["metadata"] = spark.read.json(f"{folder}/metadata.json")
+        out["metadata"] = spark.read.schema(SCHEMAS["metadata"]).json(f"{folder}/metadata.json")
     return out
 
 
