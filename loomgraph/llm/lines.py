@@ -10,7 +10,7 @@ its cell does among the cells.
    that similar sets have several words of their prefixes in common. Postings of a word meet in a join under a
    length, a positional and a bitmap filter (two parity bitmaps differ in at most as many bits as the sets differ in
    words); pairs that meet too seldom go, which leaves few to be verified.
-3. Words that many sets post (by a count of postings in hash cells) would give too many pairs. Their sets are first
+3. Words that many sets of about one size post (by counts in hash cells) would give too many pairs. Their sets are first
    held against the earliest sets of the word, a fixed number of them; only sets that this does not remove are
    joined with all earlier ones, under the same filters. Dense groups are settled by then.
 
@@ -34,7 +34,7 @@ CELL_BITS = 18
 POSTED_BITS = 22
 HASH = (1 << 56) - 1
 TOKEN = (1 << 31) - 1
-#: Sets that may post a word (or what shares its cell) before it is settled by way of its earliest sets.
+#: Sets of about one size that may post a word (or what shares its cell) before it is settled by its earliest sets.
 MANY = 100
 ANCHORS = 4
 PAIR = ("xk", "xat", "yk", "yat")
@@ -59,9 +59,10 @@ def word_ranks(docs: DataFrame, text: str) -> Column:
 
 
 def crowded(sets: DataFrame, many: int):
-    """A test of whether a posted word is in a cell with more than many postings."""
-    tokens = sets.select(F.explode("prefix").alias("token")).select(cell(F.col("token").cast("bigint"), POSTED_BITS).alias("cell"))
-    cells = tokens.groupBy("cell").count().filter(F.col("count") > many).select("cell").toArrow().column(0).to_numpy()
+    """A test of whether a posted word is in a cell with more than many postings of sets of about one size. Words that
+    are just frequent are posted by sets of all sizes, those of a dense group by sets of one."""
+    tokens = sets.select(F.floor(F.log("size") * 4.5).alias("sizes"), F.explode("prefix").alias("token")).select("sizes", cell(F.col("token").cast("bigint"), POSTED_BITS).alias("cell"))
+    cells = tokens.groupBy("cell", "sizes").count().filter(F.col("count") > many).select("cell").distinct().toArrow().column(0).to_numpy()
     words = np.zeros(1 << (POSTED_BITS - 6), np.uint64)
     np.bitwise_or.at(words, cells >> 6, np.uint64(1) << (cells & 63).astype(np.uint64))
     bits = constant(words.view(np.int64), "bigint")
