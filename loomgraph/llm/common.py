@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import sys
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..runtime import remove, scratch, shared_dir, staged
+
+__all__ = ["map_batches", "remove", "scratch", "set_batch_bytes", "shared_dir", "staged", "table", "text_column", "with_key", "worker_cache"]
+
 #: Rows and bytes of one Arrow batch between the JVM and a Python worker; they bound the memory of both.
 BATCH_ROWS = 256
 BATCH_BYTES = 4 << 20
@@ -26,41 +28,6 @@ def text_column(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir; where it is unset, as in tests, one is set."""
-    at = spark.conf.get("spark.checkpoint.dir", "")
-    if not at:
-        at = "/tmp/checkpoints"
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver ends."""
-    path = f"{shared_dir(spark)}/loom-{name}-{uuid.uuid4().hex}"
-    atexit.register(remove, spark, path)
-    return path
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    try:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception:  # the session may be gone; the folder is scratch space
-        pass
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet in the shared folder and read again: cuts lineage, survives lost executors, keeps column pruning."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")  # what a finished write has shuffled may go
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.scratch_path = path
-    return out
-
-
 def with_key(docs: DataFrame, id_col: str) -> DataFrame:
     """docs with a column __k that is in the order of the id and differs from row to row: the id itself or, if some
     are equal or null, the id and an internal number, after docs has been staged so that numbers stay."""
