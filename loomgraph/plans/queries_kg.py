@@ -149,3 +149,20 @@ def g19_trim_empty(spark, sf):
 def a14_depth_types(spark, sf):
     g = derived(spark, sf, "geo")
     return g.groupBy("depth").agg(F.count_if(F.col("node_type") == "category").alias("categories"), F.count_if(F.col("node_type") == "page").alias("pages"))
+
+
+@query(oracle("scats", "sdag", "sbridge", "visual", recursive=True, body=KG_NODES + "SELECT round((SELECT count(*) FROM sbridge WHERE page_id IN (SELECT page_id FROM visual)) * 1.0 / (SELECT count(*) FROM visual), 9) AS categories_per_concept, round((SELECT count(*) FROM sdag) * 1.0 / (SELECT count(*) FROM live), 9) AS children_per_category, round(avg(spec), 9) AS mean_specificity, round(min(spec), 9) AS min_specificity, round(max(spec), 9) AS max_specificity FROM kgn WHERE node_type = 'category'"))
+def a16_averages(spark, sf):
+    one = validate.averages(built(spark, sf))
+    return one.select(*(F.round(c, 9).alias(c) for c in one.columns))
+
+
+@query(oracle("scats", "sdag", "sbridge", "visual", recursive=True, body=KG_NODES + "SELECT round(corr(spec, total), 6) AS correlation FROM kgn WHERE node_type = 'category' AND total > 0"))
+def a15_correlation(spark, sf):
+    n = built(spark, sf)["nodes"].filter("node_type = 'category' AND total_concept_count > 0")
+    return n.agg(F.round(F.corr("specificity_score", "total_concept_count"), 6).alias("correlation"))
+
+
+@query(oracle("sbridge", body="SELECT category_id, count(*) AS page_count FROM sbridge GROUP BY 1"))
+def a12_page_counts(spark, sf):
+    return derived(spark, sf, "sbridge").groupBy("category_id").agg(F.count("*").alias("page_count"))

@@ -258,3 +258,21 @@ def g22_paths_to_root(spark, sf):
 def g23_paths_to_any_root(spark, sf):
     e = derived(spark, sf, "sdag")
     return lookup.paths_up(e, e.select(F.col("child_id").alias("id")), 10).groupBy("id").agg(F.count("*").alias("paths"), F.min(F.size("path")).alias("shortest"))
+
+
+@query(oracle("geo", body="SELECT node_id, title FROM geo WHERE contains(lower(title), 'nation_2') ORDER BY node_id LIMIT 1"))
+def q7_find(spark, sf):
+    return lookup.find(derived(spark, sf, "geo"), "Nation 2", exact=False).select("node_id", "title")
+
+
+@query(oracle("nodes", body="SELECT page_id AS node_id, concat(title, '.n.01') AS synset FROM nodes WHERE starts_with(title, 'List_of_') AND starts_with(concat(title, '.n.01'), (SELECT min(title) FROM nodes WHERE starts_with(title, 'List_of_')) || '.')"))
+def q2_synset(spark, sf):
+    nodes = derived(spark, sf, "nodes").select(F.col("page_id").alias("node_id"), F.concat("title", F.lit(".n.01")).alias("synset"))
+    word = derived(spark, sf, "nodes").filter(F.col("title").startswith("List_of_")).agg(F.min("title")).first()[0]
+    return lookup.by_synset(nodes, word)
+
+
+@query(oracle("links", "nodes", body="SELECT src_id AS id FROM links EXCEPT SELECT page_id FROM nodes WHERE page_id % 2 = 0"))
+def u6_missing_keys(spark, sf):
+    keys = derived(spark, sf, "links").select(F.col("src_id").alias("id")).distinct()
+    return keys.join(derived(spark, sf, "nodes").filter("page_id % 2 = 0").select(F.col("page_id").alias("id")), "id", "left_anti")
