@@ -24,14 +24,15 @@ from __future__ import annotations
 import gc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged, with_key
 
-CELL_BITS = 18
+CELL_BITS = 17
 #: Cells in which postings are counted; a bit for each tells the crowded ones.
-POSTED_BITS = 22
+POSTED_BITS = 21
 HASH = (1 << 56) - 1
 TOKEN = (1 << 31) - 1
 #: Sets of about one size that may post a word (or what shares its cell) before it is settled by its earliest sets.
@@ -96,8 +97,9 @@ def parity(tokens: Column, part: int | None = None) -> Column:
 
 
 def release(docs: DataFrame) -> None:
-    """Lets Spark remove shuffle files that no plan needs any more."""
+    """Lets Spark remove shuffle files that no plan needs any more, and the driver memory that it holds for none."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     docs.sparkSession._jvm.System.gc()
 
 
@@ -121,7 +123,7 @@ def matches(pairs: DataFrame, docs: DataFrame, text: str, ranks: Column, num: in
     ends = pairs.select(F.col("xk").alias("k"), F.col("xat").alias("at")).union(pairs.select("yk", "yat")).distinct()
     wanted = staged(ends.groupBy("k").agg(F.collect_set("at").alias("wanted")), "line-wanted")
     placed = F.transform(F.split(F.col(text), "\n"), lambda line, i: F.struct(i.alias("at"), line.alias("line")))
-    lines = docs.join(wanted, "k").select("k", F.explode(F.filter(placed, lambda x: F.array_contains("wanted", x["at"]))).alias("x"))
+    lines = docs.join(wanted.hint("merge"), "k").select("k", F.explode(F.filter(placed, lambda x: F.array_contains("wanted", x["at"]))).alias("x"))
     sets = lines.select("k", "x.at", ordered_tokens(F.col("x.line"), ranks).alias("tokens"))
     sets = staged(sets.select("k", "at", "tokens", F.size("tokens").alias("size"), *(parity(F.col("tokens"), j).alias(f"b{j}") for j in range(4))), "line-sets")
     release(docs)
@@ -158,9 +160,17 @@ def as_side(postings: DataFrame, side: str) -> DataFrame:
     return postings.select("token", *(F.col(c).alias(side + c) for c in postings.columns if c != "token"))
 
 
-def in_common() -> Column:
-    """How many words the prefixes of similar sets have in common at least."""
-    return F.floor(F.least("xsize", "ysize") / F.lit(STEP)) + 1
+def posted_words(size: Column, num: int, den: int) -> Column:
+    """How many words a set posts."""
+    return F.least(size, size - F.floor((size * num + (den - 1)) / F.lit(den)) + 1 + F.floor(size / F.lit(STEP)))
+
+
+def in_common(num: int, den: int) -> Column:
+    """How many words the prefixes of x and y have in common at least, if they are similar. Where words are in one
+    order, a prefix of one set and the rest of the other can share words for one of the two only; so beyond the words
+    that the prefixes share, at most the longer of the two rests can be common."""
+    x, y = F.col("xsize"), F.col("ysize")
+    return least_common(x + y, num, den) - F.greatest(x - posted_words(x, num, den), y - posted_words(y, num, den))
 
 
 def met(joined: DataFrame, num: int, den: int) -> DataFrame:
@@ -171,7 +181,7 @@ def met(joined: DataFrame, num: int, den: int) -> DataFrame:
 
 def crowd_pairs(x: DataFrame, y: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs that meet at crowded words. Their postings carry the prefixes, so these are compared at once."""
-    alike = F.size(F.array_intersect("xprefix", "yprefix")) >= in_common()
+    alike = F.size(F.array_intersect("xprefix", "yprefix")) >= in_common(num, den)
     return met(as_side(x, "x").join(as_side(y, "y"), "token"), num, den).filter(alike).select(*PAIR)
 
 
@@ -181,8 +191,7 @@ def kept_lines(docs: DataFrame, text: str, num: int, den: int) -> DataFrame:
     lines = docs.select("k", F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"))
     tokens = lines.select("k", "at", ordered_tokens(F.col("line"), ranks).alias("t"))
     size = F.size("t")
-    longest = size - F.floor((size * num + (den - 1)) / F.lit(den)).cast("int") + 1 + F.floor(size / F.lit(STEP)).cast("int")
-    prefix = F.slice("t", F.lit(1), longest)
+    prefix = F.slice("t", F.lit(1), posted_words(size, num, den).cast("int"))
     slim = tokens.select("k", "at", F.xxhash64("t").alias("sign"), size.alias("size"), F.transform(prefix, lambda w: w.bitwiseAND(F.lit(TOKEN)).cast("int")).alias("prefix"), parity(F.col("t")).alias("bits"))
     # Equal sets have equal signatures, sizes and bitmaps, 128 bits of hash; all their lines have the same prefix.
     sets = slim.groupBy("sign", "bits", "size").agg(F.min(F.struct("k", "at")).alias("first"), F.first("prefix").alias("prefix"))
@@ -194,7 +203,7 @@ def kept_lines(docs: DataFrame, text: str, num: int, den: int) -> DataFrame:
     sets = sets.withColumn("crowded", F.size(F.filter("prefix", is_many)))
     few = posted(sets).filter(~is_many(F.col("token")))
     # Were all crowded words of the one that has fewer of them common, a pair would have to meet this often here.
-    need = in_common() - F.least("xcrowded", "ycrowded")
+    need = in_common(num, den) - F.least("xcrowded", "ycrowded")
     close = met(as_side(few, "x").join(as_side(few, "y"), "token"), num, den).select(*PAIR, need.alias("need"))
     close = close.groupBy(*PAIR).agg(F.count("*").alias("n"), F.max("need").alias("need")).filter("n >= need").select(*PAIR)
     close = staged(close, "line-close")
