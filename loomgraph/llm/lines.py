@@ -24,7 +24,6 @@ from __future__ import annotations
 import gc
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,15 +46,22 @@ def cell(h: Column, bits: int = CELL_BITS) -> Column:
     return h.bitwiseAND(F.lit((1 << bits) - 1))
 
 
+def numbers(df: DataFrame, *columns: str) -> np.ndarray:
+    """The rows of a table of bounded size, packed into a few strings for the way to the driver."""
+    packed = df.groupBy(F.pmod(F.col(columns[0]), F.lit(64))).agg(F.concat_ws(",", F.collect_list(F.concat_ws(",", *columns))).alias("rows"))
+    parts = [np.fromstring(r.rows, np.int64, sep=",") for r in packed.collect()]
+    return np.concatenate([np.empty(0, np.int64), *parts]).reshape(-1, len(columns))
+
+
 def constant(values: np.ndarray, kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast(f"array<{kind}>")
 
 
 def word_ranks(docs: DataFrame, text: str) -> Column:
     words = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).select(F.explode(F.split("line", " ")).alias("w"))
-    counted = words.select(cell(F.xxhash64("w")).alias("cell")).groupBy("cell").count().toArrow()  # a row for each cell
+    counted = numbers(words.select(cell(F.xxhash64("w")).alias("cell")).groupBy("cell").count(), "cell", "count")
     n = np.zeros(1 << CELL_BITS, np.int64)
-    n[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
+    n[counted[:, 0]] = counted[:, 1]
     return constant(np.searchsorted(np.sort(n), n) * 128 // len(n), "tinyint")
 
 
@@ -63,7 +69,7 @@ def crowded(sets: DataFrame, many: int):
     """A test of whether a posted word is in a cell with more than many postings of sets of about one size. Words that
     are just frequent are posted by sets of all sizes, those of a dense group by sets of one."""
     tokens = sets.select(F.floor(F.log("size") * 4.5).alias("sizes"), F.explode("prefix").alias("token")).select("sizes", cell(F.col("token").cast("bigint"), POSTED_BITS).alias("cell"))
-    cells = tokens.groupBy("cell", "sizes").count().filter(F.col("count") > many).select("cell").distinct().toArrow().column(0).to_numpy()
+    cells = numbers(tokens.groupBy("cell", "sizes").count().filter(F.col("count") > many).select("cell").distinct(), "cell")[:, 0]
     words = np.zeros(1 << (POSTED_BITS - 6), np.uint64)
     np.bitwise_or.at(words, cells >> 6, np.uint64(1) << (cells & 63).astype(np.uint64))
     bits = constant(words.view(np.int64), "bigint")
@@ -97,9 +103,8 @@ def parity(tokens: Column, part: int | None = None) -> Column:
 
 
 def release(docs: DataFrame) -> None:
-    """Lets Spark remove shuffle files that no plan needs any more, and the driver memory that it holds for none."""
+    """Lets Spark remove shuffle files that no plan needs any more."""
     gc.collect()
-    pa.default_memory_pool().release_unused()
     docs.sparkSession._jvm.System.gc()
 
 
