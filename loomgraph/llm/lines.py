@@ -185,9 +185,11 @@ def met(joined: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def crowd_pairs(x: DataFrame, y: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that meet at crowded words. Their postings carry the prefixes, so these are compared at once."""
+    """Pairs that meet at crowded words. Their postings carry the prefixes, so these are compared at once, and a pair
+    is taken at the first crowded word that it has in common only."""
     alike = F.size(F.array_intersect("xprefix", "yprefix")) >= in_common(num, den)
-    return met(as_side(x, "x").join(as_side(y, "y"), "token"), num, den).filter(alike).select(*PAIR)
+    once = F.get(F.array_intersect("xcrowd", "ycrowd"), F.lit(0)) == F.col("token")
+    return met(as_side(x, "x").join(as_side(y, "y"), "token"), num, den).filter(alike & once).select(*PAIR)
 
 
 def kept_lines(docs: DataFrame, text: str, num: int, den: int) -> DataFrame:
@@ -205,7 +207,7 @@ def kept_lines(docs: DataFrame, text: str, num: int, den: int) -> DataFrame:
     release(docs)
 
     is_many = crowded(sets, MANY)
-    sets = sets.withColumn("crowded", F.size(F.filter("prefix", is_many)))
+    sets = sets.withColumn("crowd", F.filter("prefix", is_many)).withColumn("crowded", F.size("crowd"))
     few = posted(sets).filter(~is_many(F.col("token")))
     # Were all crowded words of the one that has fewer of them common, a pair would have to meet this often here.
     need = in_common(num, den) - F.least("xcrowded", "ycrowded")
@@ -213,8 +215,8 @@ def kept_lines(docs: DataFrame, text: str, num: int, den: int) -> DataFrame:
     close = close.groupBy(*PAIR).agg(F.count("*").alias("n"), F.max("need").alias("need")).filter("n >= need").select(*PAIR)
     close = staged(close, "line-close")
     release(docs)
-    crowd = staged(posted(sets, "prefix").filter(is_many(F.col("token"))), "line-crowd")
-    anchors = crowd.groupBy("token", F.pmod(F.xxhash64("k", "at"), F.lit(ANCHORS))).agg(F.min(F.struct("k", "at", "size", "i", "bits", "crowded", "prefix")).alias("a")).select("token", "a.*")
+    crowd = staged(posted(sets, "prefix", "crowd").filter(is_many(F.col("token"))), "line-crowd")
+    anchors = crowd.groupBy("token", F.pmod(F.xxhash64("k", "at"), F.lit(ANCHORS))).agg(F.min(F.struct("k", "at", "size", "i", "bits", "crowded", "prefix", "crowd")).alias("a")).select("token", "a.*")
     pairs = staged(close.union(crowd_pairs(anchors, crowd, num, den)).distinct(), "line-pairs")
     release(docs)
     gone = matches(pairs, docs, text, ranks, num, den)
