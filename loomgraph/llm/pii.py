@@ -3,8 +3,7 @@
 The patterns find email, ip, card and phone, leftmost and without overlap; a match that fails its test is
 dropped. The field labels words by their shapes and those of their neighbours. It is trained by gradient ascent
 on the small labelled table below, and decodes by Viterbi over all sequences of a batch at once. A sequence is
-a run of words around a word with a digit or a title; elsewhere the field is not asked. Its spans have kinds of
-their own (name, national_id, iban, secret) and never touch a base span.
+a line with all its words. Its spans have kinds of their own (name, national_id, iban, secret) and never touch a base span.
 
 Offsets are code points, ends exclusive. Defined results: a null or empty text has no spans, and its digest is
 that of the empty string; repeated rows get equal results.
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, text_column
+from .common import map_batches, text_column, worker_cache
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = ("name", "national_id", "iban", "secret")
@@ -37,6 +36,9 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 HAS_DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
+#: Punctuation around a word.
+EDGE = "\"'.,;:!?()[]{}<>%&$#*"
+
 #: Labelled table: words in [kind ...] have that label, all others none.
 LABELLED = """\
 please contact Mr. [name John Smith] about the matter
@@ -88,6 +90,46 @@ the year 1066 and the word "quoted" text
 order 4500-2231-99 was sent
 ERAN!! 12!! TO!! THE!! 192.168.10.25!!
 and$$$ 4111111111111111%%% the&&& +1 (555) 010-1234###
+yesterday Mr [name Peter Wood] came to the town
+a letter (Dr. [name Susan Clark] ) came by post
+she said "Mr. [name George Hill] is here
+Mrs [name Emma Stone] and her son left
+the judge, Ms [name Laura Bell] , was late
+we saw Dr [name Robert Young] and Prof [name Alan Scott] there
+password = [secret "correctmonkeyladder"] in the notes
+secret = [secret "openthedoornow"] is used here
+password: [secret tulipgardenriver] for the door
+my name is [name Daniel Cooper] and I live here
+signed by [name Alice Turner] on Monday
+I am [name Mary Evans] from London
+The Old House in New York was sold on Monday
+Then Peter Street and North Road are closed
+In London the King of England met the Queen
+The password is long and the secret is kept
+the title = "a short story" and nothing else
+Das Haus in Berlin und die Stadt Hamburg sind alt
+El libro de la Casa Blanca en Madrid
+La ville de Paris et la France sont belles
+All rights reserved. Copyright The Apache Software Foundation
+Permission is hereby granted, free of charge, to any person
+The quick brown fox and The lazy dog
+He said "nothing" and "everything" to them
+He left. It was. Of course. An error. And so on
+one two. Then. Three four. Five. Six
+Yes Yes Yes Yes Yes Yes Yes Yes in
+And And And And And And and then
+Are. Are. Are. Are. Are. Not. Not. the
+of it%%% by.&&& Surely$$$ any*** thing.### Only*** possible%%%
+Over%%% there*** Of&&& and### Some$$$ more%%%
+The Are Was. Other. the
+Lorem Ipsum Dolor Sit Amet Dolor Sit Amet ends
+Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure Sure in
+well. No No No No No No No No No No No No No No No No No No No No then
+Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter Thereafter
+my name is [name Frank Miller] and this is my house
+his name is [name Julia Baker] , she said
+my name is [name Clara Hughes] and I came by train
+your name is [name Oscar Lane] and you know it
 """
 
 
@@ -133,9 +175,9 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 # The field: features are hashed into a fixed number of columns, each word has the same number of them.
 
-COLUMNS = 1 << 12
-TITLES = ("Mr.", "Mrs.", "Ms.", "Dr.", "Prof.", "Herr ", "Frau ", "Mme ")
-REACH = 3
+COLUMNS = 1 << 18
+#: Words whose keys a worker keeps.
+KNOWN = 1 << 18
 
 
 def shape(word: str) -> str:
@@ -153,19 +195,57 @@ def mix(word: str) -> str:
 
 
 def word_keys(word: str) -> tuple[str, str, str]:
-    known = word if len(word) <= 16 and not HAS_DIGIT.search(word) else ""
-    return shape(word), mix(word), known
+    """Shape, classes, and the word itself without punctuation around it."""
+    known = word.strip(EDGE) or word
+    return shape(word), mix(word), known if len(known) <= 16 and not HAS_DIGIT.search(known) else ""
+
+
+def hashed(keys: tuple[str, str, str]) -> tuple[int, ...]:
+    return tuple(zlib.crc32(k.encode("utf-8", "surrogatepass"), i) for i, k in enumerate(keys))
+
+
+BEGIN, END = hashed(("^", "^", "^")), hashed(("$", "$", "$"))
 
 
 def features(words: list[str]) -> np.ndarray:
     """A row of column numbers for each word."""
-    keys = [("^", "^", "^")] * 2 + [word_keys(w) for w in words] + [("$", "$", "$")] * 2
+    return features_of([words])[0]
+
+
+def features_of(sequences: list[list[str]]) -> list[np.ndarray]:
+    """The features of each sequence, made over all of them at once."""
+    seen = worker_cache("pii words", dict)
     rows = []
-    for i in range(2, len(keys) - 2):
-        (s, m, w), (ps, pm, pw), (ns, nm, nw), (_, _, ppw) = keys[i], keys[i - 1], keys[i + 1], keys[i - 2]
-        made = ("s" + s, "m" + m, "w" + w, "ps" + ps, "pm" + pm, "pw" + pw, "ns" + ns, "nw" + nw, "pp" + ppw, f"c{s}|{pw}", f"d{m}|{pw}", f"e{pw}|{ppw}|{m}")
-        rows.append([zlib.crc32(x.encode("utf-8", "surrogatepass")) % COLUMNS for x in made])
-    return np.array(rows, np.int64).reshape(-1, 12)
+    for words in sequences:
+        rows += (BEGIN, BEGIN)
+        for word in words:
+            row = seen.get(word)
+            if row is None:
+                row = hashed(word_keys(word))
+                if len(word) <= 32:
+                    if len(seen) >= KNOWN:
+                        seen.clear()
+                    seen[word] = row
+            rows.append(row)
+        rows += (END, END)
+    if not rows:
+        return []
+    s, m, w = np.array(rows, np.uint64).T
+    n = len(rows)
+    now, back, back2, ahead = (slice(2 + k, n - 2 + k) for k in (0, -1, -2, 1))
+    made = np.empty((max(0, n - 4), 12), np.int32)
+    parts = ((s[now],), (m[now],), (w[now],), (s[back],), (m[back],), (w[back],), (s[ahead],), (w[ahead],), (w[back2],), (s[now], w[back]), (m[now], w[back]), (w[back], w[back2], m[now]))
+    for k, part in enumerate(parts):
+        h = np.full(len(made), k + 1, np.uint64)
+        for x in part:
+            h = (h ^ x) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        made[:, k] = (h * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - 18)).astype(np.int32)
+    out, at = [], 0
+    for words in sequences:
+        out.append(made[at : at + len(words)])
+        at += len(words) + 4
+    return out
 
 
 def labelled() -> list[tuple[list[str], list[int]]]:
@@ -240,7 +320,10 @@ def viterbi(sequences: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[n
         if not sizes.any():
             continue
         cut = [0, *np.cumsum(sizes).tolist()]
-        e = w[np.concatenate([sequences[i] for i in part])].sum(axis=1)
+        x = np.concatenate([sequences[i] for i in part])
+        e = w[x[:, 0]]
+        for k in range(1, x.shape[1]):
+            e = e + w[x[:, k]]
         first = np.array(cut[:-1])
         score = np.zeros((len(part), len(t)))
         live = int((sizes > 0).sum())
@@ -266,30 +349,16 @@ def viterbi(sequences: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[n
 
 
 def sequences_of(text: str) -> list[list[tuple[int, int]]]:
-    """Word spans of the runs within REACH words of a word with a digit or a title, line by line."""
-    if not HAS_DIGIT.search(text) and not any(t in text for t in TITLES):
-        return []
+    """The spans of all words, line by line."""
     out, start = [], 0
-    titles = tuple(t.strip() for t in TITLES)
     for line in text.split("\n"):
-        if HAS_DIGIT.search(line) or any(t in line for t in TITLES):
-            words = [(start + m.start(), start + m.end()) for m in WORD.finditer(line)]
-            near: list[list[int]] = []
-            for i, (a, b) in enumerate(words):
-                if HAS_DIGIT.search(text, a, b) or text[a:b] in titles:
-                    lo, hi = max(0, i - REACH), min(len(words), i + REACH + 1)
-                    if near and lo <= near[-1][1]:
-                        near[-1][1] = hi
-                    else:
-                        near.append([lo, hi])
-            out += [words[lo:hi] for lo, hi in near]
+        words = [(start + m.start(), start + m.end()) for m in WORD.finditer(line)]
+        if words:
+            out.append(words)
         start += len(line) + 1
     return out
 
 
-EDGE = "\"'.,;:!?()[]{}<>%&$#*"
-
-
 def model_spans(text: str, runs: list[list[tuple[int, int]]], labels: list[np.ndarray], taken: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
     """Neighbouring words of one label make a span, without punctuation at its ends; spans that touch taken go."""
     merged: list[list[int]] = []
@@ -338,7 +407,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
         texts = batch.column(1).to_pylist()
         base = [base_spans(x) for x in texts]
         runs = [sequences_of(x) for x in texts]
-        flat = viterbi([features([x[a:b] for a, b in r]) for x, rs in zip(texts, runs, strict=True) for r in rs], weights, packed[2])
+        flat = viterbi(features_of([[x[a:b] for a, b in r] for x, rs in zip(texts, runs, strict=True) for r in rs]), weights, packed[2])
         columns: list[list] = [[] for _ in range(7)]
         at = 0
         for text, found, rs in zip(texts, base, runs, strict=True):
