@@ -31,9 +31,9 @@ def read_titles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_patterns(spark: SparkSession, path: str) -> list[str]:
-    """A regular expression a line; blank lines and lines that begin with # go. Lists are short by nature."""
+    """A regular expression a line; blank lines and lines that begin with # go. The whole list is read."""
     lines = spark.read.text(path).select(F.trim("value").alias("p")).filter("p <> '' AND NOT startswith(p, '#')")
-    return [r.p for r in lines.limit(10_000).collect()]
+    return [r.p for r in lines.collect()]
 
 
 def read_graph(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
