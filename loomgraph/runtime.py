@@ -4,14 +4,22 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bytes of Parquet up to which `bounded` has a table broadcast.
+BROADCAST_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset, as in tests, one is set."""
+    """spark.checkpoint.dir; where it is unset, one is set if all runs on this machine, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", "")
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is unset: a folder that the driver and all executors share is needed")
         at = "/tmp/checkpoints"
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
@@ -32,12 +40,27 @@ def remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """The session's setting for as long as the block runs."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def staged(df: DataFrame, name: str = "table") -> DataFrame:
     """df written once as Parquet and read again: cuts lineage, survives lost executors, keeps column pruning."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")  # what a finished write has shuffled may go
     path = scratch(spark, name)
-    df.write.parquet(path)
+    # What a finished write has shuffled may go at once.
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
@@ -49,3 +72,11 @@ def replace(old: DataFrame | None, new: DataFrame, name: str = "table") -> DataF
     if old is not None and hasattr(old, "scratch_path"):
         remove(out.sparkSession, old.scratch_path)
     return out
+
+
+def bounded(table: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A staged table marked for broadcast if its files have at most limit bytes, else for a merge join."""
+    spark = table.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+    size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    return F.broadcast(table) if size <= limit else table.hint("merge")
