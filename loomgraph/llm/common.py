@@ -1,4 +1,4 @@
-"""What the training-data operators share: reading, the shared folder, batches and worker caches."""
+"""What the training-data operators share: reading, the shared folder, keys, batches and worker caches."""
 
 from __future__ import annotations
 
@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import remove, scratch, shared_dir, staged
+from ..runtime import bounded, remove, scratch, shared_dir, staged
 
-__all__ = ["map_batches", "remove", "scratch", "set_batch_bytes", "shared_dir", "staged", "table", "text_column", "with_key", "worker_cache"]
+__all__ = ["bounded", "column", "fresh", "keyed", "map_batches", "own_id", "remove", "scratch", "shared_dir", "staged", "table", "text_column", "worker_cache"]
 
-#: Rows and bytes of one Arrow batch between the JVM and a Python worker; they bound the memory of both.
+#: Rows and bytes that a function gets at once. What Spark sends is bounded by its own settings (64 MB by default).
 BATCH_ROWS = 256
 BATCH_BYTES = 4 << 20
 
@@ -23,38 +23,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_column(name: str = "text") -> Column:
+def column(name: str, of: str | None = None) -> Column:
+    """The column of this very name, dots and all; or that field of a struct."""
+    name = "`" + name.replace("`", "``") + "`"
+    return F.col(f"{of}.{name}" if of else name)
+
+
+def text_column(name: str = "text", of: str | None = None) -> Column:
     """The column as a string, null as the empty text."""
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.coalesce(column(name, of).cast("string"), F.lit(""))
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """name with as many underscores after it as it takes to differ from those taken, as Spark compares names."""
+    have = {t.lower() for t in taken}
+    while name.lower() in have:
+        name += "_"
+    return name
+
 
+def keyed(docs: DataFrame, id_col: str) -> DataFrame:
+    """(k, row): row has all columns of docs, so none can clash with an operator's own. k is in the order of the id
+    and differs from row to row: the id itself or, if some are equal or null, the id and an internal number, after
+    docs has been staged so that numbers stay."""
+    out = docs.select(column(id_col).alias("k"), F.struct(*(column(c) for c in docs.columns)).alias("row"))
+    if out.groupBy("k").count().filter("k IS NULL OR count > 1").limit(1).count():
+        out = staged(out.withColumn("n", F.monotonically_increasing_id()), "numbered")
+        return out.select(F.struct(F.col("k").alias("id"), F.col("n").alias("row")).alias("k"), "row")
+    return out
 
-def with_key(docs: DataFrame, id_col: str) -> DataFrame:
-    """docs with a column __k that is in the order of the id and differs from row to row: the id itself or, if some
-    are equal or null, the id and an internal number, after docs has been staged so that numbers stay."""
-    key = F.col(f"`{id_col}`")
-    if docs.select(key.alias("k")).groupBy("k").count().filter("k IS NULL OR count > 1").limit(1).count():
-        docs = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-        return docs.withColumn("__k", F.struct(key.alias("id"), F.col("__row").alias("row"))).drop("__row")
-    return docs.withColumn("__k", key)
+
+def own_id(rows: DataFrame, docs: DataFrame, id_col: str) -> Column:
+    """The id in the key k of keyed rows."""
+    return F.col("k") if rows.schema["k"].dataType == docs.schema[id_col].dataType else F.col("k.id")
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    step = max(1, min(BATCH_ROWS, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes)))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType | str) -> DataFrame:
-    """fn on each Arrow batch of df, in batches of bounded size."""
-    set_batch_bytes(df.sparkSession)
+    """fn on the rows of df, in batches of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
-                yield out
+            for part in slices(batch):
+                if (out := fn(part)) is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)
 
 
-def set_batch_bytes(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-
-
 def worker_cache(key: str, make: Callable):
     """make() once a Python worker, for what is costly to build and read-only."""
     held = sys.__dict__.setdefault("_loomgraph_worker_cache", {})

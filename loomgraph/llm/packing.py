@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import set_batch_bytes, staged, text_column, worker_cache
+from .common import staged, text_column, worker_cache
 
 END_ID = 0
 
@@ -54,7 +54,6 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, capacity: int, ranks_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each piece; (block, length, nth) numbers the pieces that one task makes of one length."""
-    set_batch_bytes(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):

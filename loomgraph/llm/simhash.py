@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, remove, staged, text_column
+from .common import column, map_batches, remove, staged, text_column
 
 SEED = 42
 #: Fingerprints that the tree of shards is fitted on, at most; every fingerprint is indexed.
@@ -46,10 +46,10 @@ def fingerprint(text: str, width: int = 3) -> int:
     starts = (ends - lengths)[: len(words) - width + 1].tolist()
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)], np.uint64)
-    return _majority(hashes)
+    return majority(hashes)
 
 
-def _majority(hashes: np.ndarray) -> int:
+def majority(hashes: np.ndarray) -> int:
     ones = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 1 << 16):
         part = np.ascontiguousarray(hashes[k : k + (1 << 16)].astype("<u8")).view(np.uint8).reshape(-1, 8)
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_c
         fps = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], np.uint64)
         return pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 
-    return map_batches(docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text")), run, f"id {id_type}, fp long")
+    return map_batches(docs.select(column(id_col).alias("id"), text_column(text_col).alias("text")), run, f"id {id_type}, fp long")
 
 
 def fit_tree(sample: np.ndarray, total: int, radius: int, shard: int = SHARD) -> list[tuple]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, set_batch_bytes, staged
+from .common import scratch, staged
 
 SKIPPABLE = 0x184D2A5E
 SEEKABLE = 0x8F92EAB1
@@ -151,7 +151,6 @@ def write_bundles(pages: DataFrame, folder: str, min_payload: int = 0, id_col: s
     """Writes bundles into folder and returns the index: id, file, frame, offset, bytes. Payloads that occur once are
     not shuffled for the comparison; only (id, digest) of all pages is."""
     spark = pages.sparkSession
-    set_batch_bytes(spark)
     id_type = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.when(F.octet_length("html") >= min_payload, F.sha1(F.encode("html", "utf-8"))))
@@ -215,7 +214,6 @@ def read_bundles(spark: SparkSession, index: DataFrame, folder: str) -> DataFram
         if source is not None:
             source.close()
 
-    set_batch_bytes(spark)
     return frames.sortWithinPartitions("file", "frame").mapInArrow(run, "page_id string, url string, record_type string, refers_to string, digest string, payload_bytes long, payload binary")
 
 
