@@ -5,7 +5,7 @@ several n-gram lengths run over the numbers in numpy, and the characters under n
 more are summed. A longer n-gram can only repeat where the shorter one does, so each length looks only there.
 
 Defined results: a null or empty text has zero words and fails the base rules; repeated rows each get their
-row; columns other than the id and the text are ignored. Texts are processed one by one, whole.
+row; columns other than the id and the text are ignored, whatever their names. Texts are processed one by one, whole.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, text_column
+from .common import column, map_batches, text_column
 
 SPACES = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
@@ -26,12 +26,13 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 
 @dataclass(frozen=True)
 class QualityRules:
-    """min_words and max_repeat_pct are the base; ngram_limits and line_limit are shares of word characters."""
+    """min_words and max_repeat_pct are the base; ngram_limits, by length, and line_limit are shares of word characters
+    inside repeated n-grams and lines. They are set where no labelled good document of the tables goes."""
 
     min_words: int = 50
     max_repeat_pct: int = 50
-    ngram_limits: tuple[tuple[int, float], ...] = ((4, 0.45), (5, 0.44), (6, 0.43), (8, 0.42), (10, 0.40))
-    line_limit: float = 0.40
+    ngram_limits: tuple[tuple[int, float], ...] = ((4, 0.30), (5, 0.30), (6, 0.30), (8, 0.28), (10, 0.20))
+    line_limit: float = 0.15
 
 
 def repeated_windows(ids: np.ndarray, starts: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
@@ -124,7 +125,7 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules(), id_col: str =
         return pa.record_batch([batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], ["id", *fields])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    out = map_batches(docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text")), run, f"id {id_type}, " + ", ".join(f"{f} long" for f in fields))
+    out = map_batches(docs.select(column(id_col).alias("id"), text_column(text_col).alias("text")), run, f"id {id_type}, " + ", ".join(f"{f} long" for f in fields))
     base = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_pct * F.col("n_words"))
     bad = F.col("dup_line_chars") > rules.line_limit * F.col("word_chars")
     for n, limit in rules.ngram_limits:

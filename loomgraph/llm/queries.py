@@ -71,9 +71,9 @@ _QUALITY = rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_ext
  m AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(g3.words, 0) AS n_repeat_words, CAST(coalesce(dup.chars, 0) AS BIGINT) AS dup_line_chars,
  {", ".join(f"CAST(coalesce(g{n}.chars, 0) AS BIGINT) AS dup_{n}gram_chars" for n in _LENGTHS)} FROM d LEFT JOIN dup USING (doc_id) {" ".join(f"LEFT JOIN g{n} USING (doc_id)" for n in (3, *_LENGTHS))}),
  b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
- SELECT *, NOT base_failed AND NOT (dup_line_chars > 0.40::DOUBLE * word_chars OR {" OR ".join(f"dup_{n}gram_chars > {limit}::DOUBLE * word_chars" for n, limit in QualityRules().ngram_limits)}) AS kept FROM b"""
+ SELECT *, NOT base_failed AND NOT (dup_line_chars > {QualityRules().line_limit}::DOUBLE * word_chars OR {" OR ".join(f"dup_{n}gram_chars > {limit}::DOUBLE * word_chars" for n, limit in QualityRules().ngram_limits)}) AS kept FROM b"""
 
-_LINES = """WITH l AS (SELECT doc_id, line, pos, list_distinct(list_filter(string_split(line, ' '), lambda x: x <> '')) AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL)),
+_LINES = r"""WITH l AS (SELECT doc_id, line, pos, list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL)),
  t AS (SELECT doc_id, pos, len(w) AS n, unnest(w) AS word FROM l), df AS (SELECT word, count(*) AS c FROM t GROUP BY word),
  p AS (SELECT doc_id, pos, n, word FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, pos ORDER BY c, word) AS i FROM t JOIN df USING (word)) WHERE i <= n - (4 * n + 4) // 5 + 1),
  c AS (SELECT DISTINCT x.doc_id AS xd, x.pos AS xa, y.doc_id AS yd, y.pos AS ya FROM p x JOIN p y USING (word) WHERE (x.doc_id < y.doc_id OR x.doc_id = y.doc_id AND x.pos < y.pos) AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)),
