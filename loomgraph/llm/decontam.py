@@ -1,23 +1,27 @@
-"""Benchmark decontamination: rare n-gram seeds find passages of test items, Smith-Waterman alignment scores them.
-
-The test items are the stated queries. They are taken in blocks of bounded size; a block goes to every task, and
-all documents run past it. A first pass counts in how many documents each n-gram of the block occurs; the seeds of
-an item are its n-grams up to the median count, so the rarest half at least, and common phrases seed nothing. A
-second pass looks the seeds up in every whole text, gathers the hits of an item along diagonals, and aligns the
-stretch around them with the whole item, word by word. The score is that of the best local alignment as a share
-of the score of the item itself: copies with words changed, dropped or added score less, but far over chance.
-
-Words are lower-cased runs of word characters, so punctuation and line breaks don't count.
-
-Defined results: null texts and items match nothing, as do items of fewer than `min_words` words; items of equal
-text each match; a document that holds an item twice gets one row, with the best and then first place; repeated
-documents get a row each.
+"""Benchmark decontamination: rare n-gram seeds join training passages to test items, Smith-Waterman alignment scores them.
+
+Words are lower-cased runs of word characters, so punctuation and line breaks don't count; they are compared by 64-bit
+hashes, made in numpy over whole texts.
+
+1. A first pass counts in how many documents each n-gram of the items occurs. The seeds of an item are those of its
+   n-grams that occur, up to their median count: the rarest half at least, while common phrases seed nothing.
+2. A second pass emits (document, seed, place) of the seeds in every whole text, which are joined to the items that
+   have them. Both passes ask a bitmap of fixed size first; what it lets through by chance goes in the joins.
+3. The hits of a document and an item are gathered along diagonals, and the stretches around them are aligned with the
+   whole item, word by word. Only texts with hits are read again for this.
+
+The score is that of the best local alignment as a share of the score of the item itself. An item counts as held from
+`min_score` on, but from at least `full_words` words in a row, or what is worth as much: items of so many words or
+fewer must be held whole, as parts of them occur by chance.
+
+Defined results: null texts and items match nothing, as do items without words; items of equal text each match; a
+document that holds an item twice gets one row, with the best and then first place; repeated documents get a row each;
+extra columns come along in `drop_leaks` and are ignored in `find_leaks`, whatever their names. Items with fewer than
+`n` words are looked for whole. What is collected to the driver is one bitmap.
 """
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,101 +29,83 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import map_batches, staged, text_column
+from .common import bounded, column, fresh, keyed, map_batches, own_id, staged, text_column, worker_cache
 
-WORD = re.compile(r"\w+")
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Words of items in one block; bounds what a task holds.
-BLOCK_WORDS = 200_000
+#: Bits of the bitmap that the n-grams of texts are asked by, as a power of two.
+BITS = 23
+BASE = np.uint64(0x9E3779B97F4A7C15)
+MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 @dataclass(frozen=True)
 class DecontamParams:
     n: int = 2
-    min_score: float = 0.45
-    min_words: int = 4
-
-
-class Block:
-    """Items as word numbers, and postings (item, place) of their n-grams."""
-
-    def __init__(self, items: list[tuple[object, list[str]]], n: int):
-        self.n = n
-        self.ids = [i for i, _ in items]
-        self.vocab: dict[str, int] = {}
-        self.items = [np.array([self.vocab.setdefault(w, len(self.vocab)) for w in words], np.int64) for _, words in items]
-        grams: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, words in enumerate(self.items):
-            for place, code in enumerate(self.codes(words).tolist()):
-                grams[code].append((k, place))
-        self.grams = np.array(sorted(grams), np.int64)
-        rows = [p for code in self.grams.tolist() for p in grams[code]]
-        self.postings = np.array(rows, np.int64).reshape(-1, 2)
-        self.cuts = np.cumsum([0] + [len(grams[code]) for code in self.grams.tolist()])
-        self.is_seed = np.ones(len(self.grams), bool)
-
-    def codes(self, words: np.ndarray) -> np.ndarray:
-        """A number for each n-gram, -1 where a word is unknown."""
-        size = len(words) - self.n + 1
-        if size < 1:
-            return np.empty(0, np.int64)
-        out, known = np.zeros(size, np.int64), np.ones(size, bool)
-        for k in range(self.n):
-            part = words[k : k + size]
-            out = out * len(self.vocab) + part
-            known &= part >= 0
-        return np.where(known, out, -1)
-
-    def numbers(self, text: str) -> np.ndarray:
-        get = self.vocab.get
-        return np.array([get(w, -1) for w in WORD.findall(text.lower())], np.int64)
-
-    def found(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in words, n-gram) of the known n-grams."""
-        codes = self.codes(words)
-        at = np.flatnonzero(codes >= 0)
-        if not len(at) or not len(self.grams):
-            return at[:0], at[:0]
-        gram = np.searchsorted(self.grams, codes[at])
-        gram[gram == len(self.grams)] = 0
-        same = self.grams[gram] == codes[at]
-        return at[same], gram[same]
-
-    def choose_seeds(self, documents: np.ndarray) -> None:
-        """documents: in how many documents each n-gram occurs."""
-        self.is_seed[:] = False
-        item_grams: dict[int, list[int]] = defaultdict(list)
-        for g in range(len(self.grams)):
-            for k in self.postings[self.cuts[g] : self.cuts[g + 1], 0].tolist():
-                item_grams[k].append(g)
-        for grams in item_grams.values():
-            g = np.array(grams)
-            self.is_seed[g[documents[g] <= np.median(documents[g])]] = True
-
-    def hits(self, text: str, min_score: float) -> Iterator[tuple[int, float, int, int]]:
-        """(item, score, first word, last word) of each item that text holds."""
-        words = self.numbers(text)
-        at, gram = self.found(words)
-        seed = self.is_seed[gram]
-        at, gram = at[seed], gram[seed]
-        if not len(at):
-            return
-        diagonals: dict[int, list[int]] = defaultdict(list)
-        for place, g in zip(at.tolist(), gram.tolist(), strict=True):
-            for k, i in self.postings[self.cuts[g] : self.cuts[g + 1]].tolist():
-                diagonals[k].append(place - i)
-        for k, found in diagonals.items():
-            item = self.items[k]
-            size = len(item)
-            best = (0.0, 0, 0)
-            for lo, hi in stretches(sorted(found), size):
-                a, b = max(0, lo), min(len(words), hi + size)
-                if (score := align(words[a:b], item, a)) and score[0] > best[0]:
-                    best = score
-            if best[0] >= min_score:
-                yield k, *best
+    min_score: float = 0.35
+    full_words: int = 7
+
+    def least(self, words: int) -> float:
+        return max(self.min_score, min(1.0, self.full_words / words))
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> np.uint64(29))
+    h = h * MIX
+    return h ^ (h >> np.uint64(32))
+
+
+def word_points() -> np.ndarray:
+    """For each code point whether it is a word character."""
+    return np.fromiter((c == 95 or chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
+
+
+def powers(n: int) -> np.ndarray:
+    held = worker_cache("decontam powers", dict)
+    if len(held.get(0, ())) < n:
+        made = np.full(max(64, 1 << (n - 1).bit_length()), BASE)
+        made[0] = 1
+        held[0] = np.multiply.accumulate(made)
+    return held[0]
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A hash for each word of a whole text."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = worker_cache("word points", word_points)[points]
+    edge = np.diff(np.concatenate([[False], inside, [False]]).view(np.int8))
+    sizes = np.flatnonzero(edge == -1) - np.flatnonzero(edge == 1)
+    if not len(sizes):
+        return np.empty(0, np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    within = np.arange(int(sizes.sum())) - np.repeat(starts, sizes)
+    return mixed(np.add.reduceat((points[inside].astype(np.uint64) + np.uint64(1)) * powers(int(sizes.max()))[within], starts))
+
+
+def grams(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each run of n words."""
+    size = len(words) - n + 1
+    if size < 1:
+        return np.empty(0, np.uint64)
+    out = np.full(size, np.uint64(n))
+    for k in range(n):
+        out = out * BASE + words[k : k + size]
+    return mixed(out)
+
+
+class Bitmap:
+    """A set of hashes, with hashes by chance."""
+
+    def __init__(self, seeds: DataFrame, gram: str = "g"):
+        at = F.shiftrightunsigned(gram, 64 - BITS).cast("int")
+        rows = seeds.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)))).alias("bits")).toArrow()
+        words = np.zeros(1 << (BITS - 6), np.int64)
+        words[rows["at"].to_numpy()] = rows["bits"].to_numpy()
+        self.data = words.view(np.uint8)
+
+    def has(self, g: np.ndarray) -> np.ndarray:
+        at = (g >> np.uint64(64 - BITS)).astype(np.int64)
+        return (self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def stretches(diagonals: list[int], size: int) -> Iterator[tuple[int, int]]:
@@ -169,75 +155,121 @@ def align(text: np.ndarray, item: np.ndarray, start: int = 0) -> tuple[float, in
     return best / (MATCH * len(item)), start + best_from, start + best_at
 
 
-def blocks(bench: DataFrame, p: DecontamParams, id_col: str, text_col: str, block_words: int = BLOCK_WORDS) -> Iterator[Block]:
-    """The items in blocks, one at a time; an item is never divided."""
-    held, words = [], 0
-    for row in bench.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL").toLocalIterator():
-        item = WORD.findall(row.text.lower())
-        if len(item) < max(p.min_words, p.n):
-            continue
-        if held and words + len(item) > block_words:
-            yield Block(held, p.n)
-            held, words = [], 0
-        held.append((row.id, item))
-        words += len(item)
-    if held:
-        yield Block(held, p.n)
+def best_alignment(words: np.ndarray, item: np.ndarray, diagonals: list[int]) -> tuple[float, int, int]:
+    """(score, first word, last word) of item in words, near the diagonals."""
+    best = (0.0, 0, 0)
+    for lo, hi in stretches(sorted(diagonals), len(item)):
+        a, b = max(0, lo), min(len(words), hi + len(item))
+        score = align(words[a:b], item, a)
+        if score[0] > best[0]:
+            best = score
+    return best
 
 
-def seed(block: Block, docs: DataFrame, text_col: str) -> None:
-    """Counts documents for each n-gram of the block over all docs, and chooses the seeds. A row for each n-gram that
-    occurs comes to the driver, at most as many as the block has."""
+def item_table(bench: DataFrame, item_col: str, item_text: str) -> DataFrame:
+    """(q, item, words): q numbers the items that have words."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        total = np.zeros(len(block.grams), np.int64)
-        for text in batch.column(0).to_pylist():
-            total[np.unique(block.found(block.numbers(text))[1])] += 1
-        at = np.flatnonzero(total)
-        return pa.record_batch([pa.array(at), pa.array(total[at])], ["gram", "n"])
+        words = [word_hashes(t).view(np.int64) for t in batch.column(1).to_pylist()]
+        return pa.record_batch([batch.column(0), pa.array(words, pa.list_(pa.int64()))], ["item", "words"])
+
+    rows = bench.select(column(item_col).alias("item"), text_column(item_text).alias("text"))
+    made = map_batches(rows, run, f"item {bench.schema[item_col].dataType.simpleString()}, words array<bigint>").filter(F.size("words") > 0)
+    return staged(made.withColumn("q", F.monotonically_increasing_id()), "decontam-items")
+
+
+def item_grams(items: DataFrame, n: int) -> DataFrame:
+    """(q, g, at, size): the n-grams of each item, or all of it if it is shorter."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        q, g, at, size = [], [], [], []
+        for i, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            k = min(n, len(words))
+            found = grams(np.array(words, np.int64).view(np.uint64), k).view(np.int64)
+            q += [i] * len(found)
+            g += found.tolist()
+            at += range(len(found))
+            size += [k] * len(found)
+        return pa.record_batch([pa.array(c, pa.int64()) for c in (q, g, at, size)], ["q", "g", "at", "size"])
 
-    counted = map_batches(docs.select(text_column(text_col).alias("text")), run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    documents = np.zeros(len(block.grams), np.int64)
-    for row in counted.collect():
-        documents[row.gram] = row.n
-    block.choose_seeds(documents)
+    return staged(map_batches(items.select("q", "words"), run, "q long, g long, at long, size long"), "decontam-grams")
+
+
+def chosen_seeds(found: DataFrame, docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """(g, q, at): of the n-grams of an item that occur at all, those in no more documents than its median one."""
+    known = Bitmap(found)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        each = []
+        for text in batch.column(0).to_pylist():
+            words = word_hashes(text)
+            g = np.concatenate([grams(words, k) for k in sizes])
+            each.append(np.unique(g[known.has(g)]))
+        g, n = np.unique(np.concatenate(each), return_counts=True)
+        return pa.record_batch([pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], ["g", "n"])
+
+    counted = map_batches(docs.select("text"), run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+    rare = staged(found.join(counted, "g").select("g", "q", "at", "n"), "decontam-counted")
+    middle = rare.select("q", "g", "n").distinct().groupBy("q").agg(F.expr("percentile(n, 0.5)").alias("middle"))
+    return staged(rare.join(middle, "q").filter("n <= middle").select("g", "q", "at"), "decontam-seeds")
+
+
+def leaks(docs: DataFrame, bench: DataFrame, p: DecontamParams, item_col: str, item_text: str) -> DataFrame:
+    """(k, item, score, first_word, last_word) of docs with columns k, never twice the same, and text."""
+    items = item_table(bench, item_col, item_text)
+    found = item_grams(items, p.n)
+    sizes = sorted(r["size"] for r in found.select("size").distinct().collect())  # at most n rows
+    schema = f"k {docs.schema['k'].dataType.simpleString()}, item {items.schema['item'].dataType.simpleString()}, score double, first_word long, last_word long"
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], schema)
+    seeds = chosen_seeds(found, docs, sizes)
+    known = Bitmap(seeds)
+
+    def seek(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, hashes, places = [], [], []
+        for i, text in enumerate(batch.column(1).to_pylist()):
+            words = word_hashes(text)
+            for k in sizes:
+                g = grams(words, k)
+                at = np.flatnonzero(known.has(g))
+                rows.append(np.full(len(at), i))
+                hashes.append(g[at].view(np.int64))
+                places.append(at)
+        i, g, at = (np.concatenate(c) for c in (rows, hashes, places))
+        return pa.record_batch([batch.column(0).take(pa.array(i)), pa.array(g), pa.array(at.astype(np.int64))], ["k", "g", "place"])
+
+    hits = map_batches(docs.select("k", "text"), seek, f"k {docs.schema['k'].dataType.simpleString()}, g long, place long")
+    diagonals = hits.join(bounded(seeds), "g").groupBy("k", "q").agg(F.collect_set(F.col("place") - F.col("at")).alias("diagonals"))
+    asked = diagonals.join(bounded(items), "q").groupBy("k").agg(F.collect_list(F.struct("item", "words", "diagonals")).alias("asked"))
+    asked = staged(asked, "decontam-asked")
+
+    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
+        flat, rows, out = batch.column(2), [], []
+        for i, text in enumerate(batch.column(1).to_pylist()):
+            words = word_hashes(text)
+            for j in range(flat.offsets[i].as_py(), flat.offsets[i + 1].as_py()):
+                item = np.array(flat.values.field("words")[j].values).view(np.uint64)
+                best = best_alignment(words, item, flat.values.field("diagonals")[j].as_py())
+                if best[0] >= p.least(len(item)):
+                    rows.append((i, j))
+                    out.append(best)
+        i, j = (pa.array([r[c] for r in rows], pa.int64()) for c in (0, 1))
+        parts = zip(("score", "first_word", "last_word"), (pa.float64(), pa.int64(), pa.int64()), range(3), strict=True)
+        return pa.record_batch([batch.column(0).take(i), flat.values.field("item").take(j), *(pa.array([r[c] for r in out], t) for _, t, c in parts)], schema_names)
+
+    schema_names = ["k", "item", "score", "first_word", "last_word"]
+    return map_batches(docs.select("k", "text").join(bounded(asked), "k"), score, schema)
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, p: DecontamParams = DecontamParams(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """A row for each document and item that it holds: ids, score, first and last word of the passage."""
-    spark = docs.sparkSession
-    doc_type = docs.schema[id_col].dataType
-    item_type = bench.schema[item_col].dataType
-    item_arrow = to_arrow_type(item_type)
-    schema = f"id {doc_type.simpleString()}, item {item_type.simpleString()}, score double, first_word long, last_word long"
-    out = None
-    for block in blocks(bench, p, item_col, item_text):
-        seed(block, docs, text_col)
-
-        def run(batch: pa.RecordBatch, block: Block = block) -> pa.RecordBatch | None:
-            rows = [(i, *hit) for i, text in enumerate(batch.column(1).to_pylist()) for hit in block.hits(text, p.min_score)]
-            if not rows:
-                return None
-            i, k, score, first, last = (list(c) for c in zip(*rows, strict=True))
-            ids = pa.array([block.ids[x] for x in k], item_arrow)
-            return pa.record_batch([batch.column(0).take(pa.array(i, pa.int64())), ids, pa.array(score, pa.float64()), pa.array(first, pa.int64()), pa.array(last, pa.int64())], ["id", "item", "score", "first_word", "last_word"])
-
-        found = map_batches(docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text")), run, schema)
-        out = found if out is None else staged(out, "leaks").union(found)
-    out = spark.createDataFrame([], schema) if out is None else out
-    return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "first_word", "last_word")
-
-
-def drop_leaks(docs: DataFrame, bench: DataFrame, p: DecontamParams = DecontamParams(), text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """docs without the rows that hold an item; one counting and one filtering pass for each block, no join."""
-    for n, block in enumerate(blocks(bench, p, item_col, item_text)):
-        docs = staged(docs, "unleaked") if n else docs
-        seed(block, docs, text_col)
-        place = docs.columns.index(text_col)
-
-        def run(batch: pa.RecordBatch, block: Block = block, place: int = place) -> pa.RecordBatch:
-            keep = [next(block.hits(text, p.min_score), None) is None for text in (t or "" for t in batch.column(place).to_pylist())]
-            return batch.filter(pa.array(keep))
-
-        docs = map_batches(docs, run, docs.schema)
-    return docs
+    rows = keyed(docs, id_col)
+    found = leaks(rows.select("k", text_column(text_col, "row").alias("text")), bench, p, item_col, item_text)
+    return found.select(own_id(rows, docs, id_col).alias(id_col), F.col("item").alias(fresh(item_col, [id_col])), "score", "first_word", "last_word")
+
+
+def drop_leaks(docs: DataFrame, bench: DataFrame, p: DecontamParams = DecontamParams(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """docs without the rows that hold an item."""
+    rows = keyed(docs, id_col)
+    found = staged(leaks(rows.select("k", text_column(text_col, "row").alias("text")), bench, p, item_col, item_text).select("k").distinct(), "decontam-found")
+    return rows.join(bounded(found), "k", "left_anti").select("row.*")
