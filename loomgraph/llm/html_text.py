@@ -1,20 +1,28 @@
 """Main text of HTML pages from the events of the standard-library parser.
 
-Events become blocks of text, in page order, each with its chain of open elements. A block's ratio of text to tags
-is smoothed with a Gaussian along the page; blocks over a threshold (a share of the standard deviation, as the
-ratios of menus lie near zero) form the content cluster. The element that holds the cluster is looked for from
-the root down, an article or main element that holds most of it at once; the text is all blocks in that element.
-Blocks in menus, headers, footers, sidebars, forms, adverts, notices, comments, scripts and the like are never
-content; these are told by their element, role or class.
+Events become lines of text, one for each block of the page as it is shown, in page order. A line's ratio of text to
+tags is smoothed with a Gaussian along the page, and a threshold (a share of the standard deviation of the smoothed
+ratios, as those of menus lie near zero) clusters the lines:
+
+1. A line that has the threshold by itself and smoothed is content, unless most of it is links.
+2. From there content grows over the neighbouring lines of the same container (article or main, else the nearest div,
+   section or cell), but not over lines of links: so short paragraphs and headings of an article stay.
+3. Lines between two of content that have the threshold smoothed only are content, as is a single line of links there,
+   and headings right before it.
+
+If an article or main element holds most of the content, nothing outside of it counts. Lines in menus, headers,
+footers, sidebars, forms, adverts, notices, comments, scripts and the like are excluded by their element, role or
+class; they count as zero in the smoothing, and such lists only ever exclude.
 
 Defined results: a null or empty page, or one without content, gives the empty string; tags that never close and
 pages that break off are read as far as they go (a tag that breaks off is no text); repeated rows get equal
-results. Whole pages are read, in time linear in their length.
+results; extra columns are ignored, whatever their names. Whole pages are read, in time linear in their length.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -22,13 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import column, map_batches
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body dd details dialog dl dt div fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table caption tbody thead tfoot tr ul".split())
 SPACING = frozenset(("br", "td", "th", "wbr"))
 NEVER = frozenset("script style noscript template head title nav footer aside form button select textarea iframe object svg canvas video audio menu dialog search fieldset".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: Elements whose lines belong together, where no article or main does it.
+CONTAINERS = frozenset(("body", "html", "div", "section", "td", "th", "center", "details"))
 SCOPE = frozenset("html body article main section div nav header footer aside form table td th ul ol dl blockquote figure details".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 #: Words of a class or id that mark what is not the article.
@@ -45,37 +55,65 @@ SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "barred", "heading_only", "goal")
+    """An open element, and what its lines get from it and those around it."""
+
+    __slots__ = ("tag", "parent", "barred", "heading_only", "goal", "article", "container", "link")
+
+    def __init__(self, tag: str, parent: Element | None, barred: bool = False, heading_only: bool = False, goal: bool = False):
+        self.tag, self.parent, self.barred, self.heading_only = tag, parent, barred, heading_only
+        #: The outermost article or main, the outermost article, and the element whose lines belong together.
+        self.goal = parent.goal if parent is not None and parent.goal is not None else self if goal else None
+        self.article = parent.article if parent is not None and parent.article is not None else self if tag == "article" else None
+        self.container = self.goal or (self if parent is None or tag in CONTAINERS else parent.container)
+        self.link = tag == "a" or parent is not None and parent.link and tag not in BLOCK
+
 
-    def __init__(self, tag: str, parent: Element | None, barred: bool, heading_only: bool, goal: bool):
-        self.tag, self.parent, self.barred, self.heading_only, self.goal = tag, parent, barred, heading_only, goal
+class Line:
+    __slots__ = ("text", "tags", "links", "at", "barred")
 
+    def __init__(self, text: str, tags: int, links: int, at: Element, barred: bool):
+        self.text, self.tags, self.links, self.at, self.barred = text, tags, links, at, barred
 
-class Blocks(HTMLParser):
-    """Collects (text, tags, element, barred) for each block; of text in barred elements, only that there was some."""
+
+class Lines(HTMLParser):
+    """Collects the lines of a page; of text in barred elements, only that there was some."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.at = Element("", None, False, False, False)
+        self.at = Element("", None)
+        self.open: Counter[str] = Counter()
         self.parts: list[str] = []
         self.skipped = False
-        self.tags = 0
-        self.found: list[tuple[str, int, Element, bool]] = []
+        self.tags = self.links = 0
+        self.found: list[Line] = []
 
-    def end_block(self) -> None:
+    def end_line(self) -> None:
         text = " ".join("".join(self.parts).split()) if self.parts else ""
         if text or self.skipped:
             at = self.at
-            self.found.append((text, self.tags, at, not text or at.heading_only and at.tag not in HEADINGS))
+            self.found.append(Line(text, self.tags, self.links, at, not text or at.heading_only and at.tag not in HEADINGS))
             self.tags = 0
             self.skipped = False
+        self.links = 0
         self.parts = []
 
+    def close(self) -> None:
+        super().close()
+        self.end_line()
+
+    def leave(self, element: Element) -> None:
+        """Closes element and all that is open inside it."""
+        while self.at is not element:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
+        self.open[element.tag] -= 1
+        self.at = element.parent
+
     def close_tag(self, tags: tuple[str, ...]) -> None:
-        at: Element | None = self.at
+        at: Element | None = self.at if any(self.open[t] for t in tags) else None
         while at is not None and at.parent is not None:
             if at.tag in tags:
-                self.at = at.parent
+                self.leave(at)
                 return
             if at.tag in SCOPE and at.tag not in ("td", "th") or at.tag in ("td", "th") and "td" not in tags:
                 return
@@ -84,7 +122,7 @@ class Blocks(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag in BLOCK:
-            self.end_block()
+            self.end_line()
             self.close_tag(("p",))
         elif tag in SPACING:
             self.parts.append(" ")
@@ -95,7 +133,7 @@ class Blocks(HTMLParser):
         up = self.at
         barred, heading_only, goal = up.barred or tag in NEVER, up.heading_only, tag in ("article", "main")
         if tag == "header":
-            if self.inside_goal():
+            if up.goal is not None:
                 heading_only = True
             else:
                 barred = True
@@ -108,14 +146,7 @@ class Blocks(HTMLParser):
             elif name == "hidden" and tag not in ("html", "body"):
                 barred = True
         self.at = Element(tag, up, barred, heading_only, goal)
-
-    def inside_goal(self) -> bool:
-        at: Element | None = self.at
-        while at is not None:
-            if at.goal:
-                return True
-            at = at.parent
-        return False
+        self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # as browsers do, the slash means nothing
@@ -123,13 +154,13 @@ class Blocks(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in BLOCK:
-            self.end_block()
+            self.end_line()
         elif tag in SPACING:
             self.parts.append(" ")
-        at: Element | None = self.at
+        at: Element | None = self.at if self.open[tag] else None
         while at is not None and at.parent is not None:
             if at.tag == tag:
-                self.at = at.parent
+                self.leave(at)
                 return
             if at.tag in SCOPE and tag not in SCOPE:
                 return
@@ -140,83 +171,81 @@ class Blocks(HTMLParser):
             self.skipped = self.skipped or not data.isspace()
         else:
             self.parts.append(data)
+            if self.at.link:
+                self.links += len(data)
+
 
-    def finish(self) -> None:
-        self.close()
-        self.end_block()
+def ratios(lines: list[Line]) -> np.ndarray:
+    """The ratio of text to tags of each line; a barred one has zero."""
+    return np.array([0.0 if x.barred else len(x.text) / max(1, x.tags) for x in lines])
 
 
-def smoothed(found: list[tuple[str, int, Element, bool]]) -> np.ndarray:
-    """The ratio of text to tags of each block, smoothed along the page. A barred block counts as zero."""
-    ratio = np.array([0.0 if barred else len(text) / max(1, tags) for text, tags, _, barred in found])
+def smooth(ratio: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(ratio, REACH, mode="edge"), KERNEL, mode="valid")
 
 
-def region(found: list[tuple[str, int, Element, bool]]) -> Element | None:
-    """The element that holds the content cluster."""
-    free = [i for i, b in enumerate(found) if not b[3]]
-    if not free:
-        return None
-    ratio = smoothed(found)
-    threshold = SHARE * ratio.std()
-    content = [i for i in free if ratio[i] >= threshold] or free
-    mass: dict[int, int] = {}
-    below: dict[int, dict[int, Element]] = {}
-    root = None
-    for i in content:
-        at: Element | None = found[i][2]
-        n = len(found[i][0])
-        child = None
-        while at is not None:
-            mass[id(at)] = mass.get(id(at), 0) + n
-            if child is not None:
-                below.setdefault(id(at), {})[id(child)] = child
-            child, at = at, at.parent
-        root = child
-    at, total = root, mass[id(root)]
-    best_goal = None
-    todo = [root]
-    while todo:  # the outermost article or main with most of the content
-        e = todo.pop()
-        if e.goal and mass[id(e)] * 2 > total and best_goal is None:
-            best_goal = e
-            break
-        todo += [c for c in below.get(id(e), {}).values() if mass[id(c)] * 2 > total]
-    if best_goal is not None:
-        inner = best_goal
-        while inner.tag != "article":  # an article within main, if it has all the content of main
-            articles = [c for c in below.get(id(inner), {}).values() if mass[id(c)] * 10 > 9 * mass[id(best_goal)]]
-            if not articles:
-                return best_goal
-            inner = articles[0]
-        return inner
-    while nexts := [c for c in below.get(id(at), {}).values() if mass[id(c)] == mass[id(at)] and c.tag in SCOPE]:
-        at = nexts[0]
-    return at
+def content(lines: list[Line], ratio: np.ndarray) -> np.ndarray:
+    """Which lines are content, by their ratios."""
+    n = len(lines)
+    if not n:
+        return np.zeros(0, bool)
+    even = smooth(ratio)
+    threshold = SHARE * even.std()
+    free = np.array([not x.barred for x in lines])
+    links = np.array([2 * x.links > len(x.text) for x in lines])
+    high = free & (even >= threshold) & (even > 0)
+    chosen = high & (ratio >= threshold) & ~links
+    inside = within(lines, chosen)
+    chosen &= inside
+    free &= inside
+    group = [id(x.at.container) for x in lines]
+    for order in (range(1, n), range(n - 2, -1, -1)):
+        step = 1 if order.step > 0 else -1
+        for i in order:
+            if chosen[i - step] and free[i] and not links[i] and group[i] == group[i - step]:
+                chosen[i] = True
+    at = np.flatnonzero(chosen)
+    for a, b in zip(at.tolist(), at[1:].tolist(), strict=False):
+        if b - a > 1 and (high[a + 1 : b] & free[a + 1 : b] & ~links[a + 1 : b]).all() or b - a == 2 and free[a + 1] and group[a] == group[b]:
+            chosen[a + 1 : b] = True
+    for i in range(n - 2, -1, -1):
+        if chosen[i + 1] and free[i] and lines[i].at.tag in HEADINGS:
+            chosen[i] = True
+    return chosen
 
 
-def main_text(html: str) -> str:
-    parser = Blocks()
+def within(lines: list[Line], chosen: np.ndarray) -> np.ndarray:
+    """Which lines are inside the article or main that holds most of the chosen text; all, if none does."""
+    total = 0
+    goals: Counter = Counter()
+    articles: Counter = Counter()
+    for i in np.flatnonzero(chosen).tolist():
+        at, size = lines[i].at, len(lines[i].text)
+        total += size
+        goals[at.goal] += size
+        articles[at.article] += size
+    for held, part in ((articles, 0.9), (goals, 0.5)):  # an article within main, if it has nearly all
+        for element, size in held.most_common(1):
+            if element is not None and size > part * total:
+                return np.array([(x.at.article if held is articles else x.at.goal) is element for x in lines])
+    return np.ones(len(lines), bool)
+
+
+def page_lines(html: str) -> list[Line]:
+    parser = Lines()
     broken = html.rfind("<")
     if broken > html.rfind(">") and html[broken + 1 : broken + 2] not in (" ", ""):
         html = html[:broken] if html[broken + 1 : broken + 2].isalpha() or html[broken + 1 : broken + 2] in "/!?" else html
     elif broken >= 0 and broken == len(html) - 1:
         html = html[:-1]
     parser.feed(html)
-    parser.finish()
-    found = parser.found
-    top = region(found)
-    if top is None:
-        return ""
-    out = []
-    for text, _, element, barred in found:
-        if not barred:
-            at: Element | None = element
-            while at is not None and at is not top:
-                at = at.parent
-            if at is top:
-                out.append(text)
-    return "\n".join(out)
+    parser.close()
+    return parser.found
+
+
+def main_text(html: str) -> str:
+    lines = page_lines(html)
+    return "\n".join(x.text for x, y in zip(lines, content(lines, ratios(lines)), strict=True) if y)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -227,5 +256,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         return pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["id", "url", "text", "n_chars"])
 
     id_type = pages.schema[id_col].dataType.simpleString()
-    out = map_batches(pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html")), run, f"id {id_type}, url string, text string, n_chars long")
+    out = map_batches(pages.select(column(id_col).alias("id"), column(url_col).cast("string").alias("url"), column(html_col).cast("string").alias("html")), run, f"id {id_type}, url string, text string, n_chars long")
     return out.withColumnsRenamed({"id": id_col, "url": url_col})
