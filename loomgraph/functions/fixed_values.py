@@ -335,43 +335,51 @@ ABSTRACT_PARTS = tuple("_theory _theories _theorem _theorems _concept _concepts
 # Scoring of paths in the semantic tree.
 ROOT_TITLE = "Main_topic_classifications"
 PENALTY = 10
-ANCHORS = tuple(
-    "Animals Plants Fungi Organisms Life Nature Biology Ecology Science Technology Mathematics Medicine Engineering Computing Computer_science People Society Culture History Geography Places Countries Nation Arts Music "
-    "Literature Philosophy Religion Education Sports Games Food Food_and_drink Business Economics Politics Law Agriculture Objects Concepts Events Activities".split()
+ANCHORS = (
+    "Animals", "Plants", "Fungi", "Organisms", "Life", "Nature", "Biology", "Ecology", "Science", "Technology", "Mathematics", "Medicine",
+    "Engineering", "Computing", "Computer_science", "People", "Society", "Culture", "History", "Geography", "Places", "Countries", "Nation", "Arts",
+    "Music", "Literature", "Philosophy", "Religion", "Education", "Sports", "Games", "Food", "Food_and_drink", "Business", "Economics", "Politics",
+    "Law", "Agriculture", "Objects", "Concepts", "Events", "Activities",
 )
 DOMAIN_ANCHORS = {
-    "Animals": tuple("Animals Organisms Life Biology Nature".split()),
-    "Plants": tuple("Plants Organisms Life Biology Nature".split()),
-    "Fungi": tuple("Fungi Organisms Life Biology Nature".split()),
-    "Science": tuple("Science Nature Knowledge".split()),
-    "Physics": tuple("Physics Physical_sciences Natural_sciences Science".split()),
-    "Chemistry": tuple("Chemistry Physical_sciences Natural_sciences Science".split()),
-    "Biology": tuple("Biology Life_sciences Natural_sciences Science".split()),
-    "Technology": tuple("Technology Science Computing Computer_science Engineering".split()),
-    "Computing": tuple("Computing Computer_science Technology Science".split()),
-    "Culture": tuple("Culture Society Humanities".split()),
-    "Arts": tuple("Arts Culture Humanities".split()),
-    "Society": tuple("Society Culture".split()),
-    "Sports": tuple("Sports Culture Activities Recreation".split()),
-    "Geography": tuple("Geography Places Earth".split()),
-    "Countries": tuple("Countries Geography Places Nation Society".split()),
-    "Food": tuple("Food Food_and_drink Plants Culture".split()),
+    "Animals": ("Animals", "Organisms", "Life", "Biology", "Nature"),
+    "Plants": ("Plants", "Organisms", "Life", "Biology", "Nature"),
+    "Fungi": ("Fungi", "Organisms", "Life", "Biology", "Nature"),
+    "Science": ("Science", "Nature", "Knowledge"),
+    "Physics": ("Physics", "Physical_sciences", "Natural_sciences", "Science"),
+    "Chemistry": ("Chemistry", "Physical_sciences", "Natural_sciences", "Science"),
+    "Biology": ("Biology", "Life_sciences", "Natural_sciences", "Science"),
+    "Technology": ("Technology", "Science", "Computing", "Computer_science", "Engineering"),
+    "Computing": ("Computing", "Computer_science", "Technology", "Science"),
+    "Culture": ("Culture", "Society", "Humanities"),
+    "Arts": ("Arts", "Culture", "Humanities"),
+    "Society": ("Society", "Culture"),
+    "Sports": ("Sports", "Culture", "Activities", "Recreation"),
+    "Geography": ("Geography", "Places", "Earth"),
+    "Countries": ("Countries", "Geography", "Places", "Nation", "Society"),
+    "Food": ("Food", "Food_and_drink", "Plants", "Culture"),
 }
-DOMAIN_KEYWORDS = tuple(
-    tuple(pair.split("="))
-    for pair in (
-        "animal=Animals mammal=Animals bird=Animals fish=Animals reptile=Animals amphibian=Animals insect=Animals canid=Animals feline=Animals dog=Animals cat=Animals horse=Animals elephant=Animals whale=Animals "
-        "dolphin=Animals domesticated=Animals livestock=Animals pet=Animals vertebrate=Animals invertebrate=Animals primate=Animals rodent=Animals carnivore=Animals "
-        "plant=Plants flower=Plants tree=Plants flora=Plants botan=Plants shrub=Plants vegetables=Edible_plants fruit=Plants crop=Plants herb=Plants grass=Plants fern=Plants seed=Plants leaf=Plants root=Plants "
-        "fung=Fungi mushroom=Fungi yeast=Fungi "
-        "machine_learning=Technology comput=Technology software=Technology hardware=Technology programming=Technology algorithm=Technology internet=Technology digital=Technology robot=Technology automat=Technology "
-        "cyber=Technology neural_network=Technology deep_learning=Technology data_science=Technology encryption=Technology "
-        "science=Science scientific=Science physics=Physics physical=Physics chemi=Chemistry biolog=Biology genetic=Biology quantum=Physics mathem=Science statistic=Science "
-        "countr=Countries republic=Countries kingdom=Countries nation=Countries federal=Countries sovereign=Countries territor=Geography continent=Geography island=Geography region=Geography "
-        "culture=Culture cultural=Culture art=Arts artist=Arts music=Arts musician=Arts literature=Arts literary=Arts paint=Arts sculpt=Arts film=Arts cinema=Arts theat=Arts drama=Arts "
-        "sport=Sports athlet=Sports olymp=Sports championship=Sports team=Sports player=Sports football=Sports basketball=Sports tennis=Sports golf=Sports "
-        "food=Food cuisine=Food dish=Food meal=Food cook=Food recipe=Food beverage=Food drink=Food"
-    ).split()
+DOMAIN_KEYWORDS = (
+    ("animal", "Animals"), ("mammal", "Animals"), ("bird", "Animals"), ("fish", "Animals"), ("reptile", "Animals"), ("amphibian", "Animals"),
+    ("insect", "Animals"), ("canid", "Animals"), ("feline", "Animals"), ("dog", "Animals"), ("cat", "Animals"), ("horse", "Animals"),
+    ("elephant", "Animals"), ("whale", "Animals"), ("dolphin", "Animals"), ("domesticated", "Animals"), ("livestock", "Animals"), ("pet", "Animals"),
+    ("vertebrate", "Animals"), ("invertebrate", "Animals"), ("primate", "Animals"), ("rodent", "Animals"), ("carnivore", "Animals"),
+    ("plant", "Plants"), ("flower", "Plants"), ("tree", "Plants"), ("flora", "Plants"), ("botan", "Plants"), ("shrub", "Plants"),
+    ("vegetables", "Edible_plants"), ("fruit", "Plants"), ("crop", "Plants"), ("herb", "Plants"), ("grass", "Plants"), ("fern", "Plants"),
+    ("seed", "Plants"), ("leaf", "Plants"), ("root", "Plants"), ("fung", "Fungi"), ("mushroom", "Fungi"), ("yeast", "Fungi"),
+    ("machine_learning", "Technology"), ("comput", "Technology"), ("software", "Technology"), ("hardware", "Technology"),
+    ("programming", "Technology"), ("algorithm", "Technology"), ("internet", "Technology"), ("digital", "Technology"), ("robot", "Technology"),
+    ("automat", "Technology"), ("cyber", "Technology"), ("neural_network", "Technology"), ("deep_learning", "Technology"),
+    ("data_science", "Technology"), ("encryption", "Technology"), ("science", "Science"), ("scientific", "Science"), ("physics", "Physics"),
+    ("physical", "Physics"), ("chemi", "Chemistry"), ("biolog", "Biology"), ("genetic", "Biology"), ("quantum", "Physics"), ("mathem", "Science"),
+    ("statistic", "Science"), ("countr", "Countries"), ("republic", "Countries"), ("kingdom", "Countries"), ("nation", "Countries"),
+    ("federal", "Countries"), ("sovereign", "Countries"), ("territor", "Geography"), ("continent", "Geography"), ("island", "Geography"),
+    ("region", "Geography"), ("culture", "Culture"), ("cultural", "Culture"), ("art", "Arts"), ("artist", "Arts"), ("music", "Arts"),
+    ("musician", "Arts"), ("literature", "Arts"), ("literary", "Arts"), ("paint", "Arts"), ("sculpt", "Arts"), ("film", "Arts"), ("cinema", "Arts"),
+    ("theat", "Arts"), ("drama", "Arts"), ("sport", "Sports"), ("athlet", "Sports"), ("olymp", "Sports"), ("championship", "Sports"),
+    ("team", "Sports"), ("player", "Sports"), ("football", "Sports"), ("basketball", "Sports"), ("tennis", "Sports"), ("golf", "Sports"),
+    ("food", "Food"), ("cuisine", "Food"), ("dish", "Food"), ("meal", "Food"), ("cook", "Food"), ("recipe", "Food"), ("beverage", "Food"),
+    ("drink", "Food"),
 )
 PENALIZED = _lines("""
     History_of_

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.titles import align_answers, matches_parts, parse_answers
+from ..sources.tables import exists
 
 
 def classify(nodes: DataFrame, page_categories: DataFrame, categories: DataFrame) -> DataFrame:
@@ -37,10 +39,13 @@ def split_rules(classified: DataFrame) -> dict[str, DataFrame]:
     return {"visual": classified.filter("classification = 'visual'"), "uncertain": classified.filter("classification IS NULL"), "all": classified}
 
 
-def ask(nodes: DataFrame, answer: Callable[[list[str]], str | None], batch: int = 30, retries: int = 3) -> DataFrame:
+def ask(nodes: DataFrame, answer: Callable[[list[str]], str | None], batch: int = 30, retries: int = 3, wait: float = 1.0, limit: int | None = None) -> DataFrame:
     """page_id, title, visual (null where no answer came): titles go in batches to answer, which returns text with a
-    JSON array of (title, visual); an answer without one is asked for again. Titles without a number are not merged."""
+    JSON array of (title, visual); an answer without one is asked for again, after wait seconds, then twice as many and
+    so on. With limit, only so many nodes are asked about, the first by id."""
     titles = nodes.filter("title IS NOT NULL").select("page_id", "title")
+    if limit is not None:
+        titles = titles.orderBy("page_id").limit(limit)
 
     def run(batches):
         for rb in batches:
@@ -48,7 +53,9 @@ def ask(nodes: DataFrame, answer: Callable[[list[str]], str | None], batch: int
             for k in range(0, len(ids), batch):
                 part = names[k : k + batch]
                 text = None
-                for _ in range(retries):
+                for turn in range(retries):
+                    if turn:
+                        time.sleep(wait * 2 ** (turn - 1))
                     try:
                         text = answer(part)
                     except Exception:  # a classifier that fails gives no verdict
@@ -67,6 +74,23 @@ def resume(nodes: DataFrame, done: DataFrame) -> DataFrame:
     return nodes.join(done.filter("visual IS NOT NULL").select("page_id"), "page_id", "left_anti")
 
 
+def ask_in_parts(nodes: DataFrame, answer: Callable[[list[str]], str | None], path: str, every: int = 100, batch: int = 30, **how) -> DataFrame:
+    """All verdicts, of which those at path are there already: what is open is asked in parts of about every batches for
+    each core, and each part is added to path, so a run that breaks off goes on where it was."""
+    spark = nodes.sparkSession
+    if exists(spark, path):
+        nodes = resume(nodes, spark.read.parquet(path))
+    size = every * batch * spark.sparkContext.defaultParallelism
+    parts = -(-nodes.count() // size)
+    for k in range(parts):
+        part = nodes.filter(F.pmod(F.xxhash64("page_id"), F.lit(parts)) == k)
+        ask(part, answer, batch, **how).write.mode("append").parquet(path)
+    if not exists(spark, path):
+        ask(nodes, answer, batch, **how).write.parquet(path)
+    # A page without a verdict is asked again, so it may have several rows.
+    return spark.read.parquet(path).groupBy("page_id").agg(F.max("title").alias("title"), F.max("visual").alias("visual"))
+
+
 def split_verdicts(verdicts: DataFrame) -> dict[str, DataFrame]:
     keep = verdicts.select("page_id", "title", "visual")
     return {"visual": keep.filter("visual"), "nonvisual": keep.filter("NOT visual"), "failed": keep.filter("visual IS NULL")}

@@ -88,10 +88,10 @@ def printed_tree(edges: DataFrame, start, depth: int, up: bool = False) -> list[
     return out
 
 
-def paths_up(edges: DataFrame, start: DataFrame, max_nodes: int = 20, goal=None) -> DataFrame:
+def paths_up(edges: DataFrame, start: DataFrame, max_nodes: int = 20, goal=None, max_paths: int | None = None) -> DataFrame:
     """(id, path): all paths without a repeated node from each id of start up to goal or, without it, to a node that
     has no parent; of at most max_nodes nodes. Paths that cannot reach goal are not grown: only ancestors of start
-    that are also below goal take part."""
+    that are also below goal take part. With max_paths, each id keeps so many, the shortest first."""
     links = edges.select(F.col("child_id").alias("last"), F.col("parent_id").alias("next")).distinct().filter("last <> next")
     if goal is not None:
         kind = edges.schema["child_id"].dataType.simpleString()
@@ -108,7 +108,10 @@ def paths_up(edges: DataFrame, start: DataFrame, max_nodes: int = 20, goal=None)
         grown = staged(open_.join(links, "last").filter(~F.array_contains("path", F.col("next"))).select("id", F.concat("path", F.array("next")).alias("path")), "paths")
         if grown.isEmpty():
             break
-    return out
+    if max_paths is None:
+        return out
+    first = Window.partitionBy("id").orderBy(F.size("path"), "path")
+    return out.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= max_paths).drop("nth")
 
 
 def one_per_root(paths: DataFrame) -> DataFrame:
@@ -133,6 +136,27 @@ def card(nodes: DataFrame, query: str, children: int = 10, siblings: int = 5) ->
     return out.select("node_id", "title", "node_type", "path", F.coalesce("children", empty).alias("children"), F.coalesce("pages", F.lit(0)).alias("pages"), F.coalesce("siblings", empty).alias("siblings"))
 
 
+def concept_card(graph: dict[str, DataFrame], query: str, max_depth: int = 10) -> DataFrame:
+    """The first node of a unified graph with that title, else with the query in it: its fields, the titles of what it
+    belongs to or is a child of, and its hierarchy: the shortest path to each root, as titles from the root down."""
+    nodes, edges = graph["nodes"], graph["edges"]
+    exact = find(nodes, query)
+    hit = staged(exact if not exact.isEmpty() else find(nodes, query, exact=False), "hit")
+    names = nodes.select(F.col("node_id").alias("step"), F.col("title").alias("step_title"))
+    start = hit.select(F.col("node_id").alias("id"))
+    links = edges.filter("src_id <> dst_id").select(F.col("src_id").alias("child_id"), F.col("dst_id").alias("parent_id"))
+    above = reach(links, start, max_depth, "child_id", "parent_id").select(F.col("id").alias("child_id"))
+    found = one_per_root(paths_up(links.join(above, "child_id", "left_semi"), start, max_depth))
+    steps = found.select("id", "path", F.posexplode(F.reverse("path")).alias("at", "step")).join(names, "step")
+    lines = steps.groupBy("id", "path").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "step_title"))), lambda x: x["step_title"]).alias("line"))
+    lines = lines.groupBy(F.col("id").alias("node_id")).agg(F.array_sort(F.collect_list(F.array_join("line", ">"))).alias("hierarchy"))
+    ups = links.join(start.select(F.col("id").alias("child_id")), "child_id", "left_semi").join(names, F.col("parent_id") == F.col("step"))
+    ups = ups.groupBy(F.col("child_id").alias("node_id")).agg(F.array_sort(F.collect_set("step_title")).alias("parents"))
+    empty = F.array().cast("array<string>")
+    out = hit.join(ups, "node_id", "left").join(lines, "node_id", "left")
+    return out.withColumn("parents", F.coalesce("parents", empty)).withColumn("hierarchy", F.coalesce("hierarchy", empty))
+
+
 def _ancestry(nodes: DataFrame, hit: DataFrame) -> DataFrame:
     """(id, parent_id) of the hit and all above it."""
     links = nodes.filter("parent_id IS NOT NULL").select(F.col("node_id").alias("child_id"), "parent_id")

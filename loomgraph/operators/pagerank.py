@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import replace, staged
+from ..runtime import bucketed, replace, staged
 
 
 def weighted(edges: DataFrame, src: str = "src_id", dst: str = "dst_id") -> DataFrame:
@@ -22,17 +22,22 @@ def within(edges: DataFrame, nodes: DataFrame, src: str, dst: str, key: str) ->
     return edges.join(ids, edges[src] == ids["__id"], "left_semi").join(ids, F.col(dst) == ids["__id"], "left_semi")
 
 
+def without_titles(nodes: DataFrame, titles: DataFrame) -> DataFrame:
+    """Nodes whose title is not among titles; a null title is among none."""
+    return nodes.join(titles.select("title").distinct(), "title", "left_anti").select(nodes.columns)
+
+
 def pagerank(
     nodes: DataFrame, edges: DataFrame, key: str = "page_id", src: str = "src_id", dst: str = "dst_id", damping: float = 0.85,
     max_iter: int = 30, tol: float | None = 1e-6, normalize: bool = False,
 ) -> DataFrame:
     """(key, pagerank). A round reads the ranks three times (to send them, to sum the dangling ones, to add up), so
     they are staged in every round; its change is measured there too, unless tol is None. The shares of the edges are
-    computed once and joined in every round."""
+    computed once and kept in buckets by source, so a round shuffles ranks and what they send, but no edges."""
     ids = nodes.select(F.col(key).alias("id")).distinct()
     links = weighted(within(edges, nodes, src, dst, key), src, dst)
     out = links.groupBy("src").agg(F.sum("weight").alias("out"))
-    shares = staged(links.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")), "shares")
+    shares = bucketed(links.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")), "src", "shares")
     base = staged(ids.join(out.select(F.col("src").alias("id"), F.lit(False).alias("dangling")), "id", "left").select("id", F.coalesce("dangling", F.lit(True)).alias("dangling")), "ids")
     n = base.count()
     if not n:
@@ -54,11 +59,34 @@ def pagerank(
     return ranks.select(F.col("id").alias(key), F.col("rank").alias("pagerank"))
 
 
+def cumulated(ranks: DataFrame) -> DataFrame:
+    """(pagerank, n, before, upto, total): each value with its rows, those with less, those with no more, and all.
+    Values are counted first; running sums are taken within range partitions and shifted by the partitions before."""
+    values = staged(ranks.groupBy("pagerank").agg(F.count("*").alias("n")).repartitionByRange("pagerank").withColumn("part", F.spark_partition_id()), "values")
+    parts = values.groupBy("part").agg(F.sum("n").alias("rows"))
+    shift = parts.select("part", F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("shift"))  # a row for each partition
+    total = values.agg(F.sum("n").alias("total"))
+    running = F.sum("n").over(Window.partitionBy("part").orderBy("pagerank").rowsBetween(Window.unboundedPreceding, 0))
+    upto = values.withColumn("running", running).join(F.broadcast(shift), "part").crossJoin(F.broadcast(total))
+    return upto.select("pagerank", "n", (F.col("running") + F.col("shift") - F.col("n")).alias("before"), (F.col("running") + F.col("shift")).alias("upto"), "total")
+
+
+def quantiles(ranks: DataFrame, shares: list[float]) -> DataFrame:
+    """One row with a column q0, q1 .. for each share: exact and interpolated between the two neighbours. Each value
+    tells whether it is one of them, so no task sees more than its range of values."""
+    at = [F.lit(float(s)) * (F.col("total") - 1) for s in shares]
+    held = lambda k: F.max(F.when((F.col("before") <= k) & (F.col("upto") > k), F.col("pagerank")))
+    found = cumulated(ranks.filter("pagerank IS NOT NULL")).agg(F.max("total").alias("total"), *(held(f(h)).alias(f"{c}{i}") for i, h in enumerate(at) for c, f in (("low", F.floor), ("high", F.ceil))))
+    parts = [h - F.floor(h) for h in at]
+    return found.select(*(((1 - w) * F.col(f"low{i}") + w * F.col(f"high{i}")).alias(f"q{i}") for i, w in enumerate(parts)))
+
+
 def rank_stats(ranks: DataFrame) -> DataFrame:
     """One row: sum, min, max, mean, median and the 1st to 99th percentiles, exact and interpolated."""
     points = (1, 5, 10, 25, 50, 75, 90, 95, 99)
-    one = ranks.agg(F.count("*").alias("n"), *(f("pagerank").alias(f"{f.__name__}_rank") for f in (F.sum, F.min, F.max, F.avg)), F.percentile("pagerank", F.array(*(F.lit(p / 100) for p in points))).alias("p"))
-    return one.select("n", "sum_rank", "min_rank", "max_rank", "avg_rank", *(F.col("p")[i].alias(f"p{p:02d}") for i, p in enumerate(points)))
+    one = ranks.agg(F.count("*").alias("n"), *(f("pagerank").alias(f"{f.__name__}_rank") for f in (F.sum, F.min, F.max, F.avg)))
+    one = one.crossJoin(F.broadcast(quantiles(ranks, [p / 100 for p in points])))
+    return one.select("n", "sum_rank", "min_rank", "max_rank", "avg_rank", *(F.col(f"q{i}").alias(f"p{p:02d}") for i, p in enumerate(points)))
 
 
 def threshold(ranks: DataFrame, min_pagerank: float | None = None, drop_bottom_pct: float | None = None) -> DataFrame:
@@ -67,7 +95,7 @@ def threshold(ranks: DataFrame, min_pagerank: float | None = None, drop_bottom_p
         raise ValueError("give either min_pagerank or drop_bottom_pct")
     if min_pagerank is not None:
         return ranks.sparkSession.range(1).select(F.lit(float(min_pagerank)).alias("threshold"))
-    return ranks.agg(F.percentile("pagerank", F.lit(drop_bottom_pct / 100)).alias("threshold"))
+    return quantiles(ranks, [drop_bottom_pct / 100]).withColumnRenamed("q0", "threshold")
 
 
 def keep_set(ranks: DataFrame, min_pagerank: float | None = None, drop_bottom_pct: float | None = None) -> DataFrame:
@@ -95,15 +123,8 @@ def ranked(ranks: DataFrame, nodes: DataFrame, key: str = "page_id") -> DataFram
 
 
 def positions(ranks: DataFrame) -> DataFrame:
-    """rank_position (1 + rows with more) and percentile (share of rows with no more, in percent). Distinct values are
-    counted first; their running sums are taken within range partitions and shifted by the partitions before."""
-    values = staged(ranks.groupBy("pagerank").agg(F.count("*").alias("n")).repartitionByRange("pagerank").withColumn("part", F.spark_partition_id()), "values")
-    parts = values.groupBy("part").agg(F.sum("n").alias("n"))
-    before = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # a row for each partition
-    total = values.agg(F.sum("n").alias("total"))
-    running = F.sum("n").over(Window.partitionBy("part").orderBy("pagerank").rowsBetween(Window.unboundedPreceding, 0))
-    upto = values.withColumn("upto", running).join(F.broadcast(before), "part").crossJoin(F.broadcast(total))
-    upto = upto.select("pagerank", (F.col("total") - F.col("upto") - F.col("before") + 1).alias("rank_position"), ((F.col("upto") + F.col("before")) * 100.0 / F.col("total")).alias("percentile"))
+    """rank_position (1 + rows with more) and percentile (share of rows with no more, in percent)."""
+    upto = cumulated(ranks).select("pagerank", (F.col("total") - F.col("upto") + 1).alias("rank_position"), (F.col("upto") * 100.0 / F.col("total")).alias("percentile"))
     return ranks.join(upto, "pagerank")
 
 

@@ -23,12 +23,13 @@ def resolve_links(page_links: DataFrame, targets: DataFrame, pages: DataFrame, r
     titles = title_map(pages)
     hops = redirect_map(redirects, titles)
     main = pages.filter("ns = 0 AND page_id IS NOT NULL").select("page_id").distinct()
-    links = page_links.filter("pl_from_ns = 0").join(targets.filter("ns = 0").select("lt_id", "title"), F.col("pl_target") == F.col("lt_id"))
-    links = links.join(titles, "title").select(F.col("pl_from").alias("src_id"), F.col("page_id").alias("dst_id"))
+    # Targets are led to their pages first, so links, of which there are most, are joined twice only.
+    ends = targets.filter("ns = 0").select("lt_id", "title").join(titles, "title").select("lt_id", F.col("page_id").alias("dst_id"))
     for _ in range(max_hops):
-        links = links.join(hops, F.col("dst_id") == F.col("rd_from"), "left").select("src_id", F.coalesce("rd_to", "dst_id").alias("dst_id"))
-    links = links.join(main, F.col("src_id") == F.col("page_id"), "left_semi")
-    return links.join(main, F.col("dst_id") == F.col("page_id"), "left_semi")
+        ends = ends.join(hops, F.col("dst_id") == F.col("rd_from"), "left").select("lt_id", F.coalesce("rd_to", "dst_id").alias("dst_id"))
+    ends = ends.join(main, F.col("dst_id") == F.col("page_id"), "left_semi")
+    links = page_links.filter("pl_from_ns = 0").join(ends, F.col("pl_target") == F.col("lt_id")).select(F.col("pl_from").alias("src_id"), "dst_id")
+    return links.join(main, F.col("src_id") == F.col("page_id"), "left_semi")
 
 
 def resolve_categories(category_links: DataFrame, categories: DataFrame, pages: DataFrame, targets: DataFrame, max_pages: int | None = None) -> tuple[DataFrame, DataFrame]:

@@ -35,6 +35,14 @@ DERIVED = {
 }
 
 
+#: All links, led from the smaller to the larger id, so that some pages have none of their own.
+DERIVED["upward"] = f"SELECT least(src_id, dst_id) AS src_id, greatest(src_id, dst_id) AS dst_id FROM ({DERIVED['links']}) y"
+#: The hierarchy with titles that are anchors or bear keywords of domains, for the semantic tree.
+DERIVED["tcats"] = """SELECT s_suppkey AS id, s_suppkey AS category_id, CASE WHEN s_suppkey = 1 THEN 'Main_topic_classifications' WHEN s_suppkey = 2 THEN 'Animals' WHEN s_suppkey = 3 THEN 'Science' WHEN s_suppkey = 4 THEN 'Culture' WHEN s_suppkey = 5 THEN 'Organisms'
+ WHEN s_suppkey = 7 THEN 'Physics' ELSE concat(CASE s_suppkey % 5 WHEN 0 THEN 'Dog_breeds' WHEN 1 THEN 'History_of_pets' WHEN 2 THEN 'Physics_theory' WHEN 3 THEN 'Towns' ELSE 'Fish' END, '_', CAST(s_suppkey AS STRING)) END AS title FROM {supplier}"""
+DERIVED["tpages"] = "SELECT o_orderkey AS page_id, concat(CASE o_orderkey % 4 WHEN 0 THEN 'Big_dog' WHEN 1 THEN 'Quantum_physics' WHEN 2 THEN 'Poem' ELSE 'Fish' END, '_', CAST(o_orderkey AS STRING)) AS title FROM {orders}"
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = DERIVED[name]
     return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in sql})

@@ -39,9 +39,9 @@ def rank_sql(rounds: int) -> str:
     ]
     for i in range(1, rounds + 1):
         ctes += [
-            f"d{i} AS (SELECT coalesce(sum(pagerank), 0) AS lost FROM r{i - 1} WHERE page_id NOT IN (SELECT src_id FROM w))",
-            f"c{i} AS (SELECT dst_id, sum(pagerank * share) AS got FROM r{i - 1} JOIN shares ON src_id = page_id GROUP BY dst_id)",
-            f"r{i} AS (SELECT page_id, 0.15::DOUBLE / n + 0.85::DOUBLE * (coalesce(got, 0) + lost / n) AS pagerank FROM r{i - 1} LEFT JOIN c{i} ON dst_id = page_id, d{i}, n)",
+            f"d{i} AS MATERIALIZED (SELECT coalesce(sum(pagerank), 0) AS lost FROM r{i - 1} WHERE page_id NOT IN (SELECT src_id FROM w))",
+            f"c{i} AS MATERIALIZED (SELECT dst_id, sum(pagerank * share) AS got FROM r{i - 1} JOIN shares ON src_id = page_id GROUP BY dst_id)",
+            f"r{i} AS MATERIALIZED (SELECT page_id, 0.15::DOUBLE / n + 0.85::DOUBLE * (coalesce(got, 0) + lost / n) AS pagerank FROM r{i - 1} LEFT JOIN c{i} ON dst_id = page_id, d{i}, n)",
         ]
     return ", " + ", ".join(ctes) + " "
 
@@ -69,9 +69,11 @@ def t1_pagerank_bottom(spark, sf):
     return pr.top(ranks(spark, sf), derived(spark, sf, "nodes"), 10, bottom=True).select("page_id", "title", F.round("pagerank", 9).alias("pagerank"))
 
 
-@query()
+@query(oracle("nodes", "links", body=rank_sql(30) + "SELECT page_id, round(pagerank, 9) AS pagerank FROM r30"))
 def g1_pagerank_converged(spark, sf):
-    return pr.pagerank(derived(spark, sf, "nodes"), derived(spark, sf, "links"), max_iter=30)
+    """All thirty rounds."""
+    out = pr.pagerank(derived(spark, sf, "nodes"), derived(spark, sf, "links"), max_iter=30, tol=None)
+    return out.select("page_id", F.round("pagerank", 9).alias("pagerank"))
 
 
 @query(oracle("tree", body=", ids AS (SELECT p_partkey AS id FROM part), n AS (SELECT count(*) AS n FROM ids), d0 AS (SELECT count(*) AS c FROM ids WHERE id NOT IN (SELECT child_id FROM tree)) SELECT id, round(0.15 / n + 0.85 * ((SELECT count(*) FROM tree WHERE parent_id = id) * 1.0 / n + c * 1.0 / n / n), 12) AS pagerank FROM ids, n, d0"))
@@ -150,9 +152,17 @@ def t2_top_hubs(spark, sf):
     return deg.top_hubs(degrees(spark, sf)).select("page_id", "in_degree", "out_degree", "low_out")
 
 
-@query(oracle("nodes", "links", body=DEGREES + "SELECT page_id, in_degree FROM deg WHERE out_degree = 0 ORDER BY in_degree DESC, page_id LIMIT 50"))
+def upward(sql: str) -> str:
+    return sql.replace("FROM links", "FROM upward")
+
+
+def upward_degrees(spark, sf) -> DataFrame:
+    return deg.degrees(derived(spark, sf, "nodes"), derived(spark, sf, "upward"))
+
+
+@query(oracle("nodes", "upward", body=upward(DEGREES) + "SELECT page_id, in_degree FROM deg WHERE out_degree = 0 ORDER BY in_degree DESC, page_id LIMIT 50"))
 def t3_top_dangling(spark, sf):
-    return deg.top_dangling(degrees(spark, sf)).select("page_id", "in_degree")
+    return deg.top_dangling(upward_degrees(spark, sf)).select("page_id", "in_degree")
 
 
 @query(oracle("nodes", "links", body=DEGREES + "SELECT page_id, in_degree FROM deg WHERE in_degree > 20 AND out_degree < 25 ORDER BY in_degree DESC, page_id LIMIT 50"))
@@ -180,10 +190,11 @@ def detected(spark, sf) -> dict[str, DataFrame]:
 for _name, _test in DETECT.items():
 
     def _detector(spark, sf, name=_name):
-        return detected(spark, sf)[name]
+        return deg.by_dangling(upward_degrees(spark, sf), 1) if name == "dangling" else detected(spark, sf)[name]
 
     _detector.__name__ = f"c_detect_{_name}"
-    query(oracle("nodes", "links", body=DEGREES + f"SELECT title, '{_name}' AS source FROM deg WHERE {_test}"))(_detector)
+    _graph, _degrees = ("upward", upward(DEGREES)) if _name == "dangling" else ("links", DEGREES)
+    query(oracle("nodes", _graph, body=_degrees + f"SELECT title, '{_name}' AS source FROM deg WHERE {_test}"))(_detector)
 
 FOUND = ", found AS (" + " UNION ALL ".join(f"SELECT title, '{k}' AS source FROM deg WHERE {v}" for k, v in {"ratio": "in_degree >= 10 AND in_out_ratio >= 100 AND out_degree <= 200", "pattern": DETECT["pattern"].replace(">= 5)", ">= 2)").replace(">= 25", ">= 10"), "citation": DETECT["citation"].replace(">= 5", ">= 2").replace("> 1", "> 10"), "dangling": DETECT["dangling"]}.items()) + ") "
 
@@ -193,6 +204,12 @@ def u1_exclusions(spark, sf):
     return deg.exclusions(degrees(spark, sf), 2).select("title", F.array_join("sources", ",").alias("sources"))
 
 
+@query(oracle("nodes", "upward", body=upward(DEGREES) + FOUND + "SELECT title, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM found GROUP BY title"))
+def u1_exclusions_upward(spark, sf):
+    """With pages that have no links of their own."""
+    return deg.exclusions(upward_degrees(spark, sf), 2).select("title", F.array_join("sources", ",").alias("sources"))
+
+
 @query(oracle("nodes", "links", body=DEGREES + FOUND + ", t AS (SELECT DISTINCT title FROM found) SELECT (SELECT count(*) FROM deg WHERE title IN (SELECT title FROM t)) AS nodes, CAST((SELECT coalesce(sum(in_degree), 0) FROM deg WHERE title IN (SELECT title FROM t)) AS BIGINT) AS links, round((SELECT coalesce(sum(in_degree), 0) FROM deg WHERE title IN (SELECT title FROM t)) / (SELECT sum(in_degree) FROM deg), 9) AS share"))
 def a19_excluded_share(spark, sf):
     d = degrees(spark, sf)
@@ -210,11 +227,10 @@ def c9_recommend(spark, sf):
     return deg.recommend(degrees(spark, sf), 5, 20)
 
 
-@query(oracle("nodes", body="SELECT page_id, title FROM nodes WHERE title NOT IN ('red_widget_1', 'ISBN') AND page_id % 3 <> 0 OR title IS NULL"))
+@query(oracle("nodes", body="SELECT page_id, title FROM nodes WHERE title IS NULL OR title NOT IN (SELECT title FROM nodes WHERE starts_with(title, 'List_of_'))"))
 def f7_exclude_titles(spark, sf):
-    nodes = derived(spark, sf, "nodes").filter("page_id % 3 <> 0")
-    out = spark.createDataFrame([("red_widget_1",), ("ISBN",)], "title string")
-    return nodes.join(out, "title", "left_anti").select("page_id", "title")
+    nodes = derived(spark, sf, "nodes")
+    return pr.without_titles(nodes, nodes.filter(F.col("title").startswith("List_of_")).select("title")).select("page_id", "title")
 
 
 # Hierarchies.
@@ -243,9 +259,12 @@ def g12_reachable(spark, sf):
     return up.reach(derived(spark, sf, "tree"), spark.createDataFrame([(5,)], "id long"), None, "parent_id", "child_id")
 
 
-@query(oracle("sdag", "sbridge", recursive=True, body=", r AS (SELECT DISTINCT category_id AS id, 0 AS d FROM sbridge WHERE category_id > 40 UNION SELECT parent_id, d + 1 FROM r JOIN sdag ON child_id = id WHERE d < 2) SELECT DISTINCT id FROM r"))
+@query(oracle("sdag", "sbridge", recursive=True, body=", r AS (SELECT DISTINCT category_id AS id, 0 AS d FROM sbridge WHERE category_id NOT IN (SELECT parent_id FROM sdag) UNION SELECT parent_id, d + 1 FROM r JOIN sdag ON child_id = id WHERE d < 2) SELECT DISTINCT id FROM r"))
 def g4_relevant_categories(spark, sf):
-    return up.relevant_categories(derived(spark, sf, "sbridge").filter("category_id > 40"), derived(spark, sf, "sdag"), 2)
+    """Of pages in categories that have no children."""
+    e = derived(spark, sf, "sdag")
+    held = derived(spark, sf, "sbridge").join(e.select(F.col("parent_id").alias("category_id")), "category_id", "left_anti")
+    return up.relevant_categories(held, e, 2)
 
 
 @query(oracle("sdag", recursive=True, body=of(ABOVE) + "SELECT id, ancestor FROM up WHERE id <> ancestor"))
@@ -338,20 +357,25 @@ def g13_trim_leaves(spark, sf):
     return trim.trim_leaves(derived(spark, sf, "categories"), derived(spark, sf, "tree"), derived(spark, sf, "bridge"), 1, 30)
 
 
-@query(oracle("scats", "sdag", "sbridge", recursive=True, body=of(ABOVE) + ", held AS (SELECT * FROM sbridge WHERE category_id % 10 = 3) SELECT id FROM scats WHERE id IN (SELECT category_id FROM held) OR id IN (SELECT ancestor FROM up JOIN held ON category_id = up.id)"))
+@query(oracle("scats", "sdag", "sbridge", recursive=True, body=of(ABOVE) + ", held AS (SELECT * FROM sbridge WHERE category_id IN (SELECT id FROM scats WHERE starts_with(title, 'Physics'))) SELECT id FROM scats WHERE id IN (SELECT category_id FROM held) OR id IN (SELECT ancestor FROM up JOIN held ON category_id = up.id)"))
 def g9_without_orphans(spark, sf):
-    return trim.without_orphans(derived(spark, sf, "scats"), derived(spark, sf, "sdag"), derived(spark, sf, "sbridge").filter("category_id % 10 = 3"))[0]
+    """Where only physics has pages."""
+    cats = derived(spark, sf, "scats")
+    held = derived(spark, sf, "sbridge").join(cats.filter(F.col("title").startswith("Physics")).select("category_id"), "category_id", "left_semi")
+    return trim.without_orphans(cats, derived(spark, sf, "sdag"), held)[0]
 
 
-@query(oracle("scats", "sdag", "sbridge", recursive=True, body=", held AS (SELECT * FROM sbridge WHERE category_id < 50) , kept AS (SELECT * FROM sdag WHERE child_id % 5 <> 0)" + of(ABOVE, edges="kept") + "SELECT id FROM scats WHERE id NOT IN (SELECT child_id FROM kept) AND (SELECT count(DISTINCT page_id) FROM held WHERE category_id = scats.id OR category_id IN (SELECT up.id FROM up WHERE ancestor = scats.id)) < 500"))
+@query(oracle("scats", "sdag", "sbridge", recursive=True, body=", kept AS (SELECT * FROM sdag WHERE child_id IN (SELECT id FROM scats WHERE NOT starts_with(title, 'Plants')))" + of(ABOVE, edges="kept") + ", below AS (SELECT id AS top, id AS low FROM scats UNION SELECT ancestor, id FROM up) SELECT id FROM scats WHERE id NOT IN (SELECT child_id FROM kept) AND (SELECT count(DISTINCT page_id) FROM below JOIN sbridge ON category_id = low WHERE top = scats.id) < 1000"))
 def g10_weak_roots(spark, sf):
-    e = derived(spark, sf, "sdag").filter("child_id % 5 <> 0")
-    return trim.weak_roots(derived(spark, sf, "scats"), e, derived(spark, sf, "sbridge").filter("category_id < 50"), 500)
+    """Where plants have lost their parents."""
+    cats = derived(spark, sf, "scats")
+    e = derived(spark, sf, "sdag").join(cats.filter(~F.col("title").startswith("Plants")).select(F.col("id").alias("child_id")), "child_id", "left_semi")
+    return trim.weak_roots(cats, e, derived(spark, sf, "sbridge"), 1000)
 
 
-@query(oracle("scats", "sdag", body="SELECT parent_id, child_id FROM sdag WHERE parent_id % 4 <> 1 AND child_id % 4 <> 1"))
+@query(oracle("scats", "sdag", body=", keep AS (SELECT id FROM scats WHERE NOT starts_with(title, 'Countries')) SELECT parent_id, child_id FROM sdag WHERE parent_id IN (SELECT id FROM keep) AND child_id IN (SELECT id FROM keep)"))
 def j11_induced_edges(spark, sf):
-    return trim.restrict(derived(spark, sf, "sdag"), derived(spark, sf, "scats").filter("id % 4 <> 1"))
+    return trim.restrict(derived(spark, sf, "sdag"), derived(spark, sf, "scats").filter(~F.col("title").startswith("Countries")))
 
 
 @query(oracle("scats", "sdag", recursive=True, body=of(ABOVE) + "SELECT id FROM scats WHERE id = 2 OR id IN (SELECT up.id FROM up WHERE ancestor = 2)"))

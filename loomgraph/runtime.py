@@ -66,6 +66,25 @@ def staged(df: DataFrame, name: str = "table") -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, key: str, name: str = "table") -> DataFrame:
+    """df written once, dealt and sorted by key, into as many buckets as there are shuffle partitions: joins on key read
+    it without a shuffle. The table is dropped when the driver ends; its files are in the shared folder."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, called = scratch(spark, name), f"loom_{name}_{uuid.uuid4().hex}"
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(called)
+    atexit.register(_drop, spark, called)
+    return spark.table(called)
+
+
+def _drop(spark: SparkSession, called: str) -> None:
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {called}")
+    except Exception:  # the session may be gone
+        pass
+
+
 def replace(old: DataFrame | None, new: DataFrame, name: str = "table") -> DataFrame:
     """new staged; the scratch table of old, if it has one, is removed."""
     out = staged(new, name)

@@ -9,10 +9,17 @@ FILES = {"n": "data.noun", "v": "data.verb", "a": "data.adj", "r": "data.adv"}
 
 
 def read_synsets(spark: SparkSession, folder: str, pos: str | None = None) -> DataFrame:
-    """(offset, pos, synset, definition, pointers): pos s is a satellite adjective, in the file of the adjectives.
-    The words of a line follow their number in hexadecimal; pointers are (symbol, offset, pos)."""
+    """The synsets of the files in folder, as parse_synsets has them; pos s is a satellite adjective, in the file of the
+    adjectives."""
     names = [FILES["a" if pos == "s" else pos]] if pos else list(FILES.values())
-    lines = spark.read.text([f"{folder}/{n}" for n in names]).filter(F.col("value").rlike(r"^\d{8} "))
+    rows = parse_synsets(spark.read.text([f"{folder}/{n}" for n in names]))
+    return rows.filter(F.col("pos") == pos) if pos else rows
+
+
+def parse_synsets(lines: DataFrame) -> DataFrame:
+    """(offset, pos, lemma, f, definition, pointers) of lines (column value). The words of a line follow their number in
+    hexadecimal; pointers are (symbol, offset, pos)."""
+    lines = lines.filter(F.col("value").rlike(r"^\d{8} "))
     parts = lines.select(F.split(F.split("value", r" \| ")[0], " ").alias("f"), F.trim(F.regexp_extract("value", r" \| (.*)$", 1)).alias("gloss"))
     rows = parts.withColumn("words", F.conv(F.get("f", F.lit(3)), 16, 10).try_cast("int")).withColumn("at", F.lit(4) + F.col("words") * 2)
     pointer = lambda k: F.struct(F.get("f", F.col("at") + 1 + k * 4).alias("symbol"), F.get("f", F.col("at") + 2 + k * 4).try_cast("long").alias("offset"), F.get("f", F.col("at") + 3 + k * 4).alias("pos"))
@@ -21,7 +28,7 @@ def read_synsets(spark: SparkSession, folder: str, pos: str | None = None) -> Da
         F.get("f", F.lit(0)).try_cast("long").alias("offset"), F.get("f", F.lit(2)).alias("pos"), F.regexp_replace(F.lower(F.get("f", F.lit(4))), r"\(\w+\)$", "").alias("lemma"), "f",
         F.regexp_replace("gloss", r"; \".*$", "").alias("definition"), F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), pointer)).otherwise(F.array().cast("array<struct<symbol:string,offset:bigint,pos:string>>")).alias("pointers"),
     )
-    return rows.filter(F.col("pos") == pos) if pos else rows
+    return rows
 
 
 def build(synsets: DataFrame) -> tuple[DataFrame, DataFrame]:
