@@ -169,3 +169,14 @@ def ends_specificity(nodes: DataFrame, n: int = 20) -> DataFrame:
 
 def root_categories(nodes: DataFrame, n: int = 20) -> DataFrame:
     return nodes.filter("node_type = 'category' AND depth = 0").orderBy(F.desc("total_concept_count"), "node_id").limit(n).withColumn("weak", F.col("total_concept_count") < 10)
+
+
+def pages_per_category(nodes: DataFrame) -> DataFrame:
+    """One row over the categories of a tree (node_type, parent_id) that have pages: fewest, most, mean and median pages
+    and the number of these categories. The median is taken from counts of counts, which are few."""
+    from .pagerank import quantiles
+
+    per = nodes.filter("node_type = 'page'").groupBy("parent_id").agg(F.count("*").cast("double").alias("pagerank"))
+    middle = quantiles(per, [0.5]).withColumnRenamed("q0", "median_pages")
+    one = per.agg(F.min("pagerank").cast("long").alias("min_pages"), F.max("pagerank").cast("long").alias("max_pages"), F.avg("pagerank").alias("mean_pages"), F.count("*").alias("categories"))
+    return one.crossJoin(F.broadcast(middle)).select("min_pages", "max_pages", "mean_pages", "median_pages", "categories")

@@ -13,7 +13,7 @@ from ..functions import titles as tt
 from ..operators import classify as cl
 from ..operators import degrees as deg
 from ..operators import lookup, resolve
-from ..sources import dumps
+from ..sources import dumps, wordnet
 from ..sources.tables import table
 from .derived import derived, oracle
 
@@ -56,10 +56,11 @@ def f14_maintenance_keep(spark, sf):
     return derived(spark, sf, "categories").filter(~(tt.is_maintenance(t) & ~t.rlike(tt.java_regex(["bolt"])))).select("id")
 
 
-@query(oracle("categories", body="SELECT id, title FROM categories WHERE lower(title) = lower(replace('Physics red widget 11_(identifier)', ' ', '_')) OR lower(title) = 'small_ring_13_theory' ORDER BY id LIMIT 5"))
+@query(oracle("categories", body="SELECT id, title FROM categories WHERE lower(title) = (SELECT lower(title) FROM categories WHERE id = 13) ORDER BY id LIMIT 5"))
 def f15_title_query(spark, sf):
+    """The title of category 13, in capitals and with spaces."""
     c = derived(spark, sf, "categories").select("id", "title")
-    return lookup.by_title(c, "Physics red widget 11_(identifier)").union(lookup.by_title(c, "small_ring_13_theory")).orderBy("id").limit(5)
+    return lookup.by_title(c, c.filter("id = 13").first().title.upper().replace("_", " "))
 
 
 PATTERNS = [(p, f"starts_with(title, '{p}')") for p in fixed.NAMESPACES] + [("(disambiguation)", "contains(lower(title), '(disambiguation)')"), ("List_of_", "starts_with(title, 'List_of_')")] + [(k, f"regexp_matches(title, '{v}')") for k, v in fixed.META_TITLES.items()]
@@ -115,6 +116,28 @@ def s3_dump_categories(spark, sf):
     return dumps.categories(dumps.read_tuples(dump_lines(n, "category", F.col("n_nationkey").cast("string"), quoted(F.col("n_name")), count), "category", decode_escapes=False))
 
 
+# Synsets: a part is a synset named by the first word of its name, below the part of half its number.
+
+def synsets(spark, sf) -> tuple[DataFrame, DataFrame]:
+    p = table(spark, sf, "part")
+    at = lambda c: F.lpad(c.cast("string"), 8, "0")
+    word = F.split("p_name", " ")[0]
+    half = F.floor(F.col("p_partkey") / 2)
+    pointer = F.when(half > 0, F.concat(F.lit("001 "), F.when(F.col("p_partkey") % 5 == 0, "@i").otherwise("@"), F.lit(" "), at(half), F.lit(" n 0000"))).otherwise("000")
+    line = F.concat(at(F.col("p_partkey")), F.lit(" 03 n 01 "), word, F.lit(" 0 "), pointer, F.lit(" | "), F.col("p_type"), F.lit('; "an example"'))
+    return wordnet.build(wordnet.parse_synsets(p.select(line.alias("value"))))
+
+
+@query("SELECT p_partkey * 4 AS node_id, printf('%s.n.%02d', word, nth) AS synset, p_type AS definition, 'n' AS pos FROM (SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_type, string_split(p_name, ' ')[1] AS word, row_number() OVER (PARTITION BY string_split(p_name, ' ')[1] ORDER BY p_partkey) AS nth FROM part)")
+def s10_synsets(spark, sf):
+    return synsets(spark, sf)[0]
+
+
+@query("SELECT CAST(floor(p_partkey / 2.0) AS BIGINT) * 4 AS parent_id, CAST(p_partkey AS BIGINT) * 4 AS child_id FROM part WHERE floor(p_partkey / 2.0) > 0 AND floor(p_partkey / 2.0) IN (SELECT p_partkey FROM part)")
+def g24_hypernyms(spark, sf):
+    return synsets(spark, sf)[1]
+
+
 # Link resolution: parts are pages, those divisible by 10 redirects to the page of a third of their number.
 
 RESOLVE = {
@@ -157,9 +180,9 @@ def j9_page_categories(spark, sf):
     return held.groupBy("page_id", "category_id").agg(F.count("*").alias("n"))
 
 
-@query(oracle("bridge", "visual", body="SELECT DISTINCT page_id, category_id FROM bridge WHERE page_id IN (SELECT page_id FROM visual WHERE page_id % 2 = 0)"))
+@query(oracle("bridge", "visual", body="SELECT DISTINCT page_id, category_id FROM bridge WHERE page_id IN (SELECT page_id FROM visual WHERE starts_with(title, '2-HIGH'))"))
 def j14_visual_pages(spark, sf):
-    return resolve.visual_pages(derived(spark, sf, "bridge"), derived(spark, sf, "visual").filter("page_id % 2 = 0"))
+    return resolve.visual_pages(derived(spark, sf, "bridge"), derived(spark, sf, "visual").filter(F.col("title").startswith("2-HIGH")))
 
 
 # Classification.
@@ -205,10 +228,16 @@ def c12_nonvisual(spark, sf):
     return cl.split_verdicts(cl.ask(derived(spark, sf, "visual"), stub))["nonvisual"].select("page_id", "title")
 
 
-@query(oracle("visual", body="SELECT page_id, title FROM visual WHERE page_id % 3 <> 0"))
+@query(oracle("visual", body="SELECT page_id, title FROM visual WHERE NOT starts_with(title, '5-LOW')"))
 def c11_resume(spark, sf):
     v = derived(spark, sf, "visual")
-    return cl.resume(v, v.filter("page_id % 3 = 0").withColumn("visual", F.lit(True))).select("page_id", "title")
+    return cl.resume(v, v.filter(F.col("title").startswith("5-LOW")).withColumn("visual", F.lit(True))).select("page_id", "title")
+
+
+@query(oracle("visual", body="SELECT page_id, title, page_id % 2 = 1 AS visual FROM visual ORDER BY page_id LIMIT 50"))
+def t9_ask_some(spark, sf):
+    """The first fifty pages only."""
+    return cl.ask(derived(spark, sf, "visual"), stub, limit=50)
 
 
 @query(oracle("visual", body="SELECT count(*) AS titles, CAST(ceil(count(*) / 30.0) AS BIGINT) AS batches, count(*) * 25 AS tokens_in, count(*) * 15 AS tokens_out, round(count(*) * 25 / 1000.0 * 0.0008 + count(*) * 15 / 1000.0 * 0.002, 6) AS price FROM visual"))
@@ -233,6 +262,18 @@ def q4_tiered(spark, sf):
     return lookup.tiered(derived(spark, sf, "categories"), "bolt").select("category_id", "title", "tier")
 
 
+@query(oracle("categories", body="SELECT category_id, title, 0 AS tier FROM categories WHERE title = (SELECT title FROM categories WHERE id = 13) ORDER BY category_id LIMIT 1"))
+def q4_tier_exact(spark, sf):
+    c = derived(spark, sf, "categories")
+    return lookup.tiered(c, c.filter("id = 13").first().title).select("category_id", "title", "tier")
+
+
+@query(oracle("categories", body="SELECT category_id, title, 1 AS tier FROM categories WHERE lower(title) = (SELECT lower(title) FROM categories WHERE id = 13) ORDER BY category_id LIMIT 1"))
+def q4_tier_case(spark, sf):
+    c = derived(spark, sf, "categories")
+    return lookup.tiered(c, c.filter("id = 13").first().title.swapcase()).select("category_id", "title", "tier")
+
+
 @query(oracle("categories", body="SELECT id, title FROM categories WHERE contains(lower(title), 'red_w') ORDER BY id LIMIT 10"))
 def q3_suggestions(spark, sf):
     return lookup.suggestions(derived(spark, sf, "categories").select("id", "title"), "Red w")
@@ -248,6 +289,33 @@ def q1_neighbourhood_up(spark, sf):
     return lookup.neighbourhood(derived(spark, sf, "sdag"), 20, 3, up=True)
 
 
+@query(oracle("sdag", recursive=True, body=", r AS (SELECT 1::BIGINT AS id, 0 AS depth UNION SELECT child_id, depth + 1 FROM r JOIN sdag ON parent_id = r.id WHERE depth < 3) SELECT id, CAST(min(depth) AS INT) AS depth FROM r GROUP BY 1"))
+def q1_neighbourhood_down(spark, sf):
+    return lookup.neighbourhood(derived(spark, sf, "sdag"), 1, 3)
+
+
+@query(oracle("tree", recursive=True, body=", r AS (SELECT 1::BIGINT AS id, 0 AS level, [1]::BIGINT[] AS way UNION ALL SELECT child_id, level + 1, list_append(way, child_id) FROM r JOIN tree ON parent_id = r.id WHERE level < 4) SELECT CAST(level AS BIGINT) AS level, id, row_number() OVER (ORDER BY way) AS line FROM r"))
+def g20_printed_tree(spark, sf):
+    """In a tree, a walk in depth-first order meets what is near, in the order of the ways to it."""
+    rows = lookup.printed_tree(derived(spark, sf, "tree"), 1, 4)
+    return spark.createDataFrame([(level, node, k + 1) for k, (level, node) in enumerate(rows)], "level long, id long, line long")
+
+
+@query(oracle("sdag", recursive=True, body=", p AS (SELECT id, [id] AS path FROM (SELECT DISTINCT child_id AS id FROM sdag) UNION ALL SELECT id, list_append(path, parent_id) FROM p JOIN sdag ON child_id = path[-1] WHERE len(path) < 10), e AS (SELECT id, path FROM p WHERE path[-1] NOT IN (SELECT child_id FROM sdag)) SELECT id, array_to_string(path, ',') AS path FROM (SELECT *, row_number() OVER (PARTITION BY id, path[-1] ORDER BY len(path), path) AS nth FROM e) WHERE nth = 1"))
+def w6_one_path_per_root(spark, sf):
+    e = derived(spark, sf, "sdag")
+    found = lookup.one_per_root(lookup.paths_up(e, e.select(F.col("child_id").alias("id")), 10))
+    return found.select("id", F.array_join(F.col("path").cast("array<string>"), ",").alias("path"))
+
+
+@query(oracle("sdag", recursive=True, body=", p AS (SELECT id, [id] AS path FROM (SELECT DISTINCT child_id AS id FROM sdag) UNION ALL SELECT id, list_append(path, parent_id) FROM p JOIN sdag ON child_id = path[-1] WHERE path[-1] <> 1), e AS (SELECT id, path FROM p WHERE path[-1] = 1) SELECT id, array_to_string(path, ',') AS path FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY len(path), path) AS nth FROM e) WHERE nth <= 3"))
+def g22_shortest_paths(spark, sf):
+    """No more than three paths for each category."""
+    e = derived(spark, sf, "sdag")
+    found = lookup.paths_up(e, e.select(F.col("child_id").alias("id")), 20, 1, max_paths=3)
+    return found.select("id", F.array_join(F.col("path").cast("array<string>"), ",").alias("path"))
+
+
 @query(oracle("sdag", recursive=True, body=", p AS (SELECT id, [id] AS path FROM (SELECT DISTINCT child_id AS id FROM sdag WHERE child_id IN (20, 57)) UNION ALL SELECT id, list_append(path, parent_id) FROM p JOIN sdag ON child_id = path[-1] WHERE NOT list_contains(path, parent_id) AND path[-1] <> 1) SELECT id, array_to_string(path, ',') AS path FROM p WHERE path[-1] = 1"))
 def g22_paths_to_root(spark, sf):
     start = spark.createDataFrame([(20,), (57,)], "id long").join(derived(spark, sf, "sdag").select(F.col("child_id").alias("id")), "id", "left_semi")
@@ -272,7 +340,15 @@ def q2_synset(spark, sf):
     return lookup.by_synset(nodes, word)
 
 
-@query(oracle("links", "nodes", body="SELECT src_id AS id FROM links EXCEPT SELECT page_id FROM nodes WHERE page_id % 2 = 0"))
+@query(oracle("links", "nodes", body="SELECT src_id AS id FROM links EXCEPT SELECT page_id FROM nodes WHERE NOT starts_with(title, 'Wikipedia_')"))
 def u6_missing_keys(spark, sf):
+    """Sources of links that are no nodes, where nodes of one namespace have gone."""
     keys = derived(spark, sf, "links").select(F.col("src_id").alias("id")).distinct()
-    return keys.join(derived(spark, sf, "nodes").filter("page_id % 2 = 0").select(F.col("page_id").alias("id")), "id", "left_anti")
+    return keys.join(derived(spark, sf, "nodes").filter(~F.col("title").startswith("Wikipedia_")).select(F.col("page_id").alias("id")), "id", "left_anti")
+
+
+@query(oracle("upward", "nodes", body="SELECT page_id AS id FROM nodes EXCEPT SELECT dst_id FROM upward"))
+def u6_unused_keys(spark, sf):
+    """The other direction: nodes that no link leads to."""
+    keys = derived(spark, sf, "nodes").select(F.col("page_id").alias("id")).distinct()
+    return keys.join(derived(spark, sf, "upward").select(F.col("dst_id").alias("id")), "id", "left_anti")
