@@ -156,3 +156,104 @@ def test_paths_by_pointer(spark):
     p = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 3), (8, 9), (9, 8)], "id long, parent_id long")
     got = {r.id: r.path for r in up.pointers_to_root(p).collect()}
     assert got[4] == [4, 3, 2, 1] and got[1] == [1] and got[8] == [8, 9]
+
+
+def test_each_check_finds_its_damage(spark):
+    """A graph that is right, then one fault for each check."""
+    cats = spark.createDataFrame([(10, "R"), (11, "A"), (12, "B"), (13, "C")], "category_id long, title string")
+    e = edges_of(spark, [(10, 11), (10, 12), (11, 13)])
+    held = spark.createDataFrame([(1, 13), (2, 11), (3, 12)], "page_id long, category_id long")
+    visual = spark.createDataFrame([(1, "p1"), (2, "p2"), (3, "p3")], "page_id long, title string")
+    g = {k: v.cache() for k, v in kg.build(visual, held, cats, e).items()}
+    ok = validate.validate(g).collect()
+    assert {r.level for r in ok} == {"ok"} and {r.check for r in ok} == {f"V{i}" for i in range(1, 10)}
+    n, l = g["nodes"], g["edges"]  # noqa: E741
+    kind, node = l.columns, {r.title: r.node_id for r in n.collect()}
+    add = lambda a, b, t: {"edges": l.union(spark.createDataFrame([(a, b, t)], l.schema))}
+    put = lambda title, **c: {"nodes": n.withColumns({k: F.when(F.col("title") == title, F.lit(v).cast(n.schema[k].dataType)).otherwise(F.col(k)) for k, v in c.items()})}
+    faults = {
+        ("V1", "number of nodes as in metadata"): {"nodes": n.filter("title <> 'p3'")},
+        ("V1", "number of edges as in metadata"): {"edges": l.limit(5)},
+        ("V1", "node ids occur once"): {"nodes": n.union(n.limit(1))},
+        ("V1", "edges end at nodes"): add(node["p1"], 999, "belongs_to"),
+        ("V1", "title index has every titled node"): {"title_index": g["title_index"].filter("title <> 'R'")},
+        ("V1", "every concept has an ancestor list"): {"ancestors": g["ancestors"].filter(F.col("node_id") != node["p1"])},
+        ("V1", "ancestor lists are of concepts"): {"ancestors": g["ancestors"].union(spark.createDataFrame([(node["R"], [])], g["ancestors"].schema))},
+        ("V2", "belongs_to leads from a concept to a category"): add(node["p1"], node["p2"], "belongs_to"),
+        ("V2", "child_of leads from a category to a category"): add(node["p1"], node["R"], "child_of"),
+        ("V2", "no edge is a loop"): add(node["B"], node["B"], "child_of"),
+        ("V3", "categories of depth 0 have no parent"): put("B", depth=0),
+        ("V3", "a parent is less deep than its child"): put("A", depth=5),
+        ("V3", "a concept is one deeper than its least deep category"): put("p1", depth=1),
+        ("V3", "normalized depth is depth over the largest"): put("C", normalized_depth=0.123),
+        ("V4", "the hierarchy has no cycle"): add(node["R"], node["C"], "child_of"),
+        ("V5", "specificity is 1 / log1p(total)"): put("A", specificity_score=1.0),
+        ("V5", "specificity is over 0 and no more than 1 / log(2)"): put("A", specificity_score=-1.0),
+        ("V5", "specificity falls as the count grows"): {"nodes": n.withColumn("specificity_score", F.when(F.col("node_type") == "category", F.log1p("total_concept_count")).otherwise(F.lit(1.0)))},
+        ("V6", "ancestors are all that is above"): {"ancestors": g["ancestors"].withColumn("ancestors", F.slice("ancestors", 1, 1))},
+        ("V6", "ancestors go from the root down"): {"ancestors": g["ancestors"].withColumn("ancestors", F.reverse("ancestors"))},
+        ("V7", "every concept belongs to a category"): {"edges": l.filter(F.col("src_id") != node["p3"])},
+        ("V7", "direct counts are the edges"): put("B", direct_concept_count=7),
+        ("V8", "title_lower is the title in lower case"): {"title_index": g["title_index"].withColumn("title_lower", F.col("title"))},
+        ("V8", "titles are those of the nodes"): {"title_index": g["title_index"].withColumn("title", F.when(F.col("title") == "A", "Z").otherwise(F.col("title")))},
+        ("V8", "titles occur once"): {"title_index": g["title_index"].union(g["title_index"].limit(1))},
+        ("V9", "depths are distributed as in metadata"): put("p1", depth=9),
+    }
+    assert kind == ["src_id", "dst_id", "edge_type"] and set(faults) == {(r.check, r.message) for r in ok}
+    of = dict(V1=validate.structure, V2=validate.edge_types, V3=validate.depths, V4=validate.cycles, V5=validate.scores, V6=validate.ancestors, V7=validate.coverage, V8=validate.index, V9=validate.statistics)
+    for (check, message), parts in faults.items():
+        row = next(x for x in of[check]({**g, **parts}) if x.filter(F.col("message") == message).count())
+        assert row.first().level != "ok", (check, message)
+
+
+def test_classifier_goes_on(spark, tmp_path):
+    """Back-off, checkpoints and a limit: a run that broke off asks only about what is open."""
+    from loomgraph.operators import classify
+
+    nodes = spark.createDataFrame([(i, f"t_{i}") for i in range(40)], "page_id long, title string")
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def answer(titles, fail=False):
+        import json
+        import uuid
+
+        (asked / uuid.uuid4().hex).write_text("\n".join(titles))
+        return None if fail else json.dumps([{"title": t, "visual": int(t[2:]) % 2 == 0} for t in titles])
+
+    path = str(tmp_path / "verdicts")
+    part = classify.ask_in_parts(nodes.filter("page_id < 10"), answer, path, every=1, batch=3)
+    assert part.count() == 10
+    before = len(list(asked.iterdir()))
+    done = classify.ask_in_parts(nodes, answer, path, every=1, batch=3)
+    assert {(r.page_id, r.visual) for r in done.collect()} == {(i, i % 2 == 0) for i in range(40)}
+    later = {t for f in sorted(asked.iterdir(), key=lambda f: f.stat().st_mtime)[before:] for t in f.read_text().split("\n")}
+    assert later == {f"t_{i}" for i in range(10, 40)}
+    for f in asked.iterdir():
+        f.unlink()
+    none = classify.ask(nodes, lambda t: answer(t, True), retries=3, wait=0.01, limit=2).collect()
+    assert [r.visual for r in none] == [None, None] and len(list(asked.iterdir())) == 3
+
+
+def test_samples_are_seeded(spark):
+    nodes = spark.createDataFrame([(f"page_{i}", "page") for i in range(50)], "node_id string, node_type string")
+    a, b, c = (ids(lookup.random_pages(nodes, 5, s).select("node_id")) for s in (1, 1, 2))
+    assert a == b != c and len(a) == 5
+
+
+def test_quantiles(spark):
+    rng = random.Random(3)
+    for values in ([1.0], [2.0, 1.0], [rng.choice([0.1, 0.2, rng.random()]) for _ in range(200)]):
+        df = spark.createDataFrame([(v,) for v in values], "pagerank double")
+        shares = [0, 0.2, 0.5, 0.75, 0.99, 1]
+        want = df.agg(F.percentile("pagerank", F.array(*(F.lit(float(s)) for s in shares)))).first()[0]
+        assert list(pr.quantiles(df, shares).first()) == pytest.approx(want)
+
+
+def test_concept_card(spark):
+    cats = spark.createDataFrame([(10, "R"), (11, "A"), (12, "B"), (13, "C"), (14, "S")], "category_id long, title string")
+    e = edges_of(spark, [(10, 11), (10, 12), (11, 13), (12, 13), (14, 13)])
+    g = kg.build(spark.createDataFrame([(1, "p1")], "page_id long, title string"), spark.createDataFrame([(1, 13)], "page_id long, category_id long"), cats, e)
+    card = lookup.concept_card(g, "P1").first()
+    assert card.parents == ["C"] and card.hierarchy == ["R>A>C>p1", "S>C>p1"]
+    assert lookup.concept_card(g, "nothing").isEmpty()
