@@ -1,45 +1,68 @@
 """Line dedup: an exact set-similarity join over the lines of all documents, in DataFrame operations only.
 
-A line is the set of its words, which are what spaces separate; case counts. A line goes if an earlier line (by
-document, then by place) has a Jaccard similarity of at least `num / den` with it; a line without words stays. Words
-are 56-bit hashes, ordered by rarity: all words are counted into a fixed number of hash cells, and a word ranks as
-its cell does among the cells.
+A line is the set of its words, which are runs of anything but ASCII white space; case counts. A line goes if an
+earlier line (by document, then by place) has a Jaccard similarity of at least `num / den` with it; a line without
+words stays. All words are counted, by 64-bit hashes. A word's level is the logarithm of its count, or of that of the
+most frequent word with which it shares one of 2^18 cells; words are ordered by level, then by hash, rarest first.
 
 1. Equal sets meet in an aggregation on their signature, where the earliest stays; copies cost no pairs.
-2. Each distinct set posts the words of its prefix, which is a little longer than one common word would need, so
-   that similar sets have several words of their prefixes in common. Postings of a word meet in a join under a
-   length, a positional and a bitmap filter (two parity bitmaps differ in at most as many bits as the sets differ in
-   words); pairs that meet too seldom go, which leaves few to be verified.
-3. Words that many sets of about one size post (by counts in hash cells) would give too many pairs. Their sets are first
-   held against the earliest sets of the word, a fixed number of them; only sets that this does not remove are
-   joined with all earlier ones, under the same filters. Dense groups are settled by then.
+2. Each distinct set posts the keys of its prefix. Of two similar sets the smaller has a key of a shorter prefix in
+   common with the prefix of the larger, so a join holds few places against more, under a length, a positional and a
+   bitmap filter (two parity bitmaps differ in at most as many bits as the sets differ in words).
+3. Keys that many sets of about one size post would give too many pairs. Their sets are first held against the
+   earliest sets of the key, a fixed number of them; only sets that this does not remove are joined with all earlier
+   ones, under the same filters. Dense groups are settled by then. Which keys these are is told from the postings of
+   every `SEEN`-th set, picked by hash; it decides only by which of the two ways a pair is found.
+4. Pairs that are left are verified word by word.
+
+A key has the level and 56 bits of the hash. Keys of two words may agree: places and numbers of common keys are then
+over-estimated, so such words cost pairs to verify, and lose none.
 
 Defined results: a null text stays null and an empty one empty; documents with equal ids are ordered among
 themselves by an internal number, and each repeated row counts as a later document; a document of which all lines
-go keeps the empty text; extra columns come along. Null ids come first.
+go keeps the empty text; extra columns come along, whatever their names. Null ids come first.
 """
 
 from __future__ import annotations
 
-import gc
+from functools import reduce
+from operator import add, and_, or_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, with_key
+from .common import bounded, column, fresh, keyed, staged
 
-CELL_BITS = 17
+CELL_BITS = 18
+#: Levels for each doubling of a count.
+OCTAVE = 4
 #: Cells in which postings are counted; a bit for each tells the crowded ones.
 POSTED_BITS = 21
 HASH = (1 << 56) - 1
-TOKEN = (1 << 31) - 1
-#: Sets of about one size that may post a word (or what shares its cell) before it is settled by its earliest sets.
-MANY = 100
+#: Sets of about one size that may post a key (or what shares its cell) before it is settled by its earliest sets.
+MANY = 64
+SEEN = 8
 ANCHORS = 4
 PAIR = ("xk", "xat", "yk", "yat")
-#: A set of so many words has one more word in its prefix, and of similar sets one more is common.
-STEP = 32
+BITS = ("b0", "b1")
+#: White space within a line.
+SPACES = "\t\x0b\x0c\r"
+
+
+def spaced(text: Column) -> Column:
+    """text with all white space within lines as spaces."""
+    has = reduce(or_, (F.contains(text, F.lit(c)) for c in SPACES))
+    return F.when(has, F.translate(text, SPACES, " " * len(SPACES))).otherwise(text)
+
+
+def words_of(line: Column) -> Column:
+    return F.array_distinct(F.array_remove(F.split(line, " "), ""))
+
+
+def hashes_of(line: Column) -> Column:
+    """The hashes of the distinct words of a line."""
+    return F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w)))
 
 
 def cell(h: Column, bits: int = CELL_BITS) -> Column:
@@ -49,7 +72,7 @@ def cell(h: Column, bits: int = CELL_BITS) -> Column:
 def numbers(df: DataFrame, *columns: str) -> np.ndarray:
     """The rows of a table of bounded size, packed into a few strings for the way to the driver."""
     packed = df.groupBy(F.pmod(F.col(columns[0]), F.lit(64))).agg(F.concat_ws(",", F.collect_list(F.concat_ws(",", *columns))).alias("rows"))
-    parts = [np.fromstring(r.rows, np.int64, sep=",") for r in packed.collect()]
+    parts = [np.fromstring(r.rows, np.int64, sep=",") for r in packed.toLocalIterator()]
     return np.concatenate([np.empty(0, np.int64), *parts]).reshape(-1, len(columns))
 
 
@@ -57,88 +80,77 @@ def constant(values: np.ndarray, kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast(f"array<{kind}>")
 
 
-def word_ranks(docs: DataFrame, text: str) -> Column:
-    words = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).select(F.explode(F.split("line", " ")).alias("w"))
-    counted = numbers(words.select(cell(F.xxhash64("w")).alias("cell")).groupBy("cell").count(), "cell", "count")
-    n = np.zeros(1 << CELL_BITS, np.int64)
-    n[counted[:, 0]] = counted[:, 1]
-    return constant(np.searchsorted(np.sort(n), n) * 128 // len(n), "tinyint")
+def word_levels(docs: DataFrame) -> Column:
+    """An array with the level of each cell, from exact counts of all words."""
+    words = docs.select(F.explode(F.split(F.replace(spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w")).filter("w <> ''")
+    counts = words.groupBy(F.xxhash64("w").alias("h")).count()
+    level = F.least(F.lit(127), F.floor(F.log2("count") * OCTAVE)).cast("int")
+    found = numbers(counts.filter("count > 1").groupBy(cell(F.col("h")).alias("cell")).agg(F.max(level).alias("level")), "cell", "level")
+    levels = np.zeros(1 << CELL_BITS, np.int64)
+    levels[found[:, 0]] = found[:, 1]
+    return constant(levels, "tinyint")
 
 
 def crowded(sets: DataFrame, many: int):
-    """A test of whether a posted word is in a cell with more than many postings of sets of about one size. Words that
-    are just frequent are posted by sets of all sizes, those of a dense group by sets of one."""
-    tokens = sets.select(F.floor(F.log("size") * 4.5).alias("sizes"), F.explode("prefix").alias("token")).select("sizes", cell(F.col("token").cast("bigint"), POSTED_BITS).alias("cell"))
-    cells = numbers(tokens.groupBy("cell", "sizes").count().filter(F.col("count") > many).select("cell").distinct(), "cell")[:, 0]
+    """A test of whether a posted key is in a cell with more than many postings of sets of about one size, as far as
+    every SEEN-th set tells. Words that are just frequent are posted by sets of all sizes, those of a dense group by
+    sets of one."""
+    seen = sets.filter(F.pmod(F.xxhash64("k", "at"), F.lit(SEEN)) == 0)
+    keys = seen.select(F.floor(F.log("size") * 4.5).alias("sizes"), F.explode("prefix").alias("key")).select("sizes", cell(F.col("key"), POSTED_BITS).alias("cell"))
+    cells = numbers(keys.groupBy("cell", "sizes").count().filter(F.col("count") * SEEN > many).select("cell").distinct(), "cell")[:, 0]
     words = np.zeros(1 << (POSTED_BITS - 6), np.uint64)
     np.bitwise_or.at(words, cells >> 6, np.uint64(1) << (cells & 63).astype(np.uint64))
     bits = constant(words.view(np.int64), "bigint")
 
-    def test(token: Column) -> Column:
-        at = cell(token.cast("bigint"), POSTED_BITS)
+    def test(key: Column) -> Column:
+        at = cell(key, POSTED_BITS)
         return F.call_function("shiftright", F.get(bits, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
     return test
 
 
-def ordered_tokens(line: Column, ranks: Column) -> Column:
-    """The distinct words of a line as longs, rarest first: seven bits of rank over 56 of hash."""
+def keys_of(hashes: Column, levels: Column) -> Column:
+    """Keys in order, rarest words first: seven bits of level over 56 of hash; as many as there are hashes."""
 
-    def key(w: Column) -> Column:
-        rank = F.get(ranks, cell(F.xxhash64(w)).cast("int")).cast("bigint")
-        return F.shiftleft(rank, 56).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit(HASH)))
+    def key(h: Column) -> Column:
+        return F.shiftleft(F.get(levels, cell(h).cast("int")).cast("bigint"), 56).bitwiseOR(h.bitwiseAND(F.lit(HASH)))
 
-    return F.sort_array(F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), key)))
+    return F.sort_array(F.transform(hashes, key))
 
 
-def parity(tokens: Column, part: int | None = None) -> Column:
-    """64 bits, each the parity of the words that hash to it; with part, of that quarter of the words only."""
-    one = F.lit(1).cast("bigint")
-    bit = lambda k: F.call_function("shiftleft", one, F.shiftright(k, 40).bitwiseAND(F.lit(63)).cast("int"))
-    if part is not None:
-        whole, bit_of = bit, lambda k: F.when(F.shiftright(k, 46).bitwiseAND(F.lit(3)) == part, whole(k)).otherwise(F.lit(0).cast("bigint"))
-    else:
-        bit_of = bit
-    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(bit_of(k)))
-
-
-def release(docs: DataFrame) -> None:
-    """Lets Spark remove shuffle files that no plan needs any more."""
-    gc.collect()
-    docs.sparkSession._jvm.System.gc()
+def bitmaps(hashes: Column) -> tuple[Column, Column]:
+    """Two longs of parities by the six bits of a hash after its first: of all words, and of those whose first bit is set.
+    The topmost bits are not in keys. What the two differ by is the parity of the other words."""
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    shifted = lambda x, h: F.call_function("shiftleft", x, F.shiftrightunsigned(h, 57).cast("int"))  # noqa: E731  # counts modulo 64
+    every = F.aggregate(hashes, none, lambda acc, h: acc.bitwiseXOR(shifted(one, h)))
+    upper = F.aggregate(hashes, none, lambda acc, h: acc.bitwiseXOR(shifted(F.shiftrightunsigned(h, 63), h)))
+    return every, upper
 
 
 def least_common(size: Column, num: int, den: int) -> Column:
     """The least overlap of two sets with so many words together."""
-    return F.floor((size * num + (num + den - 1)) / F.lit(num + den)).cast("long")
+    return F.call_function("div", size * num + (num + den - 1), F.lit(num + den))
 
 
-def may_match(xs: Column, ys: Column, xi: Column, yi: Column, xb: Column, yb: Column, num: int, den: int) -> Column:
-    """Length, positional and bitmap filters for sizes, places of the shared word (from zero) and bitmaps."""
+def may_match(num: int, den: int) -> Column:
+    """Length, positional and bitmap filters for sizes, places of the shared word (from zero) and bitmaps of x and y."""
+    xs, ys, xi, yi = (F.col(c) for c in ("xsize", "ysize", "xi", "yi"))
     least = least_common(xs + ys, num, den)
-    return (
-        (F.least(xs, ys) * den >= F.greatest(xs, ys) * num)
-        & (F.least(xi, yi) + F.least(xs - xi, ys - yi) >= least)
-        & (F.bit_count(xb.bitwiseXOR(yb)) <= xs + ys - 2 * least)
-    )
-
-
-def matches(pairs: DataFrame, docs: DataFrame, text: str, ranks: Column, num: int, den: int) -> DataFrame:
-    """(k, at) of the y of those pairs (xk, xat, yk, yat) that are similar. Only lines in pairs are looked at."""
-    ends = pairs.select(F.col("xk").alias("k"), F.col("xat").alias("at")).union(pairs.select("yk", "yat")).distinct()
-    wanted = staged(ends.groupBy("k").agg(F.collect_set("at").alias("wanted")), "line-wanted")
-    placed = F.transform(F.split(F.col(text), "\n"), lambda line, i: F.struct(i.alias("at"), line.alias("line")))
-    lines = docs.join(wanted.hint("merge"), "k").select("k", F.explode(F.filter(placed, lambda x: F.array_contains("wanted", x["at"]))).alias("x"))
-    sets = lines.select("k", "x.at", ordered_tokens(F.col("x.line"), ranks).alias("tokens"))
-    sets = staged(sets.select("k", "at", "tokens", F.size("tokens").alias("size"), *(parity(F.col("tokens"), j).alias(f"b{j}") for j in range(4))), "line-sets")
-    release(docs)
-    # Words are compared only for pairs that pass larger bitmaps, so few words are shuffled.
-    small = lambda side: sets.select(*(F.col(c).alias(side + c) for c in ("k", "at", "size", "b0", "b1", "b2", "b3")))
-    both = pairs.join(small("x"), ["xk", "xat"]).join(small("y"), ["yk", "yat"])
-    differ = sum((F.bit_count(F.col(f"xb{j}").bitwiseXOR(F.col(f"yb{j}"))) for j in range(1, 4)), F.bit_count(F.col("xb0").bitwiseXOR(F.col("yb0"))))
-    size = F.col("xsize") + F.col("ysize")
-    pairs = staged(both.filter(differ <= size - 2 * least_common(size, num, den)).select(*PAIR), "line-alike")
-    release(docs)
+    differ = reduce(add, (F.bit_count(F.col("x" + b).bitwiseXOR(F.col("y" + b))) for b in BITS))
+    return (F.least(xs, ys) * den >= F.greatest(xs, ys) * num) & (F.least(xi, yi) + F.least(xs - xi, ys - yi) >= least) & (differ <= xs + ys - 2 * least)
+
+
+def line_words(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(k, at, words) of the lines (k, at) that are wanted; other texts are not split."""
+    wanted = staged(wanted.distinct().groupBy("k").agg(F.collect_list("at").alias("wanted")), "line-wanted")
+    placed = F.transform(F.split(spaced(F.col("text")), "\n"), lambda line, i: F.struct(i.alias("at"), line.alias("line")))
+    lines = docs.join(bounded(wanted), "k").select("k", F.explode(F.filter(placed, lambda x: F.array_contains("wanted", x["at"]))).alias("x"))
+    return staged(lines.select("k", "x.at", words_of(F.col("x.line")).alias("words")), "line-words")
+
+
+def matches(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(k, at) of the y of those pairs (xk, xat, yk, yat) whose sets of words are similar."""
     # In a group of copies most lines are settled by their earliest or nearest partner, so these come first.
     ends = (F.min(F.struct("xk", "xat")), F.max(F.struct("xk", "xat")))
     some = pairs.groupBy("yk", "yat").agg(F.array_distinct(F.array(*ends)).alias("x")).select("yk", "yat", F.explode("x").alias("x")).select("x.xk", "x.xat", "yk", "yat")
@@ -147,27 +159,27 @@ def matches(pairs: DataFrame, docs: DataFrame, text: str, ranks: Column, num: in
     return staged(gone.union(similar(rest, sets, num, den)), "line-matches")
 
 
-def similar(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(k, at) of the y of those pairs whose sets of words are similar."""
-    x = sets.select(F.col("k").alias("xk"), F.col("at").alias("xat"), F.col("tokens").alias("xt"))
-    y = sets.select(F.col("k").alias("yk"), F.col("at").alias("yat"), F.col("tokens").alias("yt"))
-    both = pairs.join(x, ["xk", "xat"]).join(y, ["yk", "yat"])
-    common = F.size(F.array_intersect("xt", "yt"))
-    found = both.filter(common * (num + den) >= (F.size("xt") + F.size("yt")) * num)
+def similar(pairs: DataFrame, words: DataFrame, num: int, den: int) -> DataFrame:
+    """(k, at) of the y of those pairs whose sets of words are similar. Words go to the pairs in one shuffle."""
+    one, other = (F.struct(F.col(f"{c}k").alias("k"), F.col(f"{c}at").alias("at")) for c in "xy")
+    ends = staged(pairs.select(*PAIR, F.inline(F.array(one, other))), "line-ends")
+    both = words.join(bounded(ends), ["k", "at"]).groupBy(*PAIR).agg(F.collect_list("words").alias("w"))
+    x, y = F.get("w", F.lit(0)), F.get("w", F.lit(1))
+    found = both.filter(F.size(F.array_intersect(x, y)) * (num + den) >= (F.size(x) + F.size(y)) * num)
     return found.select(F.col("yk").alias("k"), F.col("yat").alias("at")).distinct()
 
 
 def posted(sets: DataFrame, *more: str) -> DataFrame:
-    return sets.select("k", "at", "size", "bits", "crowded", *more, F.posexplode("prefix").alias("i", "token"))
+    return sets.select("k", "at", "size", *BITS, *more, F.posexplode("prefix").alias("i", "key"))
 
 
 def as_side(postings: DataFrame, side: str) -> DataFrame:
-    return postings.select("token", *(F.col(c).alias(side + c) for c in postings.columns if c != "token"))
+    return postings.select("key", *(F.col(c).alias(side + c) for c in postings.columns if c != "key"))
 
 
 def posted_words(size: Column, num: int, den: int) -> Column:
-    """How many words a set posts."""
-    return F.least(size, size - F.floor((size * num + (den - 1)) / F.lit(den)) + 1 + F.floor(size / F.lit(STEP)))
+    """How many words a set posts: of similar sets, the first common one is among these."""
+    return size - F.call_function("div", size * num + (den - 1), F.lit(den)) + 1
 
 
 def in_common(num: int, den: int) -> Column:
@@ -178,69 +190,74 @@ def in_common(num: int, den: int) -> Column:
     return least_common(x + y, num, den) - F.greatest(x - posted_words(x, num, den), y - posted_words(y, num, den))
 
 
-def met(joined: DataFrame, num: int, den: int) -> DataFrame:
-    """A row for each meeting of joined postings, x before y, that may match."""
-    may = may_match(F.col("xsize"), F.col("ysize"), F.col("xi"), F.col("yi"), F.col("xbits"), F.col("ybits"), num, den)
-    return joined.filter(may & (F.struct("xk", "xat") < F.struct("yk", "yat")))
+def few_pairs(sets: DataFrame, is_many, num: int, den: int) -> DataFrame:
+    """Pairs that meet at keys which are not crowded. The smaller set of a pair comes as x: with a set of its own size or
+    more it has so many words in common that the first is among few. That test stays above the exchange, which serves
+    both sides: the floor of a random number, always zero, keeps it from being pushed below, and what the join asks of
+    either side is asked of both beforehand."""
+    whole = sets.filter(reduce(and_, (F.col(c).isNotNull() for c in ("k", "at", "size", *BITS, "prefix"))))
+    postings = posted(whole).filter(F.col("key").isNotNull() & ~is_many(F.col("key"))).repartition("key")
+    x = as_side(postings, "x").filter(F.col("xi") <= F.col("xsize") - least_common(2 * F.col("xsize"), num, den) + F.floor(F.rand()))
+    joined = x.join(as_side(postings, "y").hint("merge"), "key").filter((F.col("xsize") <= F.col("ysize")) & may_match(num, den))
+    one, other = (F.struct(F.col(f"{c}k").alias("k"), F.col(f"{c}at").alias("at")) for c in "xy")
+    pairs = joined.filter(one != other).select(F.least(one, other).alias("x"), F.greatest(one, other).alias("y"))
+    return pairs.select(*(F.col(f"{c[0]}.{c[1:]}").alias(c) for c in PAIR)).distinct()
 
 
 def crowd_pairs(x: DataFrame, y: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that meet at crowded words. Their postings carry the prefixes, so these are compared at once, and a pair
-    is taken at the first crowded word that it has in common only."""
-    alike = F.size(F.array_intersect("xprefix", "yprefix")) >= in_common(num, den)
-    once = F.get(F.array_intersect("xcrowd", "ycrowd"), F.lit(0)) == F.col("token")
-    return met(as_side(x, "x").join(as_side(y, "y"), "token"), num, den).filter(alike & once).select(*PAIR)
-
-
-def kept_lines(docs: DataFrame, text: str, num: int, den: int) -> DataFrame:
-    """(k, at) of the lines with words that stay; docs has the order key k."""
-    ranks = word_ranks(docs, text)
-    lines = docs.select("k", F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"))
-    tokens = lines.select("k", "at", ordered_tokens(F.col("line"), ranks).alias("t"))
-    size = F.size("t")
-    prefix = F.slice("t", F.lit(1), posted_words(size, num, den).cast("int"))
-    slim = tokens.select("k", "at", F.xxhash64("t").alias("sign"), size.alias("size"), F.transform(prefix, lambda w: w.bitwiseAND(F.lit(TOKEN)).cast("int")).alias("prefix"), parity(F.col("t")).alias("bits"))
-    # Equal sets have equal signatures, sizes and bitmaps, 128 bits of hash; all their lines have the same prefix.
-    sets = slim.groupBy("sign", "bits", "size").agg(F.min(F.struct("k", "at")).alias("first"), F.first("prefix").alias("prefix"))
-    # The filter comes after the table is written: before, it would be pushed down, and tokens would be made twice.
-    sets = staged(sets.select("first.k", "first.at", F.col("size").cast("long").alias("size"), "bits", "prefix"), "line-sets").filter("size > 0")
-    release(docs)
+    """Pairs that meet at crowded keys, x before y. Their postings carry the prefixes, so these are compared at once, and
+    a pair is taken at the first crowded key that it has in common only. Keys that x has twice count for as many as
+    may be."""
+    twice = F.size("xprefix") - F.size(F.array_distinct("xprefix"))
+    alike = F.size(F.array_intersect("xprefix", "yprefix")) + twice >= in_common(num, den)
+    once = F.get(F.array_intersect("xcrowd", "ycrowd"), F.lit(0)) == F.col("key")
+    ordered = F.struct("xk", "xat") < F.struct("yk", "yat")
+    return as_side(x, "x").join(as_side(y, "y"), "key").filter(may_match(num, den) & ordered).filter(alike & once).select(*PAIR)
+
+
+def kept_lines(docs: DataFrame, num: int, den: int) -> DataFrame:
+    """(k, at) of the lines with words that stay; docs has the order key k and the text, never null."""
+    levels = word_levels(docs)
+    lines = docs.select("k", F.posexplode(F.split(spaced(F.col("text")), "\n")).alias("at", "line"))
+    hashed = lines.select("k", "at", hashes_of(F.col("line")).alias("h"))
+    every, upper = bitmaps(F.col("h"))
+    whole = hashed.select("k", "at", F.size("h").alias("size"), every.alias("every"), upper.alias("b1"), keys_of(F.col("h"), levels).alias("t"))
+    whole = whole.withColumn("b0", F.col("every").bitwiseXOR(F.col("b1")))
+    prefix = F.slice("t", F.lit(1), posted_words(F.col("size"), num, den).cast("int"))
+    slim = whole.select("k", "at", "size", *BITS, F.xxhash64("t").alias("sign"), prefix.alias("prefix"))
+    # Equal sets have equal signatures, sizes and bitmaps, made of all bits of the hashes but one; all their lines have the same prefix.
+    sets = slim.groupBy("sign", "size", *BITS).agg(F.min(F.struct("k", "at")).alias("first"), F.first("prefix").alias("prefix"))
+    # The filter comes after the table is written: before, it would be pushed down, and hashes would be made twice.
+    sets = staged(sets.select("first.k", "first.at", F.col("size").cast("long").alias("size"), *BITS, "prefix"), "line-sets").filter("size > 0")
 
     is_many = crowded(sets, MANY)
-    sets = sets.withColumn("crowd", F.filter("prefix", is_many)).withColumn("crowded", F.size("crowd"))
-    few = posted(sets).filter(~is_many(F.col("token")))
-    # Were all crowded words of the one that has fewer of them common, a pair would have to meet this often here.
-    need = in_common(num, den) - F.least("xcrowded", "ycrowded")
-    close = met(as_side(few, "x").join(as_side(few, "y"), "token"), num, den).select(*PAIR, need.alias("need"))
-    close = close.groupBy(*PAIR).agg(F.count("*").alias("n"), F.max("need").alias("need")).filter("n >= need").select(*PAIR)
-    close = staged(close, "line-close")
-    release(docs)
-    crowd = staged(posted(sets, "prefix", "crowd").filter(is_many(F.col("token"))), "line-crowd")
-    anchors = crowd.groupBy("token", F.pmod(F.xxhash64("k", "at"), F.lit(ANCHORS))).agg(F.min(F.struct("k", "at", "size", "i", "bits", "crowded", "prefix", "crowd")).alias("a")).select("token", "a.*")
+    close = staged(few_pairs(sets, is_many, num, den), "line-close")
+    placed = F.transform("prefix", lambda key, i: F.struct(i.alias("i"), key.alias("key")))
+    crowd = sets.select("*", F.filter(placed, lambda x: is_many(x["key"])).alias("held"), F.filter("prefix", is_many).alias("crowd"))
+    crowd = staged(crowd.select("k", "at", "size", *BITS, "prefix", "crowd", F.inline("held")), "line-crowd")
+    anchors = crowd.groupBy("key", F.pmod(F.xxhash64("k", "at"), F.lit(ANCHORS))).agg(F.min(F.struct("k", "at", "size", "i", *BITS, "prefix", "crowd")).alias("a")).select("key", "a.*")
     pairs = staged(close.union(crowd_pairs(anchors, crowd, num, den)).distinct(), "line-pairs")
-    release(docs)
-    gone = matches(pairs, docs, text, ranks, num, den)
+    ends = pairs.select(F.col("xk").alias("k"), F.col("xat").alias("at")).union(pairs.select("yk", "yat")).union(crowd.select("k", "at"))
+    words = line_words(ends, docs)
+    gone = matches(pairs, words, num, den)
 
     left = crowd.join(gone, ["k", "at"], "left_anti")
-    far = crowd_pairs(crowd, left, num, den).distinct().join(pairs, [*PAIR], "left_anti")
-    far = staged(far, "line-far")
-    if not far.isEmpty():
-        gone = gone.union(matches(far, docs, text, ranks, num, den))
-    release(docs)
+    far = staged(crowd_pairs(crowd, left, num, den).distinct().join(pairs, [*PAIR], "left_anti"), "line-far")
+    gone = gone.union(matches(far, words, num, den))
     return sets.select("k", "at").join(gone, ["k", "at"], "left_anti")
 
 
 def dedup_lines(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the lines that match an earlier line; n_lines and n_removed are added."""
-    keyed = with_key(docs, id_col)
-    body = F.col(f"`{text_col}`").cast("string")
-    text = keyed.select(F.col("__k").alias("k"), body.alias("text")).filter("text IS NOT NULL")
-    kept = staged(kept_lines(text, "text", num, den).groupBy(F.col("k").alias("__k")).agg(F.collect_set("at").alias("__kept")), "line-kept")
-    release(docs)
-    out = keyed.join(kept, "__k", "left").withColumn("__lines", F.split(body, "\n"))
-    stay = F.filter("__lines", lambda line, i: F.coalesce(F.array_contains("__kept", i), F.lit(False)) | (F.trim(line) == ""))
-    out = out.withColumn("__stay", stay).withColumn("__n", F.coalesce(F.size("__lines"), F.lit(0)).cast("long"))
-    out = out.withColumn("__gone", F.col("__n") - F.coalesce(F.size("__stay"), F.lit(0)))
-    out = out.withColumn(text_col, F.when(F.col("__gone") > 0, F.array_join("__stay", "\n")).otherwise(body))
-    out = out.withColumn("n_removed", F.col("__gone")).withColumn("n_lines", F.col("__n"))
-    return out.drop("__k", "__kept", "__lines", "__stay", "__gone", "__n")
+    """docs without the lines that match an earlier line; n_removed and n_lines are added, with an underscore after the
+    name where docs has such a column."""
+    rows = keyed(docs, id_col)
+    body = column(text_col, "row").cast("string")
+    text = rows.select("k", body.alias("text")).filter("text IS NOT NULL")
+    kept = staged(kept_lines(text, num, den).groupBy("k").agg(F.collect_set("at").alias("kept")), "line-kept")
+    out = rows.select("k", "row", F.split(body, "\n").alias("lines")).join(bounded(kept), "k", "left")
+    stay = F.filter("lines", lambda line, i: F.coalesce(F.array_contains("kept", i), F.lit(False)) | (F.btrim(line, F.lit(f" {SPACES}")) == ""))
+    out = out.select("row", "lines", stay.alias("stay")).withColumn("n", F.coalesce(F.size("lines"), F.lit(0)).cast("long"))
+    out = out.withColumn("gone", F.col("n") - F.coalesce(F.size("stay"), F.lit(0)))
+    left = F.when(F.col("gone") > 0, F.array_join("stay", "\n")).otherwise(body)
+    names = [fresh(c, docs.columns) for c in ("n_removed", "n_lines")]
+    return out.select(*((left if c == text_col else column(c, "row")).alias(c) for c in docs.columns), F.col("gone").alias(names[0]), F.col("n").alias(names[1]))
