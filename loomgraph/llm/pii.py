@@ -2,11 +2,15 @@
 
 The patterns find email, ip, card and phone, leftmost and without overlap; a match that fails its test is
 dropped. The field labels words by their shapes and those of their neighbours. It is trained by gradient ascent
-on the small labelled table below, and decodes by Viterbi over all sequences of a batch at once. A sequence is
-a line with all its words. Its spans have kinds of their own (name, national_id, iban, secret) and never touch a base span.
+on the small labelled table below. A sequence is a line with all its words. Features that the table has not seen
+weigh nothing, so the scores of a word come from small tables, in numpy over all words of a batch. A line of which
+no labelling can beat "no personal data at all" is settled by a bound on the scores of whole segments; Viterbi decodes
+the others, all at once. The result is that of decoding every line. Spans of the field have kinds of their own (name,
+national_id, iban, secret) and never touch a base span.
 
 Offsets are code points, ends exclusive. Defined results: a null or empty text has no spans, and its digest is
-that of the empty string; repeated rows get equal results.
+that of the empty string; repeated rows get equal results; ties go to the smaller label, "none" first; extra columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,14 +18,13 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, text_column, worker_cache
+from .common import column, map_batches, text_column, worker_cache
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = ("name", "national_id", "iban", "secret")
@@ -38,6 +41,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 #: Punctuation around a word.
 EDGE = "\"'.,;:!?()[]{}<>%&$#*"
+AFTER = ".,;:!?%&$#*"
 
 #: Labelled table: words in [kind ...] have that label, all others none.
 LABELLED = """\
@@ -173,10 +177,7 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return out
 
 
-# The field: features are hashed into a fixed number of columns, each word has the same number of them.
-
-COLUMNS = 1 << 18
-#: Words whose keys a worker keeps.
+#: Words whose types a worker keeps.
 KNOWN = 1 << 18
 
 
@@ -200,51 +201,25 @@ def word_keys(word: str) -> tuple[str, str, str]:
     return shape(word), mix(word), known if len(known) <= 16 and not HAS_DIGIT.search(known) else ""
 
 
-def hashed(keys: tuple[str, str, str]) -> tuple[int, ...]:
-    return tuple(zlib.crc32(k.encode("utf-8", "surrogatepass"), i) for i, k in enumerate(keys))
-
-
-BEGIN, END = hashed(("^", "^", "^")), hashed(("$", "$", "$"))
-
-
-def features(words: list[str]) -> np.ndarray:
-    """A row of column numbers for each word."""
-    return features_of([words])[0]
-
-
-def features_of(sequences: list[list[str]]) -> list[np.ndarray]:
-    """The features of each sequence, made over all of them at once."""
-    seen = worker_cache("pii words", dict)
-    rows = []
-    for words in sequences:
-        rows += (BEGIN, BEGIN)
-        for word in words:
-            row = seen.get(word)
-            if row is None:
-                row = hashed(word_keys(word))
-                if len(word) <= 32:
-                    if len(seen) >= KNOWN:
-                        seen.clear()
-                    seen[word] = row
-            rows.append(row)
-        rows += (END, END)
-    if not rows:
-        return []
-    s, m, w = np.array(rows, np.uint64).T
-    n = len(rows)
-    now, back, back2, ahead = (slice(2 + k, n - 2 + k) for k in (0, -1, -2, 1))
-    made = np.empty((max(0, n - 4), 12), np.int32)
-    parts = ((s[now],), (m[now],), (w[now],), (s[back],), (m[back],), (w[back],), (s[ahead],), (w[ahead],), (w[back2],), (s[now], w[back]), (m[now], w[back]), (w[back], w[back2], m[now]))
-    for k, part in enumerate(parts):
-        h = np.full(len(made), k + 1, np.uint64)
-        for x in part:
-            h = (h ^ x) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        made[:, k] = (h * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - 18)).astype(np.int32)
-    out, at = [], 0
-    for words in sequences:
-        out.append(made[at : at + len(words)])
-        at += len(words) + 4
+def plain_keys(word: str) -> tuple[str, str, str] | None:
+    """The same, for words of lower-case letters, maybe with a capital (A-Z) before and punctuation after them."""
+    core = word.rstrip(AFTER)
+    rest = core[1:] if "A" <= core[:1] <= "Z" else core
+    if not (rest.isalpha() and rest.islower()):
+        return None
+    first = "A" if len(rest) < len(core) else ""
+    return f"{first}a{word[len(core) :]}"[:24], f"{int(first > '')}100{min(4, len(word) // 6)}0", core if len(core) <= 16 else ""
+
+
+BEGIN, END = ("^", "^", "^"), ("$", "$", "$")
+
+
+def features(words: list[str]) -> list[tuple[tuple, ...]]:
+    """For each word its features: where the value stands, and the value."""
+    keys = [BEGIN, BEGIN, *map(word_keys, words), END]
+    out = []
+    for (_, _, w2), (s1, m1, w1), (s, m, w), (sn, _, wn) in zip(keys, keys[1:], keys[2:], keys[3:], strict=False):
+        out.append((("s", s), ("m", m), ("w", w), ("s-", s1), ("m-", m1), ("w-", w1), ("s+", sn), ("w+", wn), ("w--", w2), ("sw", s, w1), ("mw", m, w1), ("ww", m, w1, w2)))
     return out
 
 
@@ -264,17 +239,19 @@ def labelled() -> list[tuple[list[str], list[int]]]:
     return out
 
 
-def train(rows: list[tuple[list[str], list[int]]] | None = None, steps: int = 150, rate: float = 0.5, l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of features (COLUMNS x labels) and of transitions, by gradient ascent on the likelihood; all
-    sequences run together, padded, through the forward and backward recursions."""
+def train(rows: list[tuple[list[str], list[int]]] | None = None, steps: int = 150, rate: float = 0.5, l2: float = 1e-3) -> Field:
+    """Weights of features and of transitions, by gradient ascent on the likelihood; all sequences run together,
+    padded, through the forward and backward recursions."""
     rows = rows or labelled()
     k, n, longest = len(LABELS), len(rows), max(len(w) for w, _ in rows)
+    index: dict[tuple, int] = {}
     x = np.zeros((n, longest, 12), np.int64)
     y = np.zeros((n, longest), np.int64)
     mask = np.zeros((n, longest), bool)
     for i, (words, tags) in enumerate(rows):
-        x[i, : len(words)], y[i, : len(words)], mask[i, : len(words)] = features(words), tags, True
-    w, t = np.zeros((COLUMNS, k)), np.zeros((k, k))
+        x[i, : len(words)] = [[index.setdefault(f, len(index)) for f in fs] for fs in features(words)]
+        y[i, : len(words)], mask[i, : len(words)] = tags, True
+    w, t = np.zeros((len(index), k)), np.zeros((k, k))
     hw, ht = np.full_like(w, 1e-6), np.full_like(t, 1e-6)
     one_hot = np.eye(k)[y] * mask[..., None]
     for _ in range(steps):
@@ -307,23 +284,100 @@ def train(rows: list[tuple[list[str], list[int]]] | None = None, steps: int = 15
         ht += gt * gt
         w += rate * gw / np.sqrt(hw)
         t += rate * gt / np.sqrt(ht)
-    return w, t
-
-
-def viterbi(sequences: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[np.ndarray]:
-    """The best labels of each sequence of feature rows; sequences run together, longest first."""
-    order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    out: list[np.ndarray] = [np.empty(0, np.int64)] * len(sequences)
+    return Field(index, w, t)
+
+
+class Field:
+    """The weights as tables by numbers of shapes, classes and words; number 0 is what the labelled table lacks."""
+
+    def __init__(self, index: dict[tuple, int], w: np.ndarray, t: np.ndarray):
+        self.t = t
+        self.numbers: list[dict[str, int]] = [{}, {}, {}]
+        which = {"s": (0,), "m": (1,), "w": (2,), "s-": (0,), "m-": (1,), "w-": (2,), "s+": (0,), "w+": (2,), "w--": (2,), "sw": (0, 2), "mw": (1, 2), "ww": (1, 2, 2)}
+        for f in index:
+            for kind, value in zip(which[f[0]], f[1:], strict=True):
+                self.numbers[kind].setdefault(value, len(self.numbers[kind]) + 1)
+        size = [len(n) + 1 for n in self.numbers]
+        self.tables = {slot: np.zeros([size[k] for k in kinds] + [len(t)], np.float32) for slot, kinds in which.items() if len(kinds) < 3}
+        codes, rows = [], []
+        for f, column_ in index.items():
+            at = tuple(self.numbers[kind][value] for kind, value in zip(which[f[0]], f[1:], strict=True))
+            if f[0] == "ww":
+                codes.append((at[0] * size[2] + at[1]) * size[2] + at[2])
+                rows.append(column_)
+            else:
+                self.tables[f[0]][at] = w[column_]
+        order = np.argsort(codes)
+        self.codes, self.rows, self.n_words = np.array(codes, np.int64)[order], w[np.array(rows, np.int64)[order]].astype(np.float32), size[2]
+        enter, leave, inside, stay = t[0, 1:].max(), t[1:, 0].max(), t[1:, 1:].max(), t[0, 0]
+        #: What the best segment gains by transitions: for each of its words, and once.
+        self.each, self.once = inside - stay, max(enter + leave - inside - stay, enter - inside, leave - inside, stay - inside)
+
+    def type_of(self, keys: tuple[str, str, str]) -> tuple[int, int, int]:
+        s, m, w = (n.get(k, 0) for n, k in zip(self.numbers, keys, strict=True))
+        return s, m, w
+
+    def scores(self, types: np.ndarray) -> np.ndarray:
+        """A row of scores for each of (shape, class, word) but the first two and the last, which are neighbours only."""
+        (s, m, w), (s1, m1, w1), (sn, _, wn), (_, _, w2) = types[2:-1].T, types[1:-2].T, types[3:].T, types[:-3].T
+        k = self.tables
+        out = k["s"][s]
+        for slot, at in (("m", m), ("w", w), ("s-", s1), ("m-", m1), ("w-", w1), ("s+", sn), ("w+", wn), ("w--", w2)):
+            out += k[slot][at]
+        at = np.flatnonzero(w1)
+        out[at] += k["sw"][s[at], w1[at]] + k["mw"][m[at], w1[at]]
+        at = at[w2[at] > 0]
+        code = (m[at].astype(np.int64) * self.n_words + w1[at]) * self.n_words + w2[at]
+        row = np.searchsorted(self.codes, code)
+        row[row == len(self.codes)] = 0
+        same = self.codes[row] == code
+        out[at[same]] += self.rows[row[same]]
+        return out
+
+    def label(self, lines: list[list]) -> dict[int, np.ndarray]:
+        """The labels of the lines that have any; lines are lists of words, as UTF-8."""
+        known, triples, numbers = worker_cache("pii types", lambda: ({}, [self.type_of(BEGIN), self.type_of(END)], {}))
+
+        def number(word: bytes) -> int:
+            text = word.decode("utf-8", "surrogatepass")
+            triple = self.type_of(plain_keys(text) or word_keys(text))
+            n = numbers.get(triple)
+            if n is None:
+                n = numbers[triple] = len(triples)
+                triples.append(triple)
+            if len(known) < KNOWN and len(word) <= 64:
+                known[word] = n
+            return n
+
+        flat: list[int] = []
+        sizes = np.array([len(x) for x in lines], np.int64)
+        for words in lines:
+            row = list(map(known.get, words))
+            if None in row:
+                row = [number(w) if n is None else n for w, n in zip(words, row, strict=True)]
+            flat += (0, 0, *row, 1)
+        if not flat:
+            return {}
+        e = self.scores(np.array(triples, np.int32)[np.array(flat, np.int32)])
+        starts = np.concatenate([[0], np.cumsum(sizes + 3)[:-1]])  # of a line's first word, as e lacks two rows
+        gain = np.maximum(e[:, 1:].max(axis=1) - e[:, 0] + self.each, 0)
+        total = np.concatenate([[0.0], np.cumsum(gain, dtype=np.float64)])
+        open_ = np.flatnonzero((sizes > 0) & (total[starts + sizes] - total[starts] + self.once > -1e-3))
+        found = viterbi([e[starts[i] : starts[i] + sizes[i]] for i in open_.tolist()], self.t)
+        return {int(i): y for i, y in zip(open_, found, strict=True) if y.any()}
+
+
+def viterbi(scores: list[np.ndarray], t: np.ndarray) -> list[np.ndarray]:
+    """The best labels of each sequence of rows of scores; sequences run together, longest first."""
+    order = sorted(range(len(scores)), key=lambda i: -len(scores[i]))
+    out: list[np.ndarray] = [np.empty(0, np.int64)] * len(scores)
     for lo in range(0, len(order), 512):
         part = order[lo : lo + 512]
-        sizes = np.array([len(sequences[i]) for i in part])
+        sizes = np.array([len(scores[i]) for i in part])
         if not sizes.any():
             continue
         cut = [0, *np.cumsum(sizes).tolist()]
-        x = np.concatenate([sequences[i] for i in part])
-        e = w[x[:, 0]]
-        for k in range(1, x.shape[1]):
-            e = e + w[x[:, k]]
+        e = np.concatenate([scores[i] for i in part])
         first = np.array(cut[:-1])
         score = np.zeros((len(part), len(t)))
         live = int((sizes > 0).sum())
@@ -335,28 +389,20 @@ def viterbi(sequences: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[n
             back.append(z.argmax(axis=1))
             score[:live] = z.max(axis=1) + e[first[:live] + j]
         at = score.argmax(axis=1)
-        labels = [np.empty(n, np.int64) for n in sizes]
+        labels = np.empty(len(e), np.int64)
         for j in range(int(sizes[0]) - 1, -1, -1):
             live = int((sizes > j).sum())
-            for i in range(live):
-                labels[i][j] = at[i]
+            labels[first[:live] + j] = at[:live]
             if j:
-                at = at.copy()
                 at[:live] = back[j - 1][np.arange(live), at[:live]]
-        for i, row in zip(part, labels, strict=True):
-            out[i] = row
+        for i, a, b in zip(part, cut, cut[1:], strict=False):
+            out[i] = labels[a:b]
     return out
 
 
-def sequences_of(text: str) -> list[list[tuple[int, int]]]:
-    """The spans of all words, line by line."""
-    out, start = [], 0
-    for line in text.split("\n"):
-        words = [(start + m.start(), start + m.end()) for m in WORD.finditer(line)]
-        if words:
-            out.append(words)
-        start += len(line) + 1
-    return out
+def words_of(line: str, start: int) -> list[tuple[int, int]]:
+    """The spans of all words of a line that begins at start."""
+    return [(start + m.start(), start + m.end()) for m in WORD.finditer(line)]
 
 
 def model_spans(text: str, runs: list[list[tuple[int, int]]], labels: list[np.ndarray], taken: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
@@ -393,32 +439,42 @@ def join_spans(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (rank[s[0]], s[1], s[2])))
 
 
+def lines_at(text: str, wanted: list[int]) -> list[list[tuple[int, int]]]:
+    """The spans of the words of those lines."""
+    out, start = [], 0
+    if wanted:
+        want = set(wanted)
+        for i, line in enumerate(text.split("\n")):
+            if i in want:
+                out.append(words_of(line, start))
+            start += len(line) + 1
+    return out
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", redacted: bool = True) -> DataFrame:
     """A row for each document: counts of the base kinds, their digest, all spans, and with redacted the text with
     each span replaced by its kind. One pass, no shuffle."""
-    w, t = train()
+    field = train()
     id_type = docs.schema[id_col].dataType.simpleString()
-    used = np.flatnonzero(w.any(axis=1)).astype(np.int32)
-    packed = (used, w[used].astype(np.float32), t)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        weights = np.zeros((COLUMNS, len(LABELS)), np.float32)
-        weights[packed[0]] = packed[1]
         texts = batch.column(1).to_pylist()
-        base = [base_spans(x) for x in texts]
-        runs = [sequences_of(x) for x in texts]
-        flat = viterbi(features_of([[x[a:b] for a, b in r] for x, rs in zip(texts, runs, strict=True) for r in rs]), weights, packed[2])
+        lines = [x.encode("utf-8", "surrogatepass").split(b"\n") for x in texts]
+        labels = field.label([line.split() for ls in lines for line in ls])
         columns: list[list] = [[] for _ in range(7)]
         at = 0
-        for text, found, rs in zip(texts, base, runs, strict=True):
+        for text, ls in zip(texts, lines, strict=True):
+            found = base_spans(text)
             spans = [(k, a, b) for k in BASE for a, b in found[k]]
-            more = model_spans(text, rs, flat[at : at + len(rs)], [(a, b) for _, a, b in spans])
-            at += len(rs)
+            some = [i for i in range(at, at + len(ls)) if i in labels]
+            runs = lines_at(text, [i - at for i in some])
+            more = model_spans(text, runs, [labels[i] for i in some], [(a, b) for _, a, b in spans])
+            at += len(ls)
             for c, v in zip(columns, (*(len(found[k]) for k in BASE), hashlib.sha256(join_spans(spans).encode()).hexdigest(), join_spans(spans + more), redact(text, spans + more) if redacted else None), strict=True):
                 c.append(v)
         return pa.record_batch([batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:4]), *(pa.array(c, pa.string()) for c in columns[4:])], ["id", *(f"n_{k}" for k in BASE), "base_sha256", "spans", "redacted"])
 
-    out = map_batches(docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text")), run, f"id {id_type}, " + ", ".join(f"n_{k} long" for k in BASE) + ", base_sha256 string, spans string, redacted string")
+    out = map_batches(docs.select(column(id_col).alias("id"), text_column(text_col).alias("text")), run, f"id {id_type}, " + ", ".join(f"n_{k} long" for k in BASE) + ", base_sha256 string, spans string, redacted string")
     out = out.withColumnRenamed("id", id_col)
     return out if redacted else out.drop("redacted")
 
