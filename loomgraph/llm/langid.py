@@ -1,13 +1,17 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
-Character n-grams of one to three letters, words framed by a space, are hashed into a fixed number of columns.
-A bounded sample of labelled rows (`per_lang` of each language, at most `max_langs` languages, chosen by a hash
-of the id) is turned into counts on the executors; the driver fits the weights with follow-the-regularised-leader
-under elastic-net penalties and calibrates one temperature on rows the fit has not seen. Every whole text is then
-scored in one pass without a shuffle.
+Character n-grams of one to three letters, words framed by a space, are hashed into a fixed number of columns. In how
+many documents each column occurs is counted over all labelled rows. A sample of them, the rows of each language with
+the smallest hashes of their ids, is turned into counts on the executors; the driver fits the weights with
+follow-the-regularised-leader under elastic-net penalties and calibrates one temperature on rows the fit has not seen.
+Every whole text is then scored in one pass without a shuffle.
+
+The sample has at most `per_lang` rows a language, or `rows` in all if that is less, but `least` rows of any language;
+no language is left out. The driver holds the counts of the sample and a weight for each column and language.
 
 Defined results: `und` with score 0 for a null text, an empty one or one without a letter, and for every text if
-no labelled row exists; ties go to the first language in sorted order; repeated rows get equal results.
+no labelled row exists; ties go to the first language in sorted order; repeated rows get equal results; extra columns
+come along, whatever their names, but columns called lang_pred and score are replaced.
 """
 
 from __future__ import annotations
@@ -16,11 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, text_column, worker_cache
+from .common import column, map_batches, staged, text_column, worker_cache
 
 BITS = 15
 CHUNK = 1 << 20
@@ -30,7 +34,8 @@ UNKNOWN = "und"
 @dataclass(frozen=True)
 class LangParams:
     per_lang: int = 400
-    max_langs: int = 100
+    rows: int = 40_000
+    least: int = 20
     epochs: int = 4
     alpha: float = 0.5
     beta: float = 1.0
@@ -92,14 +97,16 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], p: LangParams = LangParams()) -> LangModel:
-    """rows: (language, columns, counts). Every fifth row calibrates only."""
+def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], p: LangParams = LangParams(), df: np.ndarray | None = None, total: int = 0) -> LangModel:
+    """rows: (language, columns, counts). Every fifth row calibrates only. df: in how many of total documents each column
+    occurs; without it, that of rows."""
     langs = sorted({r[0] for r in rows})
     size = 1 << BITS
-    df = np.zeros(size)
-    for _, columns, _ in rows:
-        df[columns] += 1
-    idf = np.log((1 + len(rows)) / (1 + df)) + 1
+    if df is None:
+        df, total = np.zeros(size), len(rows)
+        for _, columns, _ in rows:
+            df[columns] += 1
+    idf = np.log((1 + total) / (1 + df)) + 1
     k = len(langs)
     z, n, w = np.zeros((size + 1, k)), np.zeros((size + 1, k)), np.zeros((size + 1, k))
     seen = [(langs.index(lang), np.append(c, size), np.append(vector(c, m, idf), 1.0)) for lang, c, m in rows]
@@ -132,32 +139,57 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], p: LangParams = LangPara
     return LangModel(langs, idf, w, float(np.exp(grid[int(np.argmin([loss(t) for t in grid]))])))
 
 
+def document_counts(texts: DataFrame) -> np.ndarray:
+    """In how many of the texts each column occurs; the last entry is the number of texts with a letter."""
+
+    def run(batches):
+        total = np.zeros((1 << BITS) + 1, np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                if (found := counts(text.as_py())) is not None:
+                    total[found[0]] += 1
+                    total[-1] += 1
+        at = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+    found = texts.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # a row for each column at most
+    out = np.zeros((1 << BITS) + 1, np.int64)
+    out[found["at"].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
 def train(labelled: DataFrame, p: LangParams = LangParams(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LangModel | None:
-    """Fits on a sample of the rows of labelled; at most per_lang * max_langs rows come to the driver, as counts."""
-    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), text_column(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.max_langs).collect()}
+    """Fits on a sample of the rows of labelled, with document counts of all of them."""
+    rows = labelled.select(F.xxhash64(column(id_col).cast("string")).alias("key"), column(text_col).cast("string").alias("text"), column(lang_col).cast("string").alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
     if not sizes:
         return None
-    share = F.coalesce(*(F.when(F.col("lang") == lang, F.lit(min(1.0, p.per_lang / n))) for lang, n in sorted(sizes.items())))
-    key = F.xxhash64(F.col("id").cast("string"))
-    sample = rows.filter(F.pmod(key, F.lit(1_000_000)) < share * 1_000_000).orderBy(key, "lang", F.xxhash64("text")).limit(p.per_lang * len(sizes))
+    wanted = min(p.per_lang, max(p.least, p.rows // len(sizes)))
+    # Somewhat more rows than wanted pass a bound on the hash; of these, the exact number is taken when they are counts.
+    bounds = F.create_map(*(F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, (1.3 * wanted + 30) / n))))
+    near = rows.filter(F.shiftrightunsigned("key", 1) / F.lit(float(1 << 63)) < F.element_at(bounds, F.col("lang")))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        found = [(lang, c) for lang, t in zip(batch.column(1).to_pylist(), batch.column(0).to_pylist(), strict=True) if (c := counts(t)) is not None]
+        found = [(i, c) for i, t in enumerate(batch.column(1).to_pylist()) if (c := counts(t)) is not None]
         if not found:
             return None
-        return pa.record_batch([pa.array([x for x, _ in found]), pa.array([c for _, (c, _) in found], pa.list_(pa.int32())), pa.array([n for _, (_, n) in found], pa.list_(pa.int32()))], ["lang", "columns", "counts"])
-
-    made = map_batches(sample.select("text", "lang"), run, "lang string, columns array<int>, counts array<int>").toArrow()
-    got = [(made.column(0)[i].as_py(), np.asarray(made.column(1)[i].values.to_numpy()), np.asarray(made.column(2)[i].values.to_numpy())) for i in range(made.num_rows)]
-    return fit(got, p) if got else None
+        at = pa.array([i for i, _ in found], pa.int64())
+        return pa.record_batch([batch.column(0).take(at), batch.column(2).take(at), pa.array([c for _, (c, _) in found], pa.list_(pa.int32())), pa.array([n for _, (_, n) in found], pa.list_(pa.int32()))], ["key", "lang", "columns", "counts"])
+
+    made = map_batches(near, run, "key long, lang string, columns array<int>, counts array<int>")
+    first = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("key", 1), F.xxhash64("columns", "counts"))
+    made = staged(made.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= wanted), "lang-sample").orderBy("nth", "lang").toArrow()
+    got = [(made["lang"][i].as_py(), np.asarray(made["columns"][i].values), np.asarray(made["counts"][i].values)) for i in range(made.num_rows)]
+    if not got:
+        return None
+    df = document_counts(rows.select("text"))
+    return fit(got, p, df[:-1], int(df[-1]))
 
 
 def predict(docs: DataFrame, model: LangModel | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns keep of docs (all, by default), lang_pred and score; one pass, no shuffle. Columns of docs with
-    these two names are replaced."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    sent = docs.select(*[F.col(f"`{c}`") for c in keep], text_column(f"`{text_col}`").alias("__text"))
+    """The columns keep of docs (all, by default), lang_pred and score; one pass, no shuffle."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
+    sent = docs.select(F.struct(*(column(c) for c in keep)).alias("row"), text_column(text_col).alias("text"))
     names = model.langs if model else []
     table = None
     if model:
@@ -171,7 +203,7 @@ def predict(docs: DataFrame, model: LangModel | None, text_col: str = "text", ke
         if table is not None:
             dense = np.zeros((len(table[2]) + 1, len(names)), np.float32)
             dense[table[0]] = table[1]
-        for text in batch.column(len(keep)).to_pylist():
+        for text in batch.column(1).to_pylist():
             got = counts(text) if dense is not None else None
             if got is None:
                 langs.append(UNKNOWN)
@@ -182,18 +214,18 @@ def predict(docs: DataFrame, model: LangModel | None, text_col: str = "text", ke
             best = int(np.argmax(prob))
             langs.append(names[best])
             scores.append(float(min(1.0, max(0.0, prob[best]))))
-        return pa.record_batch([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
+        return pa.record_batch([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
 
-    schema = T.StructType([docs.schema[c] for c in keep]).add("lang_pred", "string").add("score", "double")
-    return map_batches(sent, run, schema)
+    schema = T.StructType([sent.schema["row"]]).add("lang_pred", "string").add("score", "double")
+    return map_batches(sent, run, schema).select("row.*", "lang_pred", "score")
 
 
 def held_out(id_col: str = "doc_id"):
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2
+    return F.crc32(column(id_col).cast("string").cast("binary")) % 4 == 2
 
 
 def identify(docs: DataFrame, p: LangParams = LangParams(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Trains on the rows that are not held out and predicts all of them: id, held_out, lang_pred, score."""
     out = F.coalesce(held_out(id_col), F.lit(False))
     model = train(docs.filter(~out), p, id_col, text_col, lang_col)
-    return predict(docs.select(id_col, out.alias("held_out"), text_col), model, text_col, [id_col, "held_out"])
+    return predict(docs.select(column(id_col).alias("id"), out.alias("held_out"), column(text_col).alias("text")), model, "text", ["id", "held_out"]).withColumnRenamed("id", id_col)
