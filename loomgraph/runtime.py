@@ -93,9 +93,11 @@ def replace(old: DataFrame | None, new: DataFrame, name: str = "table") -> DataF
     return out
 
 
-def bounded(table: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """A staged table marked for broadcast if its files have at most limit bytes, else for a merge join."""
+def bounded(table: DataFrame, *columns, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A staged table, or these columns of it, marked for broadcast if its files have at most limit bytes, else for a
+    merge join."""
     spark = table.sparkSession
     at = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
     size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
-    return F.broadcast(table) if size <= limit else table.hint("merge")
+    out = table.select(*columns) if columns else table
+    return F.broadcast(out) if size <= limit else out.hint("merge")
