@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..runtime import bounded, remove, scratch, shared_dir, staged
 
-__all__ = ["bounded", "column", "fresh", "keyed", "map_batches", "own_id", "remove", "scratch", "shared_dir", "staged", "table", "text_column", "worker_cache"]
+__all__ = ["Bitmap", "bounded", "column", "fresh", "keyed", "map_batches", "own_id", "remove", "scratch", "shared_dir", "staged", "table", "text_column", "worker_cache"]
 
 #: Rows and bytes that a function gets at once. What Spark sends is bounded by its own settings (64 MB by default).
 BATCH_ROWS = 256
@@ -76,6 +77,24 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+class Bitmap:
+    """A set of 64-bit hashes (a long column), with others by chance, in a bitmap of 2 ** bits bits; fixed in size, so it
+    may go to every task."""
+
+    def __init__(self, hashes: DataFrame, column_: str, bits: int = 23):
+        self.shift = np.uint64(64 - bits)
+        at = F.shiftrightunsigned(column_, 64 - bits).cast("int")
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)))
+        rows = hashes.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
+        words = np.zeros(1 << (bits - 6), np.int64)
+        words[rows["at"].to_numpy()] = rows["bits"].to_numpy()
+        self.data = words.view(np.uint8)
+
+    def has(self, g: np.ndarray) -> np.ndarray:
+        at = (g >> self.shift).astype(np.int64)
+        return (self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def worker_cache(key: str, make: Callable):
     """make() once a Python worker, for what is costly to build and read-only."""
     held = sys.__dict__.setdefault("_loomgraph_worker_cache", {})

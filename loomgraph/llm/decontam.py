@@ -30,11 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, column, fresh, keyed, map_batches, own_id, staged, text_column, worker_cache
+from .common import Bitmap, bounded, column, fresh, keyed, map_batches, own_id, staged, text_column, worker_cache
 
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Bits of the bitmap that the n-grams of texts are asked by, as a power of two.
-BITS = 23
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -93,21 +91,6 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
-class Bitmap:
-    """A set of hashes, with hashes by chance."""
-
-    def __init__(self, seeds: DataFrame, gram: str = "g"):
-        at = F.shiftrightunsigned(gram, 64 - BITS).cast("int")
-        rows = seeds.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)))).alias("bits")).toArrow()
-        words = np.zeros(1 << (BITS - 6), np.int64)
-        words[rows["at"].to_numpy()] = rows["bits"].to_numpy()
-        self.data = words.view(np.uint8)
-
-    def has(self, g: np.ndarray) -> np.ndarray:
-        at = (g >> np.uint64(64 - BITS)).astype(np.int64)
-        return (self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-
-
 def stretches(diagonals: list[int], size: int) -> Iterator[tuple[int, int]]:
     """Runs of diagonals that lie within half an item of the next, widened by half an item."""
     slack = size // 2 + 1
@@ -197,7 +180,7 @@ def item_grams(items: DataFrame, n: int) -> DataFrame:
 
 def chosen_seeds(found: DataFrame, docs: DataFrame, sizes: list[int]) -> DataFrame:
     """(g, q, at): of the n-grams of an item that occur at all, those in no more documents than its median one."""
-    known = Bitmap(found)
+    known = Bitmap(found, "g")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         each = []
@@ -223,7 +206,7 @@ def leaks(docs: DataFrame, bench: DataFrame, p: DecontamParams, item_col: str, i
     if not sizes:
         return docs.sparkSession.createDataFrame([], schema)
     seeds = chosen_seeds(found, docs, sizes)
-    known = Bitmap(seeds)
+    known = Bitmap(seeds, "g")
 
     def seek(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows, hashes, places = [], [], []

@@ -9,7 +9,8 @@ local component leaves it, so what is emitted is linear in what was read. Stars
 and small stars over DataFrames until nothing changes.
 
 Defined results: a null text, an empty one or one without words has fingerprint zero, linked like any other;
-repeated rows get equal results; null ids do not count as the smallest id unless a component has no other.
+repeated rows get equal results; null ids do not count as the smallest id unless a component has no other; extra
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

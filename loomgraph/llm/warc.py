@@ -10,7 +10,8 @@ repeated task has written is never read. Any store that Arrow's file systems rea
 
 Defined results: a null page has an empty payload; among rows of equal payload and equal largest id, each is a
 response; a null id counts as the smallest, and if all ids of a payload are null, all are responses; an empty
-table gives no bundle.
+table gives no bundle; extra columns are ignored, whatever their names. A record is named by its page id, so names
+are as unique as page ids are: where a table repeats ids, number its pages first, as the format forbids equal names.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, staged
+from .common import column, scratch, staged
 
 SKIPPABLE = 0x184D2A5E
 SEEKABLE = 0x8F92EAB1
@@ -152,7 +153,7 @@ def write_bundles(pages: DataFrame, folder: str, min_payload: int = 0, id_col: s
     not shuffled for the comparison; only (id, digest) of all pages is."""
     spark = pages.sparkSession
     id_type = pages.schema[id_col].dataType.simpleString()
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
+    rows = pages.select(column(id_col).alias("id"), column(url_col).cast("string").alias("url"), F.coalesce(column(html_col).cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.when(F.octet_length("html") >= min_payload, F.sha1(F.encode("html", "utf-8"))))
     kept = rows.filter("sha IS NOT NULL").groupBy("sha").agg(F.max("id").alias("kept"), F.count("*").alias("n")).filter("n > 1 AND kept IS NOT NULL").select("sha", "kept")
     rows = rows.join(kept, "sha", "left").select("id", "url", "html", F.when(F.col("kept").isNotNull() & ~F.col("id").eqNullSafe(F.col("kept")), F.col("kept")).alias("refers_to"))
