@@ -9,13 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import staged, table, with_key
+from loomgraph.llm.common import staged, table
 from loomgraph.llm.decontam import drop_leaks
 from loomgraph.llm.langid import UNKNOWN, predict, train
 from loomgraph.llm.lines import dedup_lines
 from loomgraph.llm.packing import pack
 from loomgraph.llm.shingles import first_of_similar
-from loomgraph.llm.simhash import near_duplicates
 
 #: Documents whose language is told with less confidence go.
 MIN_SCORE = 0.5
@@ -33,15 +32,6 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates by fingerprints as op5 has them, which finds hardly more than
-    exact copies. No stage."""
-    keyed = with_key(docs, "doc_id")
-    classes = near_duplicates(keyed.select("__k", "text"), id_col="__k")
-    first = classes.filter(F.col("__k").eqNullSafe(F.col("component_id"))).select("__k")
-    return keyed.join(first, "__k", "left_semi").select(docs.columns)
-
-
-def similar_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group that shingles of five words link at a Jaccard similarity of 0.8 or more."""
     return first_of_similar(docs, width=5, num=4, den=5)
 
@@ -56,7 +46,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
-STAGES = [("language", language), ("lines", lines), ("near_copies", similar_copies), ("benchmark", benchmark), ("packing", packing)]
+STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies), ("benchmark", benchmark), ("packing", packing)]
 
 #: Language models, fingerprints, alignment and tokens have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
