@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.titles import category_node, infer_domain, is_penalized, normal_title, page_node
-from ..runtime import replace, staged
+from ..runtime import Parts, replace, staged
 from .trim import connected, restrict, trim_empty
 
 
@@ -31,15 +31,14 @@ def discovery(edges: DataFrame, root: DataFrame) -> DataFrame:
     a node is first met; nodes of one depth come in the order of their arrays."""
     links = staged(edges.select(F.col("parent_id").alias("id"), "child_id", "edge_pos"), "links")
     kind = links.schema["id"].dataType.simpleString()
-    found = staged(root.select("id", F.lit(0).alias("depth"), F.array().cast("array<bigint>").alias("place")), "found")
-    last, depth = found, 0
+    found = Parts("found")
+    last, depth = found.add(root.select("id", F.lit(0).alias("depth"), F.array().cast("array<bigint>").alias("place"))), 0
     while True:
         depth += 1
         met = last.join(links, "id").groupBy(F.col("child_id").alias("id")).agg(F.min(F.concat("place", F.array(F.col("edge_pos").cast("bigint")))).alias("place"))
-        last = staged(met.join(found.select("id"), "id", "left_anti").select(F.col("id").cast(kind).alias("id"), F.lit(depth).alias("depth"), "place"), "level")
+        last = found.add(met.join(found.all().select("id"), "id", "left_anti").select(F.col("id").cast(kind).alias("id"), F.lit(depth).alias("depth"), "place"))
         if last.isEmpty():
-            return found
-        found = replace(found, found.union(last), "found")
+            return found.all()
 
 
 def score(penalty: Column, domains: Column, domain: Column, anchors: Column, first_anchor: Column, length: Column) -> Column:
@@ -59,9 +58,11 @@ def best_paths(categories: DataFrame, edges: DataFrame, root, k: int = 2) -> Dat
     waiting = staged(links, "waiting")
     top = known.filter(F.col("id") == root)
     start = top.select("id", F.lit(None).cast(known.schema["id"].dataType).alias("parent"), F.lit(1).alias("nth"), F.array("id").alias("path"), "penalty", F.col("anchor").cast("int").alias("anchors"), "domains")
-    done = last = staged(start.withColumn("score", score(F.col("penalty"), F.col("domains"), F.lit(None).cast("string"), F.col("anchors"), F.col("anchors") > 0, F.lit(1))), "paths")
-    columns = done.columns
+    parts = Parts("paths")
+    parts.add(start.withColumn("score", score(F.col("penalty"), F.col("domains"), F.lit(None).cast("string"), F.col("anchors"), F.col("anchors") > 0, F.lit(1))))
+    columns = parts.all().columns
     while not waiting.isEmpty():
+        done = parts.all()
         open_ = waiting.join(done.select(F.col("id").alias("parent_id")).distinct(), "parent_id", "left_anti").select("id").distinct()
         ready = staged(waiting.join(open_, "id", "left_anti"), "ready")
         if ready.isEmpty():
@@ -76,10 +77,9 @@ def best_paths(categories: DataFrame, edges: DataFrame, root, k: int = 2) -> Dat
         one = Window.partitionBy("id", "parent").orderBy("score", "path_nth")
         all_ = Window.partitionBy("id").orderBy("score", "edge_pos", "path_nth")
         kept = made.withColumn("n", F.row_number().over(one)).filter("n = 1").withColumn("nth", F.row_number().over(all_)).filter(F.col("nth") <= k).select(columns)
-        last = staged(kept, "paths")
-        done = staged(done.union(last), "paths")
+        last = parts.add(kept)
         waiting = replace(waiting, waiting.join(last.select("id").distinct(), "id", "left_anti"), "waiting")
-    return done
+    return parts.all()
 
 
 def decision_reasons(candidates: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import replace, staged
-from .closure import closure, distinct_counts, reach
+from ..runtime import Parts, replace, staged
+from .closure import reach
 
 
 def restrict(edges: DataFrame, keep: DataFrame, src: str = "parent_id", dst: str = "child_id") -> DataFrame:
@@ -21,16 +21,14 @@ def trim_leaves(categories: DataFrame, edges: DataFrame, pages: DataFrame, root,
     poor = categories.select("id").distinct().join(counts, "id", "left").filter((F.coalesce("pages", F.lit(0)) < min_pages) & (F.col("id") != root)).select("id")
     poor = staged(poor, "poor")
     links = staged(edges.select("parent_id", "child_id").distinct().join(categories.select(F.col("id").alias("child_id")), "child_id", "left_semi").join(poor.withColumnRenamed("id", "parent_id"), "parent_id", "left_semi"), "links")
-    gone = None
+    gone = Parts("gone")
     while True:
-        leaves = staged(poor.join(links.select(F.col("parent_id").alias("id")), "id", "left_anti"), "leaves")
+        leaves = gone.add(poor.join(links.select(F.col("parent_id").alias("id")), "id", "left_anti"))
         if leaves.isEmpty():
             break
-        gone = leaves if gone is None else staged(gone.union(leaves), "gone")
         poor = replace(poor, poor.join(leaves, "id", "left_anti"), "poor")
         links = replace(links, links.join(leaves.withColumnRenamed("id", "child_id"), "child_id", "left_anti"), "links")
-    kept = categories.select("id").distinct()
-    return kept if gone is None else kept.join(gone, "id", "left_anti")
+    return categories.select("id").distinct().join(gone.all(), "id", "left_anti")
 
 
 def trim_empty(nodes: DataFrame, edges: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
@@ -72,7 +70,7 @@ def strong_components(edges: DataFrame, src: str = "child_id", dst: str = "paren
     """(id, component): nodes on cycles of two or more nodes, by the smallest node of their strong component. In each
     round the smallest id that reaches a node colours it; what of its colour leads back to that id is a component."""
     links = core(edges, src, dst)
-    found = None
+    found = Parts("components")
     while not links.isEmpty():
         colour = replace(None, links.select(F.explode(F.array("src", "dst")).alias("id")).distinct().withColumn("c", F.col("id")), "colour")
         while True:
@@ -86,16 +84,15 @@ def strong_components(edges: DataFrame, src: str = "child_id", dst: str = "paren
         colour = colour.select("id", "c")
         same = links.join(colour.select(F.col("id").alias("src"), F.col("c").alias("cs")), "src").join(colour.select(F.col("id").alias("dst"), F.col("c").alias("cd")), "dst").filter("cs = cd")
         back = reach(same, colour.filter("id = c").select("id"), None, "dst", "src").select("id")
-        part = staged(colour.join(back, "id", "left_semi").select("id", F.col("c").alias("component")), "component")
-        found = part if found is None else staged(found.union(part), "components")
+        part = found.add(colour.join(back, "id", "left_semi").select("id", F.col("c").alias("component")))
         rest = links.join(part.select(F.col("id").alias("src")), "src", "left_anti").join(part.select(F.col("id").alias("dst")), "dst", "left_anti").select("src", "dst")
         links = core(rest, "src", "dst")
     spark = edges.sparkSession
     kind = edges.schema[src].dataType.simpleString()
-    if found is None:
+    if not found.tables:
         return spark.createDataFrame([], f"id {kind}, component {kind}")
-    sizes = found.groupBy("component").count().filter("count > 1").select("component")
-    return found.join(sizes, "component", "left_semi").select("id", "component")
+    sizes = found.all().groupBy("component").count().filter("count > 1").select("component")
+    return found.all().join(sizes, "component", "left_semi").select("id", "component")
 
 
 def cycle_edges(edges: DataFrame, depths: DataFrame, mode: str = "acyclic") -> DataFrame:
@@ -117,10 +114,17 @@ def cycle_edges(edges: DataFrame, depths: DataFrame, mode: str = "acyclic") -> D
 
 
 def weak_roots(categories: DataFrame, edges: DataFrame, page_categories: DataFrame, min_concepts: int = 5) -> DataFrame:
-    """(id): categories without a parent that have fewer than min_concepts different pages at or below them."""
-    top = categories.select("id").distinct().join(edges.select(F.col("child_id").alias("id")), "id", "left_anti")
-    counts = distinct_counts(categories, page_categories, closure(edges))
-    return top.join(counts, "id").filter(F.col("total") < min_concepts).select("id")
+    """(id): categories without a parent that have fewer than min_concepts different pages at or below them. Only pairs of
+    a root and what is below it are made, not the whole closure."""
+    top = staged(categories.select("id").distinct().join(edges.select(F.col("child_id").alias("id")), "id", "left_anti"), "roots")
+    links = staged(edges.select(F.col("parent_id").alias("low"), F.col("child_id").alias("next")).distinct().filter("low <> next"), "links")
+    below = Parts("below")
+    last = below.add(top.select(F.col("id").alias("top"), F.col("id").alias("low")))
+    while not last.isEmpty():
+        last = below.add(last.join(links, "low").select("top", F.col("next").alias("low")).distinct().join(below.all(), ["top", "low"], "left_anti"))
+    held = page_categories.select("page_id", F.col("category_id").alias("low")).join(below.all(), "low").select("top", "page_id").distinct()
+    counts = held.groupBy(F.col("top").alias("id")).agg(F.count("*").alias("total"))
+    return top.join(counts, "id", "left").filter(F.coalesce("total", F.lit(0)) < min_concepts).select("id")
 
 
 def without_orphans(categories: DataFrame, edges: DataFrame, page_categories: DataFrame) -> tuple[DataFrame, DataFrame]:

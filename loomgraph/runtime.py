@@ -93,6 +93,24 @@ def replace(old: DataFrame | None, new: DataFrame, name: str = "table") -> DataF
     return out
 
 
+class Parts:
+    """A table that grows by parts, each of which is written once."""
+
+    def __init__(self, name: str = "parts"):
+        self.name, self.tables = name, []
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """df as it was written; an empty part is not kept."""
+        part = staged(df, self.name)
+        if not self.tables or not part.isEmpty():
+            self.tables.append(part)
+        return part
+
+    def all(self) -> DataFrame:
+        first = self.tables[0]
+        return first.sparkSession.read.schema(first.schema).parquet(*(t.scratch_path for t in self.tables))
+
+
 def bounded(table: DataFrame, *columns, limit: int = BROADCAST_BYTES) -> DataFrame:
     """A staged table, or these columns of it, marked for broadcast if its files have at most limit bytes, else for a
     merge join."""
