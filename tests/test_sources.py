@@ -64,3 +64,39 @@ def test_wordnet(spark, tmp_path):
     rows = {r.synset: r for r in nodes.collect()}
     assert set(rows) == {"entity.n.01", "physical_entity.n.01", "paris.n.01"} and rows["entity.n.01"].definition == "that which exists"
     assert {(r.parent_id, r.child_id) for r in edges.collect()} == {(rows["entity.n.01"].node_id, rows["physical_entity.n.01"].node_id), (rows["physical_entity.n.01"].node_id, rows["paris.n.01"].node_id)}
+
+
+def test_first_lines(spark, tmp_path):
+    (tmp_path / "dump").write_text("".join(f"line {i}\n" for i in range(50)))
+    assert [r.value for r in dumps.head(spark, str(tmp_path / "dump"), 3).collect()] == ["line 0", "line 1", "line 2"]
+
+
+def test_tables_round_trip(spark, tmp_path):
+    """Schemas are kept by empty tables too, columns are cast and ordered, missing ones are an error."""
+    import pytest
+
+    df = spark.createDataFrame([("t", 3, "x")], "title string, page_id int, more string")
+    tables.write_table(df, str(tmp_path / "nodes"), "nodes")
+    back = spark.read.parquet(str(tmp_path / "nodes"))
+    assert [(f.name, f.dataType.simpleString()) for f in back.schema] == [("page_id", "bigint"), ("title", "string")] and back.first().page_id == 3
+    tables.write_table(df.limit(0), str(tmp_path / "none"), "nodes")
+    assert spark.read.parquet(str(tmp_path / "none")).isEmpty()
+    with pytest.raises(ValueError):
+        tables.write_table(df, str(tmp_path / "edges"), "edges")
+    assert tables.read_columns(spark, str(tmp_path / "nodes"), ["title"]).columns == ["title"]
+    df.select(F.col("page_id").alias("id"), F.col("title").alias("name")).write.parquet(str(tmp_path / "other"))
+    assert tables.read_nodes(spark, str(tmp_path / "other")).first() == (3, "t")
+
+
+def test_scratch_tables(spark):
+    """Buckets spare the shuffle of the side that has them; a broadcast depends on size; settings do not stay."""
+    from loomgraph import runtime
+
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    held = runtime.bucketed(spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v")), "k")
+    joined = held.hint("merge").join(spark.range(50).select(F.col("id").alias("k")).hint("merge"), "k")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 50 and plan.count("Exchange hashpartitioning") == 1
+    small = runtime.staged(spark.range(10))
+    assert "BROADCAST" in str(runtime.bounded(small)._jdf.logicalPlan()).upper() and "MERGE" in str(runtime.bounded(small, limit=0)._jdf.logicalPlan()).upper()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
