@@ -388,7 +388,7 @@ def g6_topological_levels(spark, sf):
     return up.ordered(derived(spark, sf, "scats"), derived(spark, sf, "sdag"))
 
 
-@query()
+@query(oracle("nodes", "links", body=rank_sql(3) + ", " + ROUNDED + "SELECT page_id, round(pagerank, 9) AS pagerank FROM ranks"))
 def k4_staged_ranks(spark, sf):
     """Ranks written and read back."""
-    return staged(ranks(spark, sf))
+    return staged(ranks(spark, sf)).withColumn("pagerank", F.round("pagerank", 9))
