@@ -81,5 +81,10 @@ _LINES = r"""WITH l AS (SELECT doc_id, line, pos, list_distinct(regexp_extract_a
  k AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE gone.pos IS NULL) AS kept, count(*) AS n_lines, count(gone.pos) AS n_removed FROM l LEFT JOIN gone USING (doc_id, pos) GROUP BY doc_id)
  SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END AS text, coalesce(n_removed, 0) AS n_removed, coalesce(n_lines, 0) AS n_lines FROM documents LEFT JOIN k USING (doc_id)"""
 
+_WARC = """WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages), k AS (SELECT h, max(page_id) AS kept FROM p GROUP BY h),
+ b AS (SELECT page_id, url, strlen(h) AS payload_bytes, kept, array_to_string(list_transform(string_split(sha1(h), ''), lambda c: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', c)]), '') AS bits FROM p JOIN k USING (h)),
+ d AS (SELECT *, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT) + CAST(substr(bits, 5 * i + 5, 1) AS INT), 1)), '') AS payload_digest FROM b)
+ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> kept THEN kept END AS refers_to, url FROM d"""
+
 #: The others have no form in SQL: models, alignment, parsers, fingerprints and tokens.
-ORACLE_SQL: dict[str, str] = {"op1_quality": _QUALITY, "op3_linededup": _LINES}
+ORACLE_SQL: dict[str, str] = {"op1_quality": _QUALITY, "op3_linededup": _LINES, "op6_warc": _WARC}
