@@ -189,7 +189,10 @@ def train(labelled: DataFrame, p: LangParams = LangParams(), id_col: str = "doc_
 def predict(docs: DataFrame, model: LangModel | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns keep of docs (all, by default), lang_pred and score; one pass, no shuffle."""
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
-    sent = docs.select(F.struct(*(column(c) for c in keep)).alias("row"), text_column(text_col).alias("text"))
+    row = F.struct(*(column(c) for c in keep)).alias("row")
+    # Where the text is kept anyway, it is sent once.
+    place = keep.index(text_col) if text_col in keep and docs.schema[text_col].dataType == T.StringType() else None
+    sent = docs.select(row) if place is not None else docs.select(row, text_column(text_col).alias("text"))
     names = model.langs if model else []
     table = None
     if model:
@@ -203,8 +206,8 @@ def predict(docs: DataFrame, model: LangModel | None, text_col: str = "text", ke
         if table is not None:
             dense = np.zeros((len(table[2]) + 1, len(names)), np.float32)
             dense[table[0]] = table[1]
-        for text in batch.column(1).to_pylist():
-            got = counts(text) if dense is not None else None
+        for text in (batch.column(1) if place is None else batch.column(0).field(place)).to_pylist():
+            got = counts(text) if dense is not None and text else None
             if got is None:
                 langs.append(UNKNOWN)
                 scores.append(0.0)
