@@ -38,7 +38,7 @@ CELL_BITS = 18
 #: Levels for each doubling of a count.
 OCTAVE = 4
 #: Cells in which postings are counted; a bit for each tells the crowded ones.
-POSTED_BITS = 21
+POSTED_BITS = 19
 HASH = (1 << 56) - 1
 #: Sets of about one size that may post a key (or what shares its cell) before it is settled by its earliest sets.
 MANY = 64

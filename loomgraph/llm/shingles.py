@@ -115,7 +115,7 @@ def least_shared(size: int, num: int, den: int) -> int:
 
 def shared_posts(sets: DataFrame, shared: DataFrame) -> DataFrame:
     """(fp, size, need, i, token) of the posted hashes that sets share, and some by chance."""
-    known = Bitmap(shared, "token", 24)
+    known = Bitmap(shared, "token")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         prefix = batch.column(3)
