@@ -78,12 +78,12 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
 
 
 class Bitmap:
-    """A set of 64-bit hashes (a long column), with others by chance, in a bitmap of 2 ** bits bits; fixed in size, so it
-    may go to every task."""
+    """A set of 64-bit hashes (a long column), with others by chance, in a bitmap of 2 ** bits bits by their lowest bits;
+    fixed in size, so it may go to every task."""
 
     def __init__(self, hashes: DataFrame, column_: str, bits: int = 23):
-        self.shift = np.uint64(64 - bits)
-        at = F.shiftrightunsigned(column_, 64 - bits).cast("int")
+        self.mask = np.uint64((1 << bits) - 1)
+        at = F.col(column_).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
         one = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)))
         rows = hashes.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
         words = np.zeros(1 << (bits - 6), np.int64)
@@ -91,7 +91,7 @@ class Bitmap:
         self.data = words.view(np.uint8)
 
     def has(self, g: np.ndarray) -> np.ndarray:
-        at = (g >> self.shift).astype(np.int64)
+        at = (g & self.mask).astype(np.int64)
         return (self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
