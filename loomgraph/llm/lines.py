@@ -44,6 +44,8 @@ HASH = (1 << 56) - 1
 MANY = 64
 SEEN = 8
 ANCHORS = 4
+#: Parts of the keys that are posted one after the other, so that the postings of one part only are on disk.
+PASSES = 4
 PAIR = ("xk", "xat", "yk", "yat")
 BITS = ("b0", "b1")
 #: White space within a line.
@@ -70,7 +72,9 @@ def cell(h: Column, bits: int = CELL_BITS) -> Column:
 
 
 def numbers(df: DataFrame, *columns: str) -> np.ndarray:
-    """The rows of a table of bounded size, packed into a few strings for the way to the driver."""
+    """The rows of a table of bounded size, packed into a few strings for the way to the driver. They are written first,
+    so that what they were counted from leaves the disk."""
+    df = staged(df, "line-numbers")
     packed = df.groupBy(F.pmod(F.col(columns[0]), F.lit(64))).agg(F.concat_ws(",", F.collect_list(F.concat_ws(",", *columns))).alias("rows"))
     parts = [np.fromstring(r.rows, np.int64, sep=",") for r in packed.toLocalIterator()]
     return np.concatenate([np.empty(0, np.int64), *parts]).reshape(-1, len(columns))
@@ -194,9 +198,20 @@ def few_pairs(sets: DataFrame, is_many, num: int, den: int) -> DataFrame:
     """Pairs that meet at keys which are not crowded. The smaller set of a pair comes as x: with a set of its own size or
     more it has so many words in common that the first is among few. That test stays above the exchange, which serves
     both sides: the floor of a random number, always zero, keeps it from being pushed below, and what the join asks of
-    either side is asked of both beforehand."""
+    either side is asked of both beforehand. Keys are dealt into passes by bits that neither cells nor levels are made
+    of; each pass writes its pairs, and its postings go."""
     whole = sets.filter(reduce(and_, (F.col(c).isNotNull() for c in ("k", "at", "size", *BITS, "prefix"))))
-    postings = posted(whole).filter(F.col("key").isNotNull() & ~is_many(F.col("key"))).repartition("key")
+    parts = [staged(meetings(posted(whole).filter(nth_pass(F.col("key"), n) & ~is_many(F.col("key"))), num, den), "line-close") for n in range(PASSES)]
+    return reduce(DataFrame.union, parts)
+
+
+def nth_pass(key: Column, n: int) -> Column:
+    return F.pmod(F.shiftright(key, 32), F.lit(PASSES)) == n
+
+
+def meetings(postings: DataFrame, num: int, den: int) -> DataFrame:
+    """The different pairs, the earlier first, of postings with equal keys that pass the filters."""
+    postings = postings.filter(F.col("key").isNotNull()).repartition("key")
     x = as_side(postings, "x").filter(F.col("xi") <= F.col("xsize") - least_common(2 * F.col("xsize"), num, den) + F.floor(F.rand()))
     joined = x.join(as_side(postings, "y").hint("merge"), "key").filter((F.col("xsize") <= F.col("ysize")) & may_match(num, den))
     one, other = (F.struct(F.col(f"{c}k").alias("k"), F.col(f"{c}at").alias("at")) for c in "xy")
@@ -231,7 +246,7 @@ def kept_lines(docs: DataFrame, num: int, den: int) -> DataFrame:
     sets = staged(sets.select("first.k", "first.at", F.col("size").cast("long").alias("size"), *BITS, "prefix"), "line-sets").filter("size > 0")
 
     is_many = crowded(sets, MANY)
-    close = staged(few_pairs(sets, is_many, num, den), "line-close")
+    close = few_pairs(sets, is_many, num, den)
     placed = F.transform("prefix", lambda key, i: F.struct(i.alias("i"), key.alias("key")))
     crowd = sets.select("*", F.filter(placed, lambda x: is_many(x["key"])).alias("held"), F.filter("prefix", is_many).alias("crowd"))
     crowd = staged(crowd.select("k", "at", "size", *BITS, "prefix", "crowd", F.inline("held")), "line-crowd")

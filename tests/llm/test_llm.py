@@ -606,3 +606,21 @@ def test_pipeline_stages_on_odd_tables(spark, docs):
 
 def test_queries_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_line_postings_come_in_passes(spark, monkeypatch):
+    """Each pass posts its own keys only, and together they find the pairs that one pass over all keys finds."""
+    rows = [(i, j, 5, 0, 0, [((i * 7 + j + n) % 20) << 32 for n in range(2)]) for i in range(12) for j in range(2)]
+    sets = spark.createDataFrame(rows, "k long, at int, size long, b0 long, b1 long, prefix array<long>")
+    meetings, posted = lines.meetings, []
+
+    def counted(postings, num, den):
+        posted.append(postings.count())
+        return meetings(postings, num, den)
+
+    monkeypatch.setattr(lines, "meetings", counted)
+    pairs = lambda: {tuple(r) for r in lines.few_pairs(sets, lambda key: F.lit(False), 4, 5).collect()}
+    found = pairs()
+    assert sum(posted) == 2 * len(rows) and max(posted) < len(rows)
+    monkeypatch.setattr(lines, "PASSES", 1)
+    assert found and found == pairs()
