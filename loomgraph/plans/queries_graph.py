@@ -281,7 +281,8 @@ def g7_ancestor_lists(spark, sf):
 
 @query(oracle("sdag", "sbridge", recursive=True, body=of(ABOVE) + "SELECT id, count(*) AS n FROM (SELECT page_id AS id, category_id AS a FROM sbridge UNION SELECT page_id, ancestor FROM sbridge JOIN up ON up.id = category_id) GROUP BY id"))
 def g7_concept_ancestors(spark, sf):
-    return up.ancestors_of_concepts(derived(spark, sf, "sbridge"), up.closure(derived(spark, sf, "sdag"))).groupBy("id").agg(F.count("*").alias("n"))
+    lists = up.concept_ancestors(derived(spark, sf, "sbridge"), up.closure(derived(spark, sf, "sdag")))
+    return lists.select("id", F.size("ancestors").cast("long").alias("n"))
 
 
 @query(oracle("bridge", body="SELECT category_id AS id, count(DISTINCT page_id) AS direct FROM bridge GROUP BY 1"))

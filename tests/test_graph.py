@@ -257,3 +257,24 @@ def test_concept_card(spark):
     card = lookup.concept_card(g, "P1").first()
     assert card.parents == ["C"] and card.hierarchy == ["R>A>C>p1", "S>C>p1"]
     assert lookup.concept_card(g, "nothing").isEmpty()
+
+
+@pytest.mark.parametrize("limit", [1 << 23, 0])
+def test_lists_of_concepts(spark, monkeypatch, limit):
+    """Put together row by row or, of a large hierarchy, joined: the same lists, of null categories and without any too."""
+    monkeypatch.setattr(up, "LOOKUP_PAIRS", limit)
+    above = up.closure(edges_of(spark, [(1, 2), (1, 3), (2, 4), (3, 4), (9, 5)]))
+    held = spark.createDataFrame([(10, 4), (10, 4), (10, 5), (11, 1), (12, None), (12, 2), (13, 7)], "page_id long, category_id long")
+    depths = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (4, 2), (5, None), (9, 3)], "id long, depth int")
+    nodes = spark.createDataFrame([(10,), (11,), (13,), (14,)], "id long")
+    assert {r.id: list(r.ancestors) for r in up.concept_ancestors(held, above, depths, nodes).collect()} == {10: [1, 5, 2, 3, 4, 9], 11: [1], 13: [7], 14: []}
+    pairs = sorted(tuple(r) for r in up.ancestors_of_concepts(held, above).filter("id <> 12").collect())
+    assert pairs == [(10, 1), (10, 2), (10, 3), (10, 4), (10, 5), (10, 9), (11, 1), (13, 7)]
+    assert {r.ancestor for r in up.ancestors_of_concepts(held, above).filter("id = 12").collect()} == {None, 1, 2}
+
+
+def test_lists_of_concepts_are_not_dealt_out(spark):
+    """Concepts meet their categories in a shuffle; what is above these comes in from a table that each task has."""
+    above = up.closure(edges_of(spark, [(1, 2), (2, 4)]))
+    plan = up.concept_ancestors(edges_of(spark, [(10, 4), (11, 2)], "page_id", "category_id"), above)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan and plan.count("Join") == 1
