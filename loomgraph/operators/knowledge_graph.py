@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.titles import is_maintenance, java_regex, normalized_depth, specificity
 from ..runtime import staged
-from .closure import ancestor_lists, ancestors_of_concepts, category_depths, closure, concept_depths, depth_histogram, descendant_counts, direct_counts, distinct_counts, keep_counted, relevant_categories
+from .closure import category_depths, closure, concept_ancestors, concept_depths, depth_histogram, descendant_counts, direct_counts, distinct_counts, keep_counted, relevant_categories
 from .resolve import visual_pages
 from .trim import cycle_edges, restrict, weak_roots, without_orphans
 
@@ -44,7 +44,7 @@ def assemble(concepts: DataFrame, categories: DataFrame, edges: DataFrame, page_
 
 
 def _lists(page_categories: DataFrame, edges: DataFrame, depths: DataFrame, concepts: DataFrame, shift: DataFrame) -> DataFrame:
-    made = ancestor_lists(ancestors_of_concepts(page_categories, closure(edges)), depths, concepts).crossJoin(F.broadcast(shift))
+    made = concept_ancestors(page_categories, closure(edges), depths, concepts).crossJoin(F.broadcast(shift))
     return made.select(F.col("id").alias("node_id"), F.expr("transform(ancestors, a -> a + offset)").alias("ancestors"))
 
 
