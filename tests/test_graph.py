@@ -278,3 +278,9 @@ def test_lists_of_concepts_are_not_dealt_out(spark):
     above = up.closure(edges_of(spark, [(1, 2), (2, 4)]))
     plan = up.concept_ancestors(edges_of(spark, [(10, 4), (11, 2)], "page_id", "category_id"), above)._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate explode" not in plan and plan.count("Join") == 1
+
+
+def test_fingerprints_of_lists(spark):
+    rows = spark.createDataFrame([(0, [3, 1, 2]), (1, [1, 2, 3]), (2, [1, 2]), (3, None)], "i int, x array<long>")
+    f = [r.f for r in rows.select(validate._fingerprint(F.col("x")).alias("f"), "i").orderBy("i").collect()]
+    assert f[0].members == f[1].members != f[2].members and f[0].order != f[1].order and f[3] is None
