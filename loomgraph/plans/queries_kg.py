@@ -11,6 +11,7 @@ from ..functions import fixed_values as fixed
 from ..operators import closure as up
 from ..operators import knowledge_graph as kg
 from ..operators import lookup, tree, trim, validate
+from ..runtime import made, remove
 from .derived import derived, oracle
 from .queries_graph import ABOVE, COUNTS, DEPTHS, of
 
@@ -28,10 +29,21 @@ def query(sql: str | None = None):
     return add
 
 
-def built(spark, sf) -> dict[str, DataFrame]:
+def built(spark, sf) -> kg.Graph:
     return kg.build(derived(spark, sf, "visual"), derived(spark, sf, "sbridge"), derived(spark, sf, "scats"), derived(spark, sf, "sdag"), max_depth=10)
 
 
+def cleaned(spark, sf):
+    """The graph after cleaning, and what that took away. The tables of the graph before go: nothing reads them any more."""
+    with made() as paths:
+        graph = built(spark, sf)
+        before = {name: graph[name] for name in ("nodes", "edges")}
+    out = kg.clean(before, min_root_concepts=5)
+    for path in paths:
+        remove(spark, path)
+    return out
+
+
 # Every supplier has items, so every category stays; orders and suppliers share ids, so category ids move.
 MOVED = ", shift AS (SELECT max(o_orderkey) + 1 AS s FROM orders) "
 KG_NODES = of(ABOVE) + of(DEPTHS) + MOVED + """, live AS (SELECT id, title FROM scats WHERE id > 0),
@@ -110,14 +122,14 @@ def p4_validate(spark, sf):
 @query(ledger_sql("0"))
 def p4_clean_validate(spark, sf):
     """The ledger of the graph after cleaning, which leaves no concept without a category."""
-    graph, _ = kg.clean(built(spark, sf), min_root_concepts=5)
+    graph, _ = cleaned(spark, sf)
     return validate.validate(graph)
 
 
 @query(oracle("scats", "sdag", "sbridge", "visual", recursive=True, body=KG_NODES + "SELECT 'categories_before' AS name, (SELECT count(*) FROM live) AS n UNION ALL SELECT 'concepts_before', (SELECT count(*) FROM visual) UNION ALL SELECT 'removed_maintenance', 0 UNION ALL SELECT 'removed_cycle_edges', 0 UNION ALL SELECT 'removed_weak_roots', 0 UNION ALL SELECT 'removed_orphan_categories', 0 UNION ALL SELECT 'removed_orphan_concepts', (SELECT count(*) FROM visual WHERE page_id NOT IN (SELECT page_id FROM sbridge))"))
 def a20_cleaning(spark, sf):
     """What cleaning took away."""
-    _, stats = kg.clean(built(spark, sf), min_root_concepts=5)
+    _, stats = cleaned(spark, sf)
     return spark.createDataFrame(sorted(stats.items()), "name string, n long")
 
 
@@ -131,7 +143,7 @@ def q8_concept_card(spark, sf):
 
 @query(oracle("scats", "sdag", "sbridge", "visual", recursive=True, body=of(ABOVE) + COUNTS + MOVED + ", p AS (SELECT DISTINCT page_id FROM sbridge WHERE page_id IN (SELECT page_id FROM visual)) SELECT page_id AS original_id, 'concept' AS node_type, 0::BIGINT AS direct, 1::BIGINT AS total FROM p UNION ALL SELECT id, 'category', direct, total FROM counts WHERE id > 0"))
 def p4_clean_nodes(spark, sf):
-    graph, _ = kg.clean(built(spark, sf), min_root_concepts=5)
+    graph, _ = cleaned(spark, sf)
     return graph["nodes"].select("original_id", "node_type", F.col("direct_concept_count").cast("long").alias("direct"), F.col("total_concept_count").cast("long").alias("total"))
 
 

@@ -1,5 +1,6 @@
 """Ranks, hierarchies, cycles, trims, trees and lookups on small hand-made graphs."""
 
+import os
 import random
 
 import pytest
@@ -304,3 +305,31 @@ def test_distinct_counts_deal_the_bridge_out_once(spark):
     plan = up.distinct_counts(spark.createDataFrame([(1,)], "id long"), held, above)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (0, 100") == 1
     assert plan[plan.index("Generate explode") : plan.index("Range (0, 100")].count("Exchange hashpartitioning") == 1
+
+
+def test_cleaning_makes_only_what_is_read(spark, monkeypatch):
+    """What cleaning took away is told without counts and lists of the graph that is left; its tables are made when read."""
+    cats = spark.createDataFrame([(10, "R"), (11, "A"), (12, "Lonely")], "category_id long, title string")
+    visual = spark.createDataFrame([(1, "p1"), (2, "p2"), (3, "p3")], "page_id long, title string")
+    held = spark.createDataFrame([(1, 11), (1, 11), (2, 11), (2, None), (None, 11)], "page_id long, category_id long")
+    g = kg.build(visual, held, cats, edges_of(spark, [(10, 11)]))
+    with monkeypatch.context() as m:
+        for name in ("concept_ancestors", "distinct_counts"):
+            m.setattr(kg, name, lambda *a: pytest.fail(f"{name} is not read"))
+        done, stats = kg.clean(g, min_root_concepts=1)
+    assert stats["removed_orphan_concepts"] == 1 and stats["concepts_before"] == 3 and stats["categories_before"] == 2
+    assert sorted((r.original_id, r.node_type, r.total_concept_count) for r in done["nodes"].collect()) == [(1, "concept", 1), (2, "concept", 1), (10, "category", 2), (11, "category", 2)]
+    assert sorted(tuple(r) for r in done["edges"].select("src_id", "dst_id").collect()) == [(1, 11), (2, 11), (11, 10)]
+    assert set(done) == {"nodes", "edges", "title_index", "ancestors", "metadata"} and done["metadata"].first().num_edges == 3
+
+
+def test_only_leaves_no_other_scratch(spark):
+    from loomgraph.runtime import made, only, staged
+
+    def make():
+        return staged(staged(spark.range(3), "first").filter("id > 0"), "second")
+
+    with made() as paths:
+        out = only(make)
+    there = [p for p in paths if os.path.exists(p.removeprefix("file:"))]
+    assert out.count() == 2 and len(paths) == 2 and there == [out.scratch_path]
