@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import bounded, remove, scratch, shared_dir, staged
+from ..runtime import bounded, only, remove, replace, scratch, shared_dir, staged
 
-__all__ = ["Bitmap", "bounded", "column", "fresh", "keyed", "map_batches", "own_id", "remove", "scratch", "shared_dir", "staged", "table", "text_column", "worker_cache"]
+__all__ = ["Bitmap", "bounded", "column", "fresh", "keyed", "map_batches", "only", "own_id", "remove", "replace", "scratch", "shared_dir", "staged", "table", "text_column", "worker_cache"]
 
 #: Rows and bytes that a function gets at once. What Spark sends is bounded by its own settings (64 MB by default).
 BATCH_ROWS = 256

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, column, fresh, keyed, staged
+from .common import bounded, column, fresh, keyed, only, staged
 
 CELL_BITS = 18
 #: Levels for each doubling of a count.
@@ -246,19 +246,18 @@ def kept_lines(docs: DataFrame, num: int, den: int) -> DataFrame:
     sets = staged(sets.select("first.k", "first.at", F.col("size").cast("long").alias("size"), *BITS, "prefix"), "line-sets").filter("size > 0")
 
     is_many = crowded(sets, MANY)
-    close = few_pairs(sets, is_many, num, den)
     placed = F.transform("prefix", lambda key, i: F.struct(i.alias("i"), key.alias("key")))
     crowd = sets.select("*", F.filter(placed, lambda x: is_many(x["key"])).alias("held"), F.filter("prefix", is_many).alias("crowd"))
     crowd = staged(crowd.select("k", "at", "size", *BITS, "prefix", "crowd", F.inline("held")), "line-crowd")
     anchors = crowd.groupBy("key", F.pmod(F.xxhash64("k", "at"), F.lit(ANCHORS))).agg(F.min(F.struct("k", "at", "size", "i", *BITS, "prefix", "crowd")).alias("a")).select("key", "a.*")
-    pairs = staged(close.union(crowd_pairs(anchors, crowd, num, den)).distinct(), "line-pairs")
+    pairs = only(lambda: staged(few_pairs(sets, is_many, num, den).union(crowd_pairs(anchors, crowd, num, den)).distinct(), "line-pairs"))
     ends = pairs.select(F.col("xk").alias("k"), F.col("xat").alias("at")).union(pairs.select("yk", "yat")).union(crowd.select("k", "at"))
-    words = line_words(ends, docs)
-    gone = matches(pairs, words, num, den)
+    words = only(lambda: line_words(ends, docs))
+    gone = only(lambda: matches(pairs, words, num, den))
 
     left = crowd.join(gone, ["k", "at"], "left_anti")
     far = staged(crowd_pairs(crowd, left, num, den).distinct().join(pairs, [*PAIR], "left_anti"), "line-far")
-    gone = gone.union(matches(far, words, num, den))
+    gone = gone.union(only(lambda: matches(far, words, num, den)))
     return sets.select("k", "at").join(gone, ["k", "at"], "left_anti")
 
 
@@ -268,7 +267,7 @@ def dedup_lines(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_
     rows = keyed(docs, id_col)
     body = column(text_col, "row").cast("string")
     text = rows.select("k", body.alias("text")).filter("text IS NOT NULL")
-    kept = staged(kept_lines(text, num, den).groupBy("k").agg(F.collect_set("at").alias("kept")), "line-kept")
+    kept = only(lambda: staged(kept_lines(text, num, den).groupBy("k").agg(F.collect_set("at").alias("kept")), "line-kept"))
     out = rows.select("k", "row", F.split(body, "\n").alias("lines")).join(bounded(kept), "k", "left")
     stay = F.filter("lines", lambda line, i: F.coalesce(F.array_contains("kept", i), F.lit(False)) | (F.btrim(line, F.lit(f" {SPACES}")) == ""))
     out = out.select("row", "lines", stay.alias("stay")).withColumn("n", F.coalesce(F.size("lines"), F.lit(0)).cast("long"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Bitmap, bounded, column, keyed, map_batches, staged, text_column
+from .common import Bitmap, bounded, column, keyed, map_batches, only, replace, staged, text_column
 from .simhash import LOWER, SEED, components, majority, shard_links
 
 #: 64-bit words of a parity bitmap.
@@ -237,12 +237,12 @@ def similar_documents(docs: DataFrame, width: int = 5, num: int = 4, den: int =
     members = staged(shared_posts(firsts, shared).join(shared.hint("merge"), "token"), "shingle-shared")
     live = members.groupBy("fp", "need").agg(F.count("*").alias("n")).filter("n >= need").select("fp")
     maps = firsts.select("fp", "bits").join(live.hint("merge"), "fp")
-    members = staged(members.select("token", "fp", "size", "i").join(maps.hint("merge"), "fp"), "shingle-members")
+    members = replace(members, members.select("token", "fp", "size", "i").join(maps.hint("merge"), "fp"), "shingle-members")
 
     near = near_pairs(firsts.select("fp", "sim"), radius)
     tried = staged(near.union(star_pairs(members, num, den)).distinct(), "shingle-tried")
-    links = staged(verified(tried, docs, distinct, width, num, den), "shingle-links")
-    roots = staged(components(links).withColumnRenamed("node", "fp"), "shingle-roots")
+    links = only(lambda: staged(verified(tried, docs, distinct, width, num, den), "shingle-links"))
+    roots = only(lambda: staged(components(links).withColumnRenamed("node", "fp"), "shingle-roots"))
     rooted = members.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rest = staged(open_pairs(rooted, num, den).join(tried, ["a", "b"], "left_anti"), "shingle-open")
     if not rest.isEmpty():
@@ -257,6 +257,6 @@ def similar_documents(docs: DataFrame, width: int = 5, num: int = 4, den: int =
 def first_of_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """docs without those that have a smaller id in their component."""
     rows = keyed(docs, id_col)
-    classes = similar_documents(rows.select("k", column(text_col, "row").alias("text")), id_col="k", **how)
-    first = staged(classes.filter(F.col("k").eqNullSafe(F.col("component_id"))).select("k"), "shingle-first")
+    classes = lambda: similar_documents(rows.select("k", column(text_col, "row").alias("text")), id_col="k", **how)
+    first = only(lambda: staged(classes().filter(F.col("k").eqNullSafe(F.col("component_id"))).select("k"), "shingle-first"))
     return rows.join(bounded(first), "k", "left_semi").select("row.*")

@@ -1,5 +1,6 @@
 """The training-data operators against brute force, exact round trips and held-out accuracy, and on odd inputs."""
 
+import os
 import base64
 import functools
 import hashlib
@@ -624,3 +625,17 @@ def test_line_postings_come_in_passes(spark, monkeypatch):
     assert sum(posted) == 2 * len(rows) and max(posted) < len(rows)
     monkeypatch.setattr(lines, "PASSES", 1)
     assert found and found == pairs()
+
+
+def test_line_dedup_leaves_little_scratch(spark):
+    """Of what line dedup and near copies write on the way, only what their results are read from is left."""
+    from loomgraph.llm.shingles import first_of_similar
+    from loomgraph.runtime import made
+
+    docs = spark.createDataFrame([(i, f"one two three four five six {i % 4}\nseven eight nine ten {i}") for i in range(20)], "doc_id long, text string")
+    for run, left in ((lines.dedup_lines, "loom-line-kept"), (lambda d: first_of_similar(d, width=2, num=4, den=5), "loom-shingle-first")):
+        with made() as paths:
+            out = run(docs)
+        there = [p for p in paths if os.path.exists(p.removeprefix("file:"))]
+        assert len(paths) > 5 and len(there) == 1 and left in there[0]
+        assert out.count() > 0
