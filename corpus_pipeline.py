@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import staged, table
+from loomgraph.llm.common import only, remove, staged, table
 from loomgraph.llm.decontam import drop_leaks
 from loomgraph.llm.langid import UNKNOWN, predict, train
 from loomgraph.llm.lines import dedup_lines
@@ -66,5 +66,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, only(lambda: staged(stage(spark, docs, sf_dir), f"stage-{name}"))  # noqa: B023  # called at once
+        if hasattr(before, "scratch_path"):
+            remove(spark, before.scratch_path)
     return STAGES[-1][1](spark, docs, sf_dir)
