@@ -8,16 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.titles import is_maintenance, java_regex, normalized_depth, specificity
-from ..runtime import bounded, only, replace, staged
+from ..runtime import bounded, only, remove, replace, staged
 from .closure import category_depths, closure, concept_ancestors, concept_depths, depth_histogram, descendant_counts, distinct_counts, gathered, keep_counted, relevant_categories
 from .trim import cycle_edges, restrict, weak_roots, without_orphans
 
 
 class Graph(Mapping):
-    """The tables of a graph by name. Each is made when it is asked for first, as few readers need all of them."""
+    """The tables of a graph by name. Each is made when it is asked for first, as few readers need all of them. named and
+    counted make parts of nodes, which need no depths: (node_id, original_id, title, node_type), and the counts instead of
+    the title. Ids of nodes are unique here, edges too, and these end at nodes."""
 
-    def __init__(self, **makers: Callable[[], DataFrame]):
-        self.makers, self.tables = makers, {}
+    def __init__(self, named: Callable[[], DataFrame], counted: Callable[[], DataFrame], **makers: Callable[[], DataFrame]):
+        self.named, self.counted, self.makers, self.tables = named, counted, makers, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.tables:
@@ -48,6 +50,16 @@ def assemble(concepts: DataFrame, categories: DataFrame, edges: DataFrame, page_
     cat_depths = only(lambda: staged(category_depths(categories, edges).withColumn("depth", F.coalesce("depth", F.lit(0))), "depths"))
     parts: Graph
 
+    def named() -> DataFrame:
+        cat_nodes = add(categories.select(F.col("id").alias("node_id"), "original_id", "title", F.lit("category").alias("node_type")), "node_id")
+        return concepts.select(F.col("id").alias("node_id"), "original_id", "title", F.lit("concept").alias("node_type")).unionByName(cat_nodes)
+
+    def counted() -> DataFrame:
+        cats = categories.join(counts(), "id", "left").fillna(0, ["direct", "total"])
+        cat_nodes = add(cats.select(F.col("id").alias("node_id"), "original_id", F.lit("category").alias("node_type"), F.col("direct").alias("direct_concept_count"), F.col("total").alias("total_concept_count")), "node_id")
+        con_nodes = concepts.select(F.col("id").alias("node_id"), "original_id", F.lit("concept").alias("node_type"), F.lit(concept_direct).cast("long").alias("direct_concept_count"), F.lit(1).cast("long").alias("total_concept_count"))
+        return con_nodes.unionByName(cat_nodes)
+
     def nodes() -> DataFrame:
         con_depths = concepts.select("id").join(concept_depths(page_categories, cat_depths), "id", "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
         cats = categories.join(cat_depths, "id").join(counts(), "id", "left").fillna(0, ["direct", "total"])
@@ -72,7 +84,7 @@ def assemble(concepts: DataFrame, categories: DataFrame, edges: DataFrame, page_
         histogram = depth_histogram(every.select("depth"), zeros=True).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("depth").cast("string"), "n")))).alias("depth_distribution"))  # a row for each depth
         return every.agg(F.count("*").alias("num_nodes"), F.count_if(F.col("node_type") == "concept").alias("num_concepts"), F.count_if(F.col("node_type") == "category").alias("num_categories")).crossJoin(parts["edges"].agg(F.count("*").alias("num_edges"))).crossJoin(deepest(every)).crossJoin(shift.withColumnRenamed("offset", "category_id_offset")).crossJoin(histogram)
 
-    parts = Graph(nodes=nodes, edges=all_edges, title_index=title_index, ancestors=lambda: _lists(page_categories, edges, cat_depths, concepts, shift), metadata=metadata)
+    parts = Graph(named, counted, nodes=nodes, edges=all_edges, title_index=title_index, ancestors=lambda: _lists(page_categories, edges, cat_depths, concepts, shift), metadata=metadata)
     return parts
 
 
@@ -99,11 +111,12 @@ def build(visual: DataFrame, page_categories: DataFrame, categories: DataFrame,
     return assemble(concepts, cats, links, held, lambda: counts, 1)
 
 
-def clean(graph: Mapping[str, DataFrame], extra: list[str] | None = None, keep: list[str] | None = None, min_root_concepts: int = 5, mode: str = "acyclic") -> tuple[Graph, dict[str, int]]:
+def clean(graph: Mapping[str, DataFrame], extra: list[str] | None = None, keep: list[str] | None = None, min_root_concepts: int = 5, mode: str = "acyclic", read: Callable[[], None] | None = None) -> tuple[Graph, dict[str, int]]:
     """The graph without maintenance categories (unless a keep pattern matches), cycles, weak roots and orphans; all
     that is derived is derived anew, counting different concepts. Edges of nodes that go, go with them. The numbers of
-    what went are those of all rounds together."""
-    nodes, edges = graph["nodes"], graph["edges"]
+    what went are those of all rounds together. read is called when the tables of graph are read no more."""
+    sound = isinstance(graph, Graph)
+    nodes, edges = graph.named() if sound else graph["nodes"], graph["edges"]
     title = F.col("title")
     bad = is_maintenance(title, extra or [])
     if keep:
@@ -114,12 +127,15 @@ def clean(graph: Mapping[str, DataFrame], extra: list[str] | None = None, keep:
     stats = {"categories_before": cats.count(), "concepts_before": concepts.count()}
     stats["removed_maintenance"] = stats["categories_before"] - left.count()
     links = staged(restrict(edges.filter("edge_type = 'child_of'").select(F.col("dst_id").alias("parent_id"), F.col("src_id").alias("child_id")).distinct(), left), "links")
+    held = edges.filter("edge_type = 'belongs_to'").select(F.col("src_id").alias("page_id"), F.col("dst_id").alias("category_id")).join(bounded(left, F.col("id").alias("category_id")), "category_id", "left_semi").select("page_id", "category_id")
+    if not sound:  # Rows meet their concepts before they are made distinct, as both go by the page.
+        held = held.join(concepts.select(F.col("id").alias("page_id")), "page_id", "left_semi").distinct()
+    held = staged(held, "held")
+    if read:
+        read()
     cut = only(lambda: staged(cycle_edges(links, category_depths(left, links), mode), "cut"))
     stats["removed_cycle_edges"] = cut.count()
     links = staged(links.join(cut, ["child_id", "parent_id"], "left_anti").select("parent_id", "child_id"), "links")
-    # Rows meet their concepts before they are made distinct, as both go by the page.
-    held = edges.filter("edge_type = 'belongs_to'").select(F.col("src_id").alias("page_id"), F.col("dst_id").alias("category_id")).join(bounded(left, F.col("id").alias("category_id")), "category_id", "left_semi")
-    held = staged(held.join(concepts.select(F.col("id").alias("page_id")), "page_id", "left_semi").select("page_id", "category_id").distinct(), "held")
     weak = only(lambda: staged(weak_roots(left, links, held, min_root_concepts), "weak"))
     stats["removed_weak_roots"] = weak.count()
     left = staged(left.join(weak, "id", "left_anti"), "cats")
@@ -130,6 +146,7 @@ def clean(graph: Mapping[str, DataFrame], extra: list[str] | None = None, keep:
     stats["removed_orphan_categories"] = left.count() - used.count()
     stats["removed_orphan_concepts"] = stats["concepts_before"] - pages.count()
     left, concepts = staged(left.join(used, "id", "left_semi"), "cats"), replace(concepts, concepts.join(pages, "id", "left_semi"), "concepts")
+    remove(pages.sparkSession, pages.scratch_path)
     links = staged(restrict(links, left), "links")
     held = replace(held, strong.join(bounded(used, F.col("id").alias("category_id")), "category_id", "left_semi").select("page_id", "category_id"), "held")
     return assemble(concepts, left, links, held, lambda: only(lambda: staged(distinct_counts(left, held, closure(links)), "counts")), 0), stats

@@ -34,14 +34,10 @@ def built(spark, sf) -> kg.Graph:
 
 
 def cleaned(spark, sf):
-    """The graph after cleaning, and what that took away. The tables of the graph before go: nothing reads them any more."""
+    """The graph after cleaning, and what that took away. The tables of the graph before go when nothing reads them any more."""
     with made() as paths:
         graph = built(spark, sf)
-        before = {name: graph[name] for name in ("nodes", "edges")}
-    out = kg.clean(before, min_root_concepts=5)
-    for path in paths:
-        remove(spark, path)
-    return out
+    return kg.clean(graph, min_root_concepts=5, read=lambda: [remove(spark, path) for path in paths])
 
 
 # Every supplier has items, so every category stays; orders and suppliers share ids, so category ids move.
@@ -144,7 +140,7 @@ def q8_concept_card(spark, sf):
 @query(oracle("scats", "sdag", "sbridge", "visual", recursive=True, body=of(ABOVE) + COUNTS + MOVED + ", p AS (SELECT DISTINCT page_id FROM sbridge WHERE page_id IN (SELECT page_id FROM visual)) SELECT page_id AS original_id, 'concept' AS node_type, 0::BIGINT AS direct, 1::BIGINT AS total FROM p UNION ALL SELECT id, 'category', direct, total FROM counts WHERE id > 0"))
 def p4_clean_nodes(spark, sf):
     graph, _ = cleaned(spark, sf)
-    return graph["nodes"].select("original_id", "node_type", F.col("direct_concept_count").cast("long").alias("direct"), F.col("total_concept_count").cast("long").alias("total"))
+    return graph.counted().select("original_id", "node_type", F.col("direct_concept_count").cast("long").alias("direct"), F.col("total_concept_count").cast("long").alias("total"))
 
 
 @query(oracle("scats", "sdag", "sbridge", "visual", recursive=True, body=KG_NODES + "SELECT node_id, CAST(total AS BIGINT) AS total_concept_count FROM kgn WHERE node_type = 'category' ORDER BY total DESC, node_id LIMIT 20"))

@@ -323,6 +323,35 @@ def test_cleaning_makes_only_what_is_read(spark, monkeypatch):
     assert set(done) == {"nodes", "edges", "title_index", "ancestors", "metadata"} and done["metadata"].first().num_edges == 3
 
 
+def test_counts_after_cleaning_need_no_depths(spark, monkeypatch):
+    """Cleaning reads neither depths nor counts of the graph before, its tables go early, and counts come without depths."""
+    cats = spark.createDataFrame([(10, "R"), (11, "A"), (12, "Lonely")], "category_id long, title string")
+    visual = spark.createDataFrame([(1, "p1"), (10, "p2"), (3, "p3")], "page_id long, title string")
+    held = spark.createDataFrame([(1, 11), (1, 11), (10, 11), (10, 10), (10, None), (None, 11)], "page_id long, category_id long")
+    g, read = kg.build(visual, held, cats, edges_of(spark, [(10, 11)])), []
+    with monkeypatch.context() as m:
+        m.setattr(kg, "concept_depths", lambda *a: pytest.fail("depths are not read"))
+        done, stats = kg.clean(g, min_root_concepts=1, read=lambda: read.append(1))
+        rows = sorted(tuple(r) for r in done.counted().collect())
+    names = ("node_id", "original_id", "node_type", "direct_concept_count", "total_concept_count")
+    assert rows == sorted(tuple(r) for r in done["nodes"].select(*names).collect()) and len(rows) == 4
+    assert [r for r in rows if r[2] == "category"] == [(21, 10, "category", 1, 2), (22, 11, "category", 2, 2)]
+    assert read == [1] and "nodes" not in g.tables and stats["removed_orphan_concepts"] == 1
+    again, same = kg.clean({name: g[name] for name in ("nodes", "edges")}, min_root_concepts=1)
+    assert same == stats and rows == sorted(tuple(r) for r in again.counted().collect())
+
+
+def test_orphans_deal_no_bridge_out(spark):
+    from loomgraph.runtime import setting
+
+    cats = spark.createDataFrame([(10,), (11,)], "id long")
+    held = spark.createDataFrame([(1, 11), (2, 11), (3, 99)], "page_id long, category_id long")
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        used, pages = trim.without_orphans(cats, edges_of(spark, [(10, 11)]), held)
+        assert "SortMergeJoin" not in pages._jdf.queryExecution().executedPlan().toString()
+        assert ids(used) == [10, 11] and ids(pages) == [1, 2]
+
+
 def test_only_leaves_no_other_scratch(spark):
     from loomgraph.runtime import made, only, staged
 
