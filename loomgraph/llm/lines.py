@@ -26,7 +26,7 @@ go keeps the empty text; extra columns come along, whatever their names. Null id
 from __future__ import annotations
 
 from functools import reduce
-from operator import add, and_, or_
+from operator import and_, or_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -48,6 +48,8 @@ ANCHORS = 4
 PASSES = 4
 PAIR = ("xk", "xat", "yk", "yat")
 BITS = ("b0", "b1")
+#: Words of a set up to which 64 parities tell different sets apart; only larger sets have the second bitmap.
+LARGE = 64
 #: White space within a line.
 SPACES = "\t\x0b\x0c\r"
 
@@ -123,13 +125,21 @@ def keys_of(hashes: Column, levels: Column) -> Column:
 
 
 def bitmaps(hashes: Column) -> tuple[Column, Column]:
-    """Two longs of parities by the six bits of a hash after its first: of all words, and of those whose first bit is set.
-    The topmost bits are not in keys. What the two differ by is the parity of the other words."""
+    """Two longs of parities by the six bits of a hash after its first: of all words, and of those whose first bit is set,
+    which is zero for sets of up to LARGE words. The topmost bits are not in keys. What the two differ by is the parity of
+    the other words."""
     none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     shifted = lambda x, h: F.call_function("shiftleft", x, F.shiftrightunsigned(h, 57).cast("int"))  # noqa: E731  # counts modulo 64
     every = F.aggregate(hashes, none, lambda acc, h: acc.bitwiseXOR(shifted(one, h)))
     upper = F.aggregate(hashes, none, lambda acc, h: acc.bitwiseXOR(shifted(F.shiftrightunsigned(h, 63), h)))
-    return every, upper
+    return every, F.when(F.size(hashes) > LARGE, upper).otherwise(none)
+
+
+def parities_apart() -> Column:
+    """In how many parities x and y differ, by both bitmaps if both sets are large, else by that of all words."""
+    differ = [F.col("x" + b).bitwiseXOR(F.col("y" + b)) for b in BITS]
+    both = F.bit_count(differ[0].bitwiseXOR(differ[1])) + F.bit_count(differ[1])
+    return F.when(F.least("xsize", "ysize") > LARGE, both).otherwise(F.bit_count(differ[0]))
 
 
 def least_common(size: Column, num: int, den: int) -> Column:
@@ -141,15 +151,15 @@ def may_match(num: int, den: int) -> Column:
     """Length, positional and bitmap filters for sizes, places of the shared word (from zero) and bitmaps of x and y."""
     xs, ys, xi, yi = (F.col(c) for c in ("xsize", "ysize", "xi", "yi"))
     least = least_common(xs + ys, num, den)
-    differ = reduce(add, (F.bit_count(F.col("x" + b).bitwiseXOR(F.col("y" + b))) for b in BITS))
-    return (F.least(xs, ys) * den >= F.greatest(xs, ys) * num) & (F.least(xi, yi) + F.least(xs - xi, ys - yi) >= least) & (differ <= xs + ys - 2 * least)
+    return (F.least(xs, ys) * den >= F.greatest(xs, ys) * num) & (F.least(xi, yi) + F.least(xs - xi, ys - yi) >= least) & (parities_apart() <= xs + ys - 2 * least)
 
 
 def line_words(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     """(k, at, words) of the lines (k, at) that are wanted; other texts are not split."""
     wanted = staged(wanted.distinct().groupBy("k").agg(F.collect_list("at").alias("wanted")), "line-wanted")
-    placed = F.transform(F.split(spaced(F.col("text")), "\n"), lambda line, i: F.struct(i.alias("at"), line.alias("line")))
-    lines = docs.join(bounded(wanted), "k").select("k", F.explode(F.filter(placed, lambda x: F.array_contains("wanted", x["at"]))).alias("x"))
+    parts = F.array(F.split(spaced(F.col("text")), "\n"))  # one element, so that a lambda can hold all lines
+    picked = F.flatten(F.transform(parts, lambda p: F.transform("wanted", lambda at: F.struct(at.alias("at"), F.get(p, at).alias("line")))))
+    lines = docs.join(bounded(wanted), "k").select("k", F.explode(picked).alias("x"))
     return staged(lines.select("k", "x.at", words_of(F.col("x.line")).alias("words")), "line-words")
 
 
@@ -236,11 +246,10 @@ def kept_lines(docs: DataFrame, num: int, den: int) -> DataFrame:
     lines = docs.select("k", F.posexplode(F.split(spaced(F.col("text")), "\n")).alias("at", "line"))
     hashed = lines.select("k", "at", hashes_of(F.col("line")).alias("h"))
     every, upper = bitmaps(F.col("h"))
-    whole = hashed.select("k", "at", F.size("h").alias("size"), every.alias("every"), upper.alias("b1"), keys_of(F.col("h"), levels).alias("t"))
-    whole = whole.withColumn("b0", F.col("every").bitwiseXOR(F.col("b1")))
+    whole = hashed.select("k", "at", F.size("h").alias("size"), every.alias("b0"), upper.alias("b1"), keys_of(F.col("h"), levels).alias("t"))
     prefix = F.slice("t", F.lit(1), posted_words(F.col("size"), num, den).cast("int"))
     slim = whole.select("k", "at", "size", *BITS, F.xxhash64("t").alias("sign"), prefix.alias("prefix"))
-    # Equal sets have equal signatures, sizes and bitmaps, made of all bits of the hashes but one; all their lines have the same prefix.
+    # Equal sets have equal signatures, sizes and bitmaps, made of all bits of the hashes but one or two; all their lines have the same prefix.
     sets = slim.groupBy("sign", "size", *BITS).agg(F.min(F.struct("k", "at")).alias("first"), F.first("prefix").alias("prefix"))
     # The filter comes after the table is written: before, it would be pushed down, and hashes would be made twice.
     sets = staged(sets.select("first.k", "first.at", F.col("size").cast("long").alias("size"), *BITS, "prefix"), "line-sets").filter("size > 0")

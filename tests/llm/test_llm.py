@@ -627,6 +627,18 @@ def test_line_postings_come_in_passes(spark, monkeypatch):
     assert found and found == pairs()
 
 
+def test_line_bitmaps_of_small_and_large_sets(spark):
+    """Parities never differ in more places than sets do in words; small sets have no second bitmap."""
+    texts = [" ".join(f"w{n}" for n in range(a, a + size)) for size in (5, 60, 63, 64, 65, 66, 75, 120) for a in (0, 1, 3)]
+    made = spark.createDataFrame(list(enumerate(texts)), "n long, line string").select("n", lines.hashes_of(F.col("line")).alias("h"))
+    sets = made.select("n", F.size("h").alias("size"), "h", *(c.alias(b) for c, b in zip(lines.bitmaps(F.col("h")), lines.BITS, strict=True))).cache()
+    x, y = (sets.select(*(F.col(c).alias(side + c) for c in sets.columns)) for side in "xy")
+    apart = F.size(F.array_except("xh", "yh")) + F.size(F.array_except("yh", "xh"))
+    rows = x.crossJoin(y).select("xsize", "ysize", apart.alias("apart"), lines.parities_apart().alias("bits")).collect()
+    assert len(rows) == len(texts) ** 2 and all(r.bits <= r.apart and (r.apart - r.bits) % 2 == 0 for r in rows)
+    assert {r.size > 64 for r in sets.filter("b1 <> 0").collect()} == {True} and sets.filter("size > 64 AND b1 = 0").isEmpty()
+
+
 def test_line_dedup_leaves_little_scratch(spark):
     """Of what line dedup and near copies write on the way, only what their results are read from is left."""
     from loomgraph.llm.shingles import first_of_similar
