@@ -94,7 +94,7 @@ def word_levels(docs: DataFrame) -> Column:
     found = numbers(counts.filter("count > 1").groupBy(cell(F.col("h")).alias("cell")).agg(F.max(level).alias("level")), "cell", "level")
     levels = np.zeros(1 << CELL_BITS, np.int64)
     levels[found[:, 0]] = found[:, 1]
-    return constant(levels, "tinyint")
+    return constant(levels, "bigint")
 
 
 def crowded(sets: DataFrame, many: int):
@@ -116,10 +116,12 @@ def crowded(sets: DataFrame, many: int):
 
 
 def keys_of(hashes: Column, levels: Column) -> Column:
-    """Keys in order, rarest words first: seven bits of level over 56 of hash; as many as there are hashes."""
+    """Keys in order, rarest words first: seven bits of level over 56 of hash; as many as there are hashes. Each cell has
+    a level, but only arrays that Spark knows to be without nulls are sorted as plain longs."""
 
     def key(h: Column) -> Column:
-        return F.shiftleft(F.get(levels, cell(h).cast("int")).cast("bigint"), 56).bitwiseOR(h.bitwiseAND(F.lit(HASH)))
+        level = F.coalesce(F.get(levels, cell(h).cast("int")), F.lit(0).cast("bigint"))
+        return F.shiftleft(level, 56).bitwiseOR(h.bitwiseAND(F.lit(HASH)))
 
     return F.sort_array(F.transform(hashes, key))
 
@@ -255,9 +257,9 @@ def kept_lines(docs: DataFrame, num: int, den: int) -> DataFrame:
     sets = staged(sets.select("first.k", "first.at", F.col("size").cast("long").alias("size"), *BITS, "prefix"), "line-sets").filter("size > 0")
 
     is_many = crowded(sets, MANY)
-    placed = F.transform("prefix", lambda key, i: F.struct(i.alias("i"), key.alias("key")))
-    crowd = sets.select("*", F.filter(placed, lambda x: is_many(x["key"])).alias("held"), F.filter("prefix", is_many).alias("crowd"))
-    crowd = staged(crowd.select("k", "at", "size", *BITS, "prefix", "crowd", F.inline("held")), "line-crowd")
+    # Few keys are crowded: they are told in compiled code, and lists of them are made for their sets only.
+    crowd = posted(sets, "prefix").filter(is_many(F.col("key")))
+    crowd = staged(crowd.withColumn("crowd", F.filter("prefix", is_many)), "line-crowd")
     anchors = crowd.groupBy("key", F.pmod(F.xxhash64("k", "at"), F.lit(ANCHORS))).agg(F.min(F.struct("k", "at", "size", "i", *BITS, "prefix", "crowd")).alias("a")).select("key", "a.*")
     pairs = only(lambda: staged(few_pairs(sets, is_many, num, den).union(crowd_pairs(anchors, crowd, num, den)).distinct(), "line-pairs"))
     ends = pairs.select(F.col("xk").alias("k"), F.col("xat").alias("at")).union(pairs.select("yk", "yat")).union(crowd.select("k", "at"))

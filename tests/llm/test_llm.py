@@ -207,6 +207,15 @@ def test_lines_are_native(docs):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_line_keys_sort_as_plain_longs(spark):
+    levels = np.arange(1 << lines.CELL_BITS) % 128
+    hashes = lines.hashes_of(F.col("line"))
+    got = spark.createDataFrame([(" ".join(f"w{k}" for k in range(300)),), ("",)], "line string").select(hashes.alias("h"), lines.keys_of(hashes, lines.constant(levels, "bigint")).alias("t"))
+    assert not got.schema["t"].dataType.containsNull
+    for r in got.collect():
+        assert r.t == sorted(int(levels[h & ((1 << lines.CELL_BITS) - 1)]) << 56 | h & lines.HASH for h in r.h)
+
+
 def test_html():
     page = '<html><head><title>T</title><script>x="</p>"</script></head><body><nav><ul><li><a>Home</a></li></ul></nav><header>Site</header><div class="ad">Buy</div><article><h1>A &amp; B</h1><p>One <b>two</b>\n three.<br>four<p>Last<aside>side</aside><form>f</form><div id="comments"><p>nice</p></div></article><footer>&copy;</footer></body></html>'
     assert html_text.main_text(page) == "A & B\nOne two three. four\nLast"
