@@ -9,10 +9,10 @@ most frequent word with which it shares one of 2^18 cells; words are ordered by
 2. Each distinct set posts the keys of its prefix. Of two similar sets the smaller has a key of a shorter prefix in
    common with the prefix of the larger, so a join holds few places against more, under a length, a positional and a
    bitmap filter (two parity bitmaps differ in at most as many bits as the sets differ in words).
-3. Keys that many sets of about one size post would give too many pairs. Their sets are first held against the
-   earliest sets of the key, a fixed number of them; only sets that this does not remove are joined with all earlier
-   ones, under the same filters. Dense groups are settled by then. Which keys these are is told from the postings of
-   every `SEEN`-th set, picked by hash; it decides only by which of the two ways a pair is found.
+3. Keys that many sets of about one size post with the same next word would give too many pairs. Their sets are first
+   held against the earliest sets of the key, a fixed number of them; only sets that this does not remove are joined with
+   all earlier ones, under the same filters. Dense groups are settled by then. Which keys these are is told from the
+   postings of every `SEEN`-th set, picked by hash; it decides only by which of the two ways a pair is found.
 4. Pairs that are left are verified word by word.
 
 A key has the level and 56 bits of the hash. Keys of two words may agree: places and numbers of common keys are then
@@ -37,10 +37,10 @@ from .common import bounded, column, fresh, keyed, only, staged
 CELL_BITS = 18
 #: Levels for each doubling of a count.
 OCTAVE = 4
-#: Cells in which postings are counted; a bit for each tells the crowded ones.
-POSTED_BITS = 19
+#: Cells of posted keys; a bit for each tells the crowded ones.
+POSTED_BITS = 22
 HASH = (1 << 56) - 1
-#: Sets of about one size that may post a key (or what shares its cell) before it is settled by its earliest sets.
+#: Sets of about one size that may post a key with the same next word before it is settled by its earliest sets.
 MANY = 64
 SEEN = 8
 ANCHORS = 4
@@ -50,6 +50,8 @@ PAIR = ("xk", "xat", "yk", "yat")
 BITS = ("b0", "b1")
 #: Words of a set up to which 64 parities tell different sets apart; only larger sets have the second bitmap.
 LARGE = 64
+#: Words of sets beyond which bitmaps are full, so that they let pairs through that have few words in common.
+WIDE = 128
 #: White space within a line.
 SPACES = "\t\x0b\x0c\r"
 
@@ -97,13 +99,15 @@ def word_levels(docs: DataFrame) -> Column:
     return constant(levels, "bigint")
 
 
-def crowded(sets: DataFrame, many: int):
-    """A test of whether a posted key is in a cell with more than many postings of sets of about one size, as far as
-    every SEEN-th set tells. Words that are just frequent are posted by sets of all sizes, those of a dense group by
-    sets of one."""
-    seen = sets.filter(F.pmod(F.xxhash64("k", "at"), F.lit(SEEN)) == 0)
-    keys = seen.select(F.floor(F.log("size") * 4.5).alias("sizes"), F.explode("prefix").alias("key")).select("sizes", cell(F.col("key"), POSTED_BITS).alias("cell"))
-    cells = numbers(keys.groupBy("cell", "sizes").count().filter(F.col("count") * SEEN > many).select("cell").distinct(), "cell")[:, 0]
+def crowded(sets: DataFrame, many: int, num: int, den: int):
+    """A test of whether a posted key is in a cell with one that more than many sets of about one size post with the same
+    next word, as far as every SEEN-th set tells. Sets of a dense group do; words that are just frequent, as most are in a
+    large corpus, are followed by all kinds of words. Sets so small that all that match them are equal have no say."""
+    seen = sets.filter((F.pmod(F.xxhash64("k", "at"), F.lit(SEEN)) == 0) & (F.col("size") * (den - num) >= num))
+    after = F.concat(F.transform(F.slice("prefix", F.lit(2), F.size("prefix")), low), F.array("after"))
+    keys = seen.select(F.floor(F.log("size") * 4.5).alias("sizes"), F.inline(F.arrays_zip(F.col("prefix").alias("key"), after.alias("next"))))
+    keys = keys.select(cell(F.col("key"), POSTED_BITS).alias("cell"), F.xxhash64("sizes", "key", "next").alias("both"))
+    cells = numbers(keys.groupBy("cell", "both").count().filter(F.col("count") * SEEN > many).select("cell").distinct(), "cell")[:, 0]
     words = np.zeros(1 << (POSTED_BITS - 6), np.uint64)
     np.bitwise_or.at(words, cells >> 6, np.uint64(1) << (cells & 63).astype(np.uint64))
     bits = constant(words.view(np.int64), "bigint")
@@ -115,6 +119,11 @@ def crowded(sets: DataFrame, many: int):
     return test
 
 
+def low(key: Column) -> Column:
+    """31 bits of a key."""
+    return key.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+
+
 def keys_of(hashes: Column, levels: Column) -> Column:
     """Keys in order, rarest words first: seven bits of level over 56 of hash; as many as there are hashes. Each cell has
     a level, but only arrays that Spark knows to be without nulls are sorted as plain longs."""
@@ -150,10 +159,11 @@ def least_common(size: Column, num: int, den: int) -> Column:
 
 
 def may_match(num: int, den: int) -> Column:
-    """Length, positional and bitmap filters for sizes, places of the shared word (from zero) and bitmaps of x and y."""
+    """Length, positional and bitmap filters for sizes, places of the shared word (from zero) and bitmaps of x and y. The
+    positional one is for the first word that both have, and a pair is found at that, be it crowded or not."""
     xs, ys, xi, yi = (F.col(c) for c in ("xsize", "ysize", "xi", "yi"))
     least = least_common(xs + ys, num, den)
-    return (F.least(xs, ys) * den >= F.greatest(xs, ys) * num) & (F.least(xi, yi) + F.least(xs - xi, ys - yi) >= least) & (parities_apart() <= xs + ys - 2 * least)
+    return (F.least(xs, ys) * den >= F.greatest(xs, ys) * num) & (F.least(xs - xi, ys - yi) >= least) & (parities_apart() <= xs + ys - 2 * least)
 
 
 def line_words(wanted: DataFrame, docs: DataFrame) -> DataFrame:
@@ -176,15 +186,20 @@ def matches(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def similar(pairs: DataFrame, words: DataFrame, num: int, den: int) -> DataFrame:
-    """(k, at) of the y of those pairs whose sets of words are similar. Words go to the pairs in one shuffle."""
-    one, other = (F.struct(F.col(f"{c}k").alias("k"), F.col(f"{c}at").alias("at")) for c in "xy")
-    ends = staged(pairs.select(*PAIR, F.inline(F.array(one, other))), "line-ends")
-    both = words.join(bounded(ends), ["k", "at"]).groupBy(*PAIR).agg(F.collect_list("words").alias("w"))
-    x, y = F.get("w", F.lit(0)), F.get("w", F.lit(1))
+    """(k, at) of the y of those pairs whose sets of words are similar."""
+    both = gathered(pairs, words, "words")
+    x, y = F.get("words", F.lit(0)), F.get("words", F.lit(1))
     found = both.filter(F.size(F.array_intersect(x, y)) * (num + den) >= (F.size(x) + F.size(y)) * num)
     return found.select(F.col("yk").alias("k"), F.col("yat").alias("at")).distinct()
 
 
+def gathered(pairs: DataFrame, lines: DataFrame, what: str) -> DataFrame:
+    """pairs with a list of what lines (k, at, what) have of x and y, in any order. It goes to the pairs in one shuffle."""
+    one, other = (F.struct(F.col(f"{c}k").alias("k"), F.col(f"{c}at").alias("at")) for c in "xy")
+    ends = staged(pairs.select(*PAIR, F.inline(F.array(one, other))), "line-ends")
+    return lines.join(bounded(ends), ["k", "at"]).groupBy(*PAIR).agg(F.collect_list(what).alias(what))
+
+
 def posted(sets: DataFrame, *more: str) -> DataFrame:
     return sets.select("k", "at", "size", *BITS, *more, F.posexplode("prefix").alias("i", "key"))
 
@@ -211,10 +226,21 @@ def few_pairs(sets: DataFrame, is_many, num: int, den: int) -> DataFrame:
     more it has so many words in common that the first is among few. That test stays above the exchange, which serves
     both sides: the floor of a random number, always zero, keeps it from being pushed below, and what the join asks of
     either side is asked of both beforehand. Keys are dealt into passes by bits that neither cells nor levels are made
-    of; each pass writes its pairs, and its postings go."""
+    of; each pass writes its pairs, and its postings go. Pairs of wide sets are held against the prefixes of both, as the
+    words of such sets are long and the pairs that bitmaps leave of them grow as the square of the text."""
     whole = sets.filter(reduce(and_, (F.col(c).isNotNull() for c in ("k", "at", "size", *BITS, "prefix"))))
-    parts = [staged(meetings(posted(whole).filter(nth_pass(F.col("key"), n) & ~is_many(F.col("key"))), num, den), "line-close") for n in range(PASSES)]
-    return reduce(DataFrame.union, parts)
+    prefixes = whole.filter(F.col("size") > WIDE).select("k", "at", F.struct("size", "prefix").alias("of"))
+    met = [staged(meetings(posted(whole).filter(nth_pass(F.col("key"), n) & ~is_many(F.col("key"))), num, den), "line-close") for n in range(PASSES)]
+    met = reduce(DataFrame.union, met)
+    wide = alike_wide(met.filter("wide").select(*PAIR).distinct(), prefixes, num, den)
+    return met.filter("NOT wide").select(*PAIR).union(staged(wide, "line-wide"))
+
+
+def alike_wide(pairs: DataFrame, prefixes: DataFrame, num: int, den: int) -> DataFrame:
+    """Those pairs whose prefixes have enough keys in common; prefixes has (k, at, of), of being size and prefix."""
+    both = gathered(pairs, prefixes, "of")
+    both = both.select(*PAIR, *(F.get("of", F.lit(n))[c].alias(s + c) for n, s in enumerate("xy") for c in ("size", "prefix")))
+    return both.filter(enough_alike(num, den)).select(*PAIR)
 
 
 def nth_pass(key: Column, n: int) -> Column:
@@ -222,24 +248,29 @@ def nth_pass(key: Column, n: int) -> Column:
 
 
 def meetings(postings: DataFrame, num: int, den: int) -> DataFrame:
-    """The different pairs, the earlier first, of postings with equal keys that pass the filters."""
+    """The different pairs, the earlier first, of postings with equal keys that pass the filters; wide tells whether both
+    sets are."""
     postings = postings.filter(F.col("key").isNotNull()).repartition("key")
     x = as_side(postings, "x").filter(F.col("xi") <= F.col("xsize") - least_common(2 * F.col("xsize"), num, den) + F.floor(F.rand()))
     joined = x.join(as_side(postings, "y").hint("merge"), "key").filter((F.col("xsize") <= F.col("ysize")) & may_match(num, den))
     one, other = (F.struct(F.col(f"{c}k").alias("k"), F.col(f"{c}at").alias("at")) for c in "xy")
-    pairs = joined.filter(one != other).select(F.least(one, other).alias("x"), F.greatest(one, other).alias("y"))
-    return pairs.select(*(F.col(f"{c[0]}.{c[1:]}").alias(c) for c in PAIR)).distinct()
+    wide = F.least("xsize", "ysize") > WIDE
+    pairs = joined.filter(one != other).select(F.least(one, other).alias("x"), F.greatest(one, other).alias("y"), wide.alias("wide"))
+    return pairs.select(*(F.col(f"{c[0]}.{c[1:]}").alias(c) for c in PAIR), "wide").distinct()
+
+
+def enough_alike(num: int, den: int) -> Column:
+    """Whether xprefix and yprefix have enough keys in common. Keys that x has twice count for as many as may be."""
+    twice = F.size("xprefix") - F.size(F.array_distinct("xprefix"))
+    return F.size(F.array_intersect("xprefix", "yprefix")) + twice >= in_common(num, den)
 
 
 def crowd_pairs(x: DataFrame, y: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs that meet at crowded keys, x before y. Their postings carry the prefixes, so these are compared at once, and
-    a pair is taken at the first crowded key that it has in common only. Keys that x has twice count for as many as
-    may be."""
-    twice = F.size("xprefix") - F.size(F.array_distinct("xprefix"))
-    alike = F.size(F.array_intersect("xprefix", "yprefix")) + twice >= in_common(num, den)
+    a pair is taken at the first crowded key that it has in common only."""
     once = F.get(F.array_intersect("xcrowd", "ycrowd"), F.lit(0)) == F.col("key")
     ordered = F.struct("xk", "xat") < F.struct("yk", "yat")
-    return as_side(x, "x").join(as_side(y, "y"), "key").filter(may_match(num, den) & ordered).filter(alike & once).select(*PAIR)
+    return as_side(x, "x").join(as_side(y, "y"), "key").filter(may_match(num, den) & ordered).filter(enough_alike(num, den) & once).select(*PAIR)
 
 
 def kept_lines(docs: DataFrame, num: int, den: int) -> DataFrame:
@@ -249,14 +280,15 @@ def kept_lines(docs: DataFrame, num: int, den: int) -> DataFrame:
     hashed = lines.select("k", "at", hashes_of(F.col("line")).alias("h"))
     every, upper = bitmaps(F.col("h"))
     whole = hashed.select("k", "at", F.size("h").alias("size"), every.alias("b0"), upper.alias("b1"), keys_of(F.col("h"), levels).alias("t"))
-    prefix = F.slice("t", F.lit(1), posted_words(F.col("size"), num, den).cast("int"))
-    slim = whole.select("k", "at", "size", *BITS, F.xxhash64("t").alias("sign"), prefix.alias("prefix"))
+    n = posted_words(F.col("size"), num, den).cast("int")
+    after = F.coalesce(low(F.get("t", n)), F.lit(0))
+    slim = whole.select("k", "at", "size", *BITS, F.xxhash64("t").alias("sign"), F.slice("t", F.lit(1), n).alias("prefix"), after.alias("after"))
     # Equal sets have equal signatures, sizes and bitmaps, made of all bits of the hashes but one or two; all their lines have the same prefix.
-    sets = slim.groupBy("sign", "size", *BITS).agg(F.min(F.struct("k", "at")).alias("first"), F.first("prefix").alias("prefix"))
+    sets = slim.groupBy("sign", "size", *BITS).agg(F.min(F.struct("k", "at")).alias("first"), F.first("prefix").alias("prefix"), F.first("after").alias("after"))
     # The filter comes after the table is written: before, it would be pushed down, and hashes would be made twice.
-    sets = staged(sets.select("first.k", "first.at", F.col("size").cast("long").alias("size"), *BITS, "prefix"), "line-sets").filter("size > 0")
+    sets = staged(sets.select("first.k", "first.at", F.col("size").cast("long").alias("size"), *BITS, "prefix", "after"), "line-sets").filter("size > 0")
 
-    is_many = crowded(sets, MANY)
+    is_many = crowded(sets, MANY, num, den)
     # Few keys are crowded: they are told in compiled code, and lists of them are made for their sets only.
     crowd = posted(sets, "prefix").filter(is_many(F.col("key")))
     crowd = staged(crowd.withColumn("crowd", F.filter("prefix", is_many)), "line-crowd")

@@ -660,3 +660,23 @@ def test_line_dedup_leaves_little_scratch(spark):
         there = [p for p in paths if os.path.exists(p.removeprefix("file:"))]
         assert len(paths) > 5 and len(there) == 1 and left in there[0]
         assert out.count() > 0
+
+
+def test_line_words_that_are_just_frequent_are_not_crowded(spark, monkeypatch):
+    """Many lines share a rare word and little else, small or wide ones; only those of a dense group are crowded, and pairs of
+    wide sets that share few words are not written for their words to be compared."""
+    rng, staged, rows = random.Random(5), lines.staged, {}
+    vocab = [f"v{i}" for i in range(6000)]
+    monkeypatch.setattr(lines, "staged", lambda df, name: rows.update({name: rows.get(name, 0) + (out := staged(df, name)).count()}) or out)
+    few = [" ".join(["rare", *rng.sample(vocab[:900], 30)]) for _ in range(300)]
+    wide = [" ".join(["seldom", *rng.sample(vocab, 399)]) for _ in range(60)]
+    wide += [" ".join(wide[0].split()[:n]) for n in (380, 350, 300)]
+    dense = [" ".join([*(f"d{i}" for i in range(30) if i not in (n % 30, n // 30)), f"u{n}"]) for n in range(200)]
+    made = dict(enumerate(few + wide))
+    docs = lambda texts: spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in lines.dedup_lines(docs(made)).collect()} == greedy_lines(made)
+    assert rows["line-crowd"] == 0 and rows["line-close"] > rows["line-pairs"] and rows["line-pairs"] < 10
+    rows.clear()
+    made = dict(enumerate(few + dense))
+    assert {r.doc_id: r.text for r in lines.dedup_lines(docs(made)).collect()} == greedy_lines(made)
+    assert rows["line-crowd"] > 200
